@@ -835,7 +835,7 @@ def rating_functions(spark, sf):
 @query
 def display_values(spark, sf):
     rows = axes.indicator_rows(v.physical(spark, sf))
-    tiny = F.col("value") / 1024
+    tiny = F.col("value") / 700
     return rows.select(
         "seq",
         display.display_value("value", "percent").alias("percent"),

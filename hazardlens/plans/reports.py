@@ -225,10 +225,11 @@ def interpretation(res: Results, metric: str = "value_impact", driver: str = "al
     change = series.change_from_first(res.trends, col).select(*KEYS, "change_pct")
     rows = kpis.join(change, KEYS, "left")
     rating = F.coalesce(blank_to_null("physical_rating"), F.lit("-"))
-    moved = F.coalesce(
-        F.concat(F.lit(", a "), F.format_string("%.1f", "change_pct"), F.lit("% move from the first horizon")),
-        F.lit(""),
-    )
+    # format_string turns a null into text, so the null is caught before it
+    moved = F.when(
+        F.col("change_pct").isNotNull(),
+        F.format_string(", a %.1f%% move from the first horizon", "change_pct"),
+    ).otherwise("")
     hazard = F.coalesce(
         F.concat(F.lit(" The top quantified hazard is "), F.col("top_hazard"), F.lit(".")), F.lit("")
     )
