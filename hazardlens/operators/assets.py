@@ -61,7 +61,7 @@ def join_back(results: DataFrame, manifest: DataFrame, name: str = "asset_name",
     ``manifest`` is the output of :func:`dedupe_manifest`.
     """
     right = manifest.withColumnRenamed("scr_asset_name", name)
-    return lookup_join(results, right, [name], "left", **skew)
+    return lookup_join(results, right, [name], "left", **{"check_size": True, **skew})
 
 
 def unmatched_assets(results: DataFrame, manifest: DataFrame, name: str = "assetName") -> DataFrame:

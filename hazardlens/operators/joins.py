@@ -2,34 +2,53 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardlens.session import shared_folder
+
+# a right side up to this size is broadcast
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 64 << 20
+# a left key beyond this many rows is spread over SALTS tasks
 HOT_ROWS = 2_000_000
 HOT_KEYS = 1_000
 SALTS = 64
 
 
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small, by counting at most ``rows`` + 1 of its rows and their text."""
+    bytes_of = F.octet_length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(bytes_of).alias("b")).collect()[0]
+    return found["n"] <= rows and (found["b"] or 0) <= size
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    check_size: bool = False,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """``left`` joined to ``right``, which has at most one row per key.
 
-    A key with more than ``hot_rows`` rows on the left is spread over ``salts``
+    With ``check_size`` a right side that is found to be small is broadcast; ask for
+    it where the right side is cheap to evaluate. Otherwise both sides are shuffled:
+    a key with more than ``hot_rows`` rows on the left is spread over ``salts``
     tasks and its single right-hand row is repeated once per salt. Left rows with
     a null key never match, so they are spread as well. The list of hot keys is a
     map-side-combined count cut to ``HOT_KEYS`` rows, so broadcasting it is safe
     at any size; a key beyond that list still joins, only unsalted.
     """
     on = list(on)
+    if check_size and fits_broadcast(right):
+        return left.join(F.broadcast(right), on, how)
     hot = (
         left.groupBy(*on)
         .count()
@@ -39,26 +58,29 @@ def lookup_join(
         .select(*on, F.lit(True).alias("_hot"))
     )
     hot = F.broadcast(hot)
-    atomic = [
+    hashable = [
         f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
     null_key = F.lit(False)
     for name in on:
         null_key = null_key | F.col(name).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in atomic]), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts)).cast("int")
     salted = (
         left.join(hot, on, "left")
         .withColumn("_salt", F.when(F.col("_hot") | null_key, spread).otherwise(0))
         .drop("_hot")
     )
-    repeated = (
-        right.join(hot, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop("_hot")
-    )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For a result that several steps of one plan read: it is computed once, keeps its
+    size for the optimizer and survives the loss of an executor.
+    """
+    path = f"{shared_folder(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

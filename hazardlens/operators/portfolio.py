@@ -36,7 +36,7 @@ def with_portfolio(results: DataFrame, manifest: DataFrame, name: str = "asset_n
         F.col("scr_asset_name").alias(name),
         *[F.col(f"manifest.{c}").alias(c) for c in ("portfolio_id", "portfolio_asset_id", "plant_uuid")],
     )
-    return lookup_join(results, right, [name], "inner", **skew)
+    return lookup_join(results, right, [name], "inner", **{"check_size": True, **skew})
 
 
 def portfolio_rollup(

@@ -221,7 +221,7 @@ def import_summary(results: DataFrame, manifest: DataFrame, **skew) -> DataFrame
     )
     named = ~is_blank("assetName")
     return (
-        lookup_join(per_asset, known, ["assetName"], **skew)
+        lookup_join(per_asset, known, ["assetName"], **{"check_size": True, **skew})
         .groupBy("import_id", "source_file")
         .agg(
             F.max("_run").alias("scr_run_id"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.numbers import is_valid
 from hazardlens.operators.axes import KEYS
-from hazardlens.operators.joins import lookup_join
+from hazardlens.operators.joins import lookup_join, staged
 
 # fixed values: response metrics in the order they are tried
 RESPONSE_METRICS = {
@@ -111,6 +111,6 @@ def magnitude_response(indicators: DataFrame, hazards: DataFrame, k: int = 4, **
 
     This is a derived view over returned rows, not a damage curve of the vendor.
     """
-    points = response_points(indicators, hazards, **skew)
+    points = staged(response_points(indicators, hazards, **skew))
     kept = response_series(points, k).drop("metric")
     return lookup_join(points, kept, SERIES, "inner", **skew)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardlens.session import shared_folder
+from hazardlens.operators.joins import staged
 
 # fixed value: rows one upload file can hold
 UPLOAD_CAPACITY = 1001
@@ -91,10 +91,9 @@ def numbered(df: DataFrame, order: Sequence[Column], partitions: int | None = No
 
     Rows are range-partitioned and sorted, and each gets its place inside its
     partition. The counts of the partitions, one row each, give the offsets. The
-    placed rows are checkpointed in the shared folder in between: range bounds
-    are sampled, so counts and rows must come from one and the same pass.
+    placed rows are written to the shared folder in between: range bounds are
+    sampled, so counts and rows must come from one and the same pass.
     """
-    shared_folder(df.sparkSession)
     split = df.repartitionByRange(*([partitions] if partitions else []), *order)
     placed = (
         split.sortWithinPartitions(*order)
@@ -103,8 +102,8 @@ def numbered(df: DataFrame, order: Sequence[Column], partitions: int | None = No
             {"_part": F.shiftright("_id", _ROW_BITS), "_place": F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)}
         )
         .drop("_id")
-        .checkpoint()
     )
+    placed = staged(placed)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     # one row per partition, so this window and the broadcast are bounded
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))

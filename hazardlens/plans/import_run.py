@@ -20,7 +20,7 @@ def normalize_import(
         F.col("scr_asset_name").alias("assetName"),
         *[F.col(f"manifest.{c}").alias(c) for c in ("scr_run_id", "plant_uuid", "portfolio_asset_id")],
     )
-    joined = lookup_join(rows, context, ["assetName"], "left", **skew)
+    joined = lookup_join(rows, context, ["assetName"], "left", **{"check_size": True, **skew})
     return joined.select(
         F.lit(import_id).alias("import_id"),
         F.lit(imported_at).alias("imported_at"),

@@ -188,7 +188,7 @@ def join_back(spark, sf):
 
 @query
 def join_back_rows(spark, sf):
-    joined = assets.join_back(v.physical(spark, sf), _manifest(spark, sf), "assetName", hot_rows=500)
+    joined = assets.join_back(v.physical(spark, sf), _manifest(spark, sf), "assetName", check_size=False, hot_rows=500)
     return joined.select(
         "seq", "assetName", "scenario", "hazard", F.col("manifest.portfolio_id").alias("portfolio_id")
     )
@@ -685,7 +685,7 @@ def _exported(spark, sf, opts):
 def sidecar_priority(spark, sf):
     scope = registry.scope_workspace(v.registry(spark, sf), state="all")
     named = scope.withColumn("scr_asset_name", text.asset_name("plant_uuid", "plant_slug", "plant_name"))
-    found = sidecar.resolve_sidecar(named, sidecar.index_sidecar(v.sidecar(spark, sf)), hot_rows=100)
+    found = sidecar.resolve_sidecar(named, sidecar.index_sidecar(v.sidecar(spark, sf)), check_size=False, hot_rows=100)
     return found.select(
         "plant_uuid",
         "portfolio_asset_id",
