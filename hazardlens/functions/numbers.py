@@ -9,19 +9,23 @@ from pyspark.sql import types as T
 from hazardlens.functions.text import _col, blank_to_null, strip
 
 
+def _stripped_cast(c, dtype: str) -> Column:
+    # a cast trims plain spaces by itself; rarer ones are worth a second try only
+    return F.coalesce(_col(c).try_cast(dtype), strip(c).try_cast(dtype))
+
+
 def parse_float(c) -> Column:
     """Text to double; blank and unreadable text is null, ``nan`` and ``inf`` are read.
 
     Spark would also read Java's ``1d`` and ``1f``; those are not numbers here.
     """
-    text = F.lower(strip(c))
-    java_suffix = text.rlike("[0-9.][df]$")
-    return F.when(~java_suffix, text.try_cast("double"))
+    java_suffix = _col(c).rlike(r"[0-9.][dDfF]\s*$")
+    return F.when(~java_suffix, _stripped_cast(c, "double"))
 
 
 def parse_int(c) -> Column:
     """Text to int: ``2025`` is read, ``2025.0`` and ``Historical`` are not."""
-    return strip(c).try_cast("int")
+    return _stripped_cast(c, "int")
 
 
 def float_column(df: DataFrame, name: str) -> Column:

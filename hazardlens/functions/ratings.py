@@ -13,8 +13,19 @@ LETTERS = "ABCDEFG"
 
 def rating_score(c) -> Column:
     """1 for A to 7 for G, 0 for anything else; case and outer space do not matter."""
-    letter = F.upper(strip(c))
-    return F.coalesce(F.when(F.length(letter) == 1, F.position(letter, F.lit(LETTERS))), F.lit(0))
+    text = _col(c)
+    trimmed = strip(text)
+
+    def place(letter):
+        return F.position(F.upper(letter), F.lit(LETTERS))
+
+    # nearly every rating is one bare letter, and only the rest is worth trimming
+    return (
+        F.when(text.isNull(), 0)
+        .when(F.length(text) == 1, place(text))
+        .when(F.length(trimmed) == 1, place(trimmed))
+        .otherwise(0)
+    )
 
 
 def rating_letter(score) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,17 +119,21 @@ def options(table: DataFrame, col: str) -> DataFrame:
     return kept.select(col).distinct()
 
 
+def _first_present(col: str, wanted: Sequence, fallback: Column) -> Column:
+    """The first wanted value that occurs in the group."""
+    found = [F.max(F.when(F.col(col) == value, F.col(col))) for value in wanted if value is not None]
+    return F.coalesce(*found, fallback).alias(col)
+
+
 def default_physical_slice(
-    trends: DataFrame, scenario: str = PREFERRED_PHYSICAL_SCENARIO, horizon: int = PREFERRED_HORIZON
+    trends: DataFrame,
+    scenarios: Sequence[str | None] = (PREFERRED_PHYSICAL_SCENARIO,),
+    horizons: Sequence[int | None] = (PREFERRED_HORIZON,),
 ) -> DataFrame:
-    """Per asset: the wanted scenario and horizon, else the first scenario and last horizon."""
+    """Per asset: the first wanted scenario and horizon it has, else its first scenario and last horizon."""
     return trends.groupBy("asset_name").agg(
-        F.coalesce(F.max(F.when(F.col("scenario") == scenario, F.col("scenario"))), F.min("scenario")).alias(
-            "scenario"
-        ),
-        F.coalesce(F.max(F.when(F.col("horizon") == horizon, F.col("horizon"))), F.max("horizon")).alias(
-            "horizon"
-        ),
+        _first_present("scenario", scenarios, F.min("scenario")),
+        _first_present("horizon", horizons, F.max("horizon")),
     )
 
 

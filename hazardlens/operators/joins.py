@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,12 +75,17 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new name below the shared folder."""
+    return f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The table written once to the shared folder and read back.
 
     For a result that several steps of one plan read: it is computed once, keeps its
     size for the optimizer and survives the loss of an executor.
     """
-    path = f"{shared_folder(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

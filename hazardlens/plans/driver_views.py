@@ -8,14 +8,23 @@ plain projection, so its size follows the table behind it.
 
 from __future__ import annotations
 
+import io
+import sys
+import zipfile
 from functools import reduce
+from xml.sax.saxutils import escape
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.operators.export import FUEL_ASSET_TYPES, HYDRO_TYPES, SOLAR_TYPES, WIND_TYPES
 from hazardlens.operators.registry import Registry
 
+# tasks get this module's code along, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HAZARDS = ["Flood", "Heat", "Wind", "Drought", "Wildfire", ""]
 TRANSITION_SCENARIOS = [
     "Below 2C",
@@ -32,8 +41,22 @@ ASSET_TYPES = sorted({*FUEL_ASSET_TYPES.values(), *SOLAR_TYPES, *WIND_TYPES, *HY
 COUNTRIES = ["United States", "Canada", "Mexico", "Chile", "Peru"]
 
 
+# the columns in use; a stated schema spares the job that reads every file's footer
+SCHEMAS = {
+    "events": "event_id bigint, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double",
+    "pages": "page_id bigint, url string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def pick(values: list, index: Column) -> Column:
@@ -50,8 +73,7 @@ def hex_id(number: Column) -> Column:
 
 
 def dashed(digits: Column) -> Column:
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(digits, start, size) for start, size in cuts])
+    return F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
 
 
 def plant_uuid(number: Column) -> Column:
@@ -208,6 +230,44 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def workbook_files(spark: SparkSession, sf: str, rows_per_file: int = 1000) -> DataFrame:
+    """Physical rows packed into workbooks of a bounded number of rows, as ``path, content``."""
+    names = ["assetName", "scenario", "timeHorizon", "hazard", "indicator", "indicatorValue", "indicatorRating"]
+    rows = physical(spark, sf).select("seq", div("seq", rows_per_file).alias("block"), *names)
+
+    def pack(table: pa.Table) -> pa.Table:
+        block = table.column("block")[0].as_py()
+        ordered = table.sort_by("seq").select(["seq", *names]).to_pylist()
+        lines = [["seq", *names], *[list(row.values()) for row in ordered]]
+        return pa.table({"path": [f"block_{block:06d}"], "content": [_workbook(lines)]})
+
+    return rows.groupBy("block").applyInArrow(pack, "path string, content binary")
+
+
+def _workbook(lines: list[list]) -> bytes:
+    """The smallest workbook that holds the lines on its sheet ``Output``."""
+
+    def cell(line: int, column: int, value) -> str:
+        place = f'r="{chr(65 + column)}{line}"'
+        if isinstance(value, str):
+            return f'<c {place} t="inlineStr"><is><t>{escape(value)}</t></is></c>'
+        return f"<c {place}><v>{value}</v></c>"
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    links = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    rows = "".join(
+        f'<row r="{n}">' + "".join(cell(n, c, v) for c, v in enumerate(line) if v is not None) + "</row>"
+        for n, line in enumerate(lines, 1)
+    )
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        sheets = '<sheets><sheet name="Output" sheetId="1" r:id="s"/></sheets>'
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{links}">{sheets}</workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<R><Relationship Id="s" Target="worksheets/o.xml"/></R>')
+        book.writestr("xl/worksheets/o.xml", f'<worksheet xmlns="{main}"><sheetData>{rows}</sheetData></worksheet>')
+    return out.getvalue()
+
+
 # -- registry ------------------------------------------------------------------------
 
 

@@ -864,7 +864,8 @@ KPIS = f"""(
     SELECT f.asset_name, coalesce(nullif(scr_asset_id, ''), f.asset_name) AS asset_label,
       coalesce(nullif(ticcs_sub_class_name, ''), nullif(ticcs_sub_class, ''), '') AS sector, coordinates,
       v.scenario, v.horizon, t.adjusted_physical_exposure_rating AS physical_rating,
-      t.adjusted_total_value_impact AS impact, h.hazard AS top_hazard, a.scenario AS top_scenario,
+      t.adjusted_total_value_impact AS impact, @change AS change_pct, h.hazard AS top_hazard,
+      a.scenario AS top_scenario,
       a.peak_impact AS top_peak, a.peak_year AS top_peak_year, b.scenario AS selected_scenario,
       b.peak_impact AS selected_peak, b.peak_year AS selected_peak_year, b.peak_subrisk AS selected_driver
     FROM firsts f
@@ -872,13 +873,17 @@ KPIS = f"""(
         max(scenario) FILTER (scenario = 'ssp5-8.5'), min(scenario)) AS scenario,
         coalesce(max(horizon) FILTER (horizon = @horizon), max(horizon) FILTER (horizon = 2100), max(horizon))
         AS horizon FROM ptrends GROUP BY 1) v ON v.asset_name = f.asset_name
-    LEFT JOIN ptrends t ON t.asset_name = v.asset_name AND t.scenario = v.scenario AND t.horizon = v.horizon
+    LEFT JOIN (SELECT *, first_value(adjusted_total_value_impact) OVER (
+      PARTITION BY asset_name, scenario ORDER BY horizon) AS b FROM ptrends) t
+      ON t.asset_name = v.asset_name AND t.scenario = v.scenario AND t.horizon = v.horizon
     LEFT JOIN (SELECT *, {HAZARD_RANK} AS r FROM haz) h
       ON h.asset_name = v.asset_name AND h.scenario = v.scenario AND h.horizon = v.horizon AND h.r = 1
     LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY peak_impact DESC, scenario) AS r
       FROM ranks) a ON a.asset_name = f.asset_name AND a.r = 1
     LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY asset_name ORDER BY scenario = 'Net Zero 2050' DESC,
-      peak_impact DESC, scenario) AS r FROM ranks) b ON b.asset_name = f.asset_name AND b.r = 1)"""
+      peak_impact DESC, scenario) AS r FROM ranks) b ON b.asset_name = f.asset_name AND b.r = 1)""".replace(
+    "@change", CHANGE.format(v="t.adjusted_total_value_impact", b="t.b")
+)
 put("asset_kpis", "SELECT * FROM " + KPIS.replace("@scenario", "ssp5-8.5").replace("@horizon", "2100"))
 put(
     "physical_trend_series",
@@ -950,21 +955,17 @@ put(
 )
 put(
     "interpretation",
-    f"""SELECT k.asset_name, c.change_pct,
+    f"""SELECT k.asset_name, k.change_pct,
       coalesce(k.scenario, '-') || ' at ' || coalesce(k.horizon::VARCHAR, '-') || ': rating '
         || coalesce(physical_rating, '-') || ', impact ' || CASE WHEN impact IS NULL THEN 'not quantified'
           ELSE printf('%.4f%% (raw %.9f)', impact * 100, impact) END
-        || coalesce(', a ' || printf('%.1f', c.change_pct) || '% move from the first horizon', '') || '.'
+        || coalesce(', a ' || printf('%.1f', k.change_pct) || '% move from the first horizon', '') || '.'
         || coalesce(' The top quantified hazard is ' || top_hazard || '.', '') AS physical_text,
       'Highest peak: ' || coalesce(top_scenario, '-') || ' with ' || {number_text('top_peak')} || '. Selected: '
         || coalesce(selected_scenario, '-') || ', led by ' || CASE selected_driver
           WHEN 'Direct_carbon_cost' THEN 'Direct carbon cost' WHEN 'Market_demand_shifts' THEN 'Market demand shifts'
           ELSE 'n/a' END || ' at ' || coalesce(selected_peak_year::VARCHAR, '-') || '.' AS transition_text
-    FROM {KPIS.replace('@scenario', 'ssp2-4.5').replace('@horizon', '2075')} k
-    LEFT JOIN (SELECT asset_name, scenario, horizon, {CHANGE.format(v='v', b='b')} AS change_pct
-      FROM (SELECT *, adjusted_total_value_impact AS v, first_value(adjusted_total_value_impact) OVER (
-        PARTITION BY asset_name, scenario ORDER BY horizon) AS b FROM ptrends)) c
-    ON c.asset_name = k.asset_name AND c.scenario = k.scenario AND c.horizon = k.horizon""",
+    FROM {KPIS.replace('@scenario', 'ssp2-4.5').replace('@horizon', '2075')} k""",
 )
 put(
     "physical_summary",
@@ -1193,3 +1194,70 @@ put(
     FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS k FROM lineitem) l
     LEFT JOIN supplier s ON s.s_suppkey = l.k GROUP BY ALL""",
 )
+
+# -- files -----------------------------------------------------------------------------------------------------
+
+HEADERS = """Asset Name|Asset type|TICCS Class|TICCS Class name|NACE code|Sector|Operating entity name|Detention rate
+|Country|Country Code (ISO3)|Address|Latitude|Longitude|Revenues|Asset Value|Year|Scope 1|Scope 2
+|Decarbonisation Scope 1|Decarbonisation Scope 2|Flood: Blue-green infrastructure|Flood: Drainage system upgrades
+|Flood: Elevation|Flood: Erosion control|Flood: Flood barriers|Flood: Pumps|Flood: Reservoir capacity expansion
+|Flood: Sea walls|Flood: Spillway enhancement|Flood: Structural improvements|Flood: Undergrounding
+|Storm: Natural infrastructure - vegetation management|Storm: Structural improvements|Storm: Undergrounding
+|Storm: Wind breaks - Structural|Storm: Wind breaks - terrain and landscaping|Storm: Wind breaks - vegetation
+|Heat: Blue-green infrastructure|Heat: Cooling systems - mechanical|Heat: Cooling systems - natural and evaporative
+|Heat: Heat reflective coatings|Heat: Heat-resistant construction materials|Heat: Insulation
+|Heat: Optimise operational practices|Heat: Shading - greening|Heat: Shading - shade structures|Heat: Undergrounding
+|Wildfire: Defensible space management|Wildfire: Erosion and sediment control|Wildfire: Fire retardants
+|Wildfire: Fire suppression systems|Wildfire: Firebreaks|Wildfire: Fireproof building materials
+|Wildfire: Fuel reduction zones|Wildfire: Prescribed burns|Wildfire: Structural hardening|Wildfire: Undergrouding
+|Wildfire: Vegetation management and landscaping""".replace("\n", "").split("|")
+FIRST_KEYS = """asset_name asset_type ticcs_class ticcs_class_name nace_code sector operating_entity_name detention_rate
+country country_code address latitude longitude revenues asset_value year""".split()
+put(
+    "upload_file",
+    "SELECT "
+    + ", ".join(f'{key} AS "{header}"' for key, header in zip([*FIRST_KEYS, *PASSED], HEADERS, strict=True))
+    + f" FROM ({ORACLE['upload_values'][ORACLE['upload_values'].rindex('SELECT scr_asset_name AS asset_name, asset_type'):]})",
+)
+put(
+    "upload_batch_files",
+    f"""SELECT ((r - 1) // 1001)::INTEGER AS batch_id, count(*) AS n, 1::BIGINT AS n_files FROM (
+      SELECT row_number() OVER () AS r FROM {plain} WHERE {PLAIN_ERRORS} = '') GROUP BY 1""",
+)
+put(
+    "manifest_file",
+    f"""SELECT scr_asset_name, any_value(plant_uuid) AS plant_uuid, any_value(nullif(plant_name, '')) AS plant_name,
+      nullif(any_value({dec('latitude')}), '') AS latitude,
+      bool_or({PLAIN_ERRORS} <> '') AS has_reject FROM {plain} GROUP BY 1""",
+)
+put(
+    "sidecar_file",
+    f"""SELECT CASE WHEN (seq // 5) % 4 = 0 THEN k ELSE '' END AS plant_uuid, eia_plant_id, asset_value, revenues,
+      operating_entity_name, '' AS address, seq::VARCHAR AS row_no FROM side""",
+)
+put(
+    "long_results_csv",
+    """SELECT "assetName", scenario, "timeHorizon", subrisk, "indicatorValue", "adjustedSubriskRevenueImpact",
+      NULL::DOUBLE AS "subriskRevenueImpact", "indicatorValue" AS row_key FROM trans""",
+)
+put(
+    "result_set",
+    f"""SELECT h.asset_name, h.scenario, h.horizon, h.hazard, hazard_rating, adjusted_hazard_value_impact,
+      w.indicator AS worst_indicator, "rating_A" AS n_a, m.portfolio_id
+    FROM haz h JOIN (SELECT *, row_number() OVER (PARTITION BY asset_name, scenario, horizon, hazard
+        ORDER BY {score('rating')} DESC, value DESC NULLS LAST, seq) AS r FROM inds) w
+    ON w.asset_name = h.asset_name AND w.scenario = h.scenario AND w.horizon = h.horizon AND w.hazard = h.hazard
+      AND w.r = 1
+    LEFT JOIN mani m ON m.scr_asset_name = h.asset_name WHERE h.scenario = 'ssp5-8.5'""",
+)
+put(
+    "import_history",
+    """SELECT import_id, m.plant_uuid, m.portfolio_asset_id, count(*) AS n
+    FROM phys LEFT JOIN mani m ON m.scr_asset_name = "assetName"
+    CROSS JOIN (VALUES ('first'), ('second')) i(import_id) GROUP BY ALL""",
+)
+put(
+    "workbook_rows",
+    """SELECT seq, seq % 1000 AS row_in_file, 'block_' || lpad((seq // 1000)::VARCHAR, 6, '0') AS source_file,
+      "assetName", scenario, "timeHorizon", hazard, indicator, "indicatorRating", "indicatorValue" FROM phys""",
+)

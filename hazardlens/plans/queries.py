@@ -25,8 +25,10 @@ from hazardlens.operators import (
     vocabulary,
 )
 from hazardlens.plans import driver_views as v
-from hazardlens.plans import reports
+from hazardlens.plans import import_run, reports, result_build
 from hazardlens.schemas import MANIFEST_COLUMNS, UPLOAD_KEYS
+from hazardlens.sinks import writers
+from hazardlens.sources import tables, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -750,6 +752,134 @@ def upload_batches(spark, sf):
     return batches.select("portfolio_asset_id", "scr_asset_name", "row_number", "batch_id")
 
 
+# -- files -----------------------------------------------------------------------------
+
+
+def _file_rows(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns if c != key])
+
+
+@query
+def upload_file(spark, sf):
+    path = joins.staging_path(spark)
+    writers.write_upload(_exported(spark, sf, STRICT), path)
+    return _file_rows(spark.read.csv(path, header=True, escape='"'), "Asset Name")
+
+
+@query
+def upload_batch_files(spark, sf):
+    path = joins.staging_path(spark)
+    writers.write_upload_batches(_exported(spark, sf, PLAIN), path)
+    rows = spark.read.csv(path, header=True, escape='"').select(
+        F.col("batch_id").cast("int").alias("batch_id"), F.col("_metadata.file_path").alias("file")
+    )
+    return rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.count_distinct("file").alias("n_files"))
+
+
+@query
+def manifest_file(spark, sf):
+    path = joins.staging_path(spark)
+    exported = _exported(spark, sf, PLAIN)
+    writers.write_manifest(exported, f"{path}/manifest", PLAIN)
+    writers.write_rejects(exported, f"{path}/rejects", PLAIN)
+    kept = tables.read_manifest(spark, f"{path}/manifest")
+    rejects = tables.read_manifest(spark, f"{path}/rejects")
+    return kept.join(rejects.select("scr_asset_name", F.lit(True).alias("r")), "scr_asset_name", "left").select(
+        "scr_asset_name",
+        F.col("manifest.plant_uuid").alias("plant_uuid"),
+        F.col("manifest.plant_name").alias("plant_name"),
+        F.col("manifest.latitude").alias("latitude"),
+        F.coalesce("r", F.lit(False)).alias("has_reject"),
+    )
+
+
+@query
+def sidecar_file(spark, sf):
+    """Sidecar rows through a file whose headers are spelled the way users spell them."""
+    path = joins.staging_path(spark)
+    spelled = v.sidecar(spark, sf).select(
+        F.col("plant_uuid").alias("Plant ID"),
+        F.col("eia_plant_id").alias("EIA Plant-ID"),
+        F.concat(F.lit(" "), "asset_value", F.lit(" ")).alias("Asset Value (USD)"),
+        F.lit("0").alias("Revenue"),
+        F.col("revenues").alias("Annual Revenue USD"),
+        F.col("operating_entity_name").alias("Operator"),
+        F.col("seq").cast("string").alias("Row No"),
+    )
+    spelled.write.csv(path, **writers.CSV_OPTIONS)
+    return tables.read_sidecar(spark, path).select(
+        "plant_uuid", "eia_plant_id", "asset_value", "revenues", "operating_entity_name", "address", "row_no"
+    )
+
+
+@query
+def long_results_csv(spark, sf):
+    path = joins.staging_path(spark)
+    v.transition(spark, sf).drop("seq", "source_file").withColumn("row_key", F.col("indicatorValue")).write.csv(
+        path, **writers.CSV_OPTIONS
+    )
+    rows = tables.read_long(spark, path, fmt="csv")
+    return rows.select(
+        "assetName",
+        "scenario",
+        "timeHorizon",
+        F.coalesce("subrisk", F.lit("")).alias("subrisk"),
+        "indicatorValue",
+        "adjustedSubriskRevenueImpact",
+        "subriskRevenueImpact",
+        F.col("row_key").cast("double").alias("row_key"),
+    )
+
+
+@query
+def result_set(spark, sf):
+    """A result build written as tables, opened again, and sliced by one scenario."""
+    path = joins.staging_path(spark)
+    phys, trans = (
+        rows.withColumn("reportDate", F.lit(None).cast("string"))
+        for rows in (v.physical(spark, sf), v.transition(spark, sf))
+    )
+    built = result_build.build_results(phys, trans, _manifest(spark, sf))
+    writers.write_results(built, path, result_build.build_meta(phys, trans, "2026-07-01"))
+    res = tables.read_results(spark, path)
+    worst = res.hazards.where(F.col("scenario") == "ssp5-8.5")
+    return worst.select(
+        *physical.HAZARD_KEYS,
+        "hazard_rating",
+        "adjusted_hazard_value_impact",
+        F.col("worst_indicators")[0]["indicator"].alias("worst_indicator"),
+        F.col("indicator_rating_counts.A").alias("n_a"),
+    ).join(res.assets.select("asset_name", F.col("manifest.portfolio_id").alias("portfolio_id")), "asset_name", "left")
+
+
+@query
+def import_history(spark, sf):
+    """Two imports of the same rows, one of them run twice, kept side by side."""
+    path = joins.staging_path(spark)
+    manifest = _manifest(spark, sf)
+    for import_id in ("first", "second", "second"):
+        done = import_run.normalize_import(v.physical(spark, sf), manifest, import_id, "2026-07-01")
+        writers.write_import(path, physical=done, summary=import_run.import_manifest(done, manifest, "physical"))
+    rows = spark.read.parquet(f"{path}/physical_long")
+    return rows.groupBy("import_id", "plant_uuid", "portfolio_asset_id").agg(F.count("*").alias("n"))
+
+
+@query
+def workbook_rows(spark, sf):
+    """Result rows through workbook files and the workbook reader."""
+    rows = workbooks.decode_returns(v.workbook_files(spark, sf), "physical")
+    return workbooks.readable(rows).select(
+        F.element_at("extra", "seq").cast("bigint").alias("seq"),
+        F.col("seq").alias("row_in_file"),
+        F.col("source_file"),
+        *[
+            F.coalesce(c, F.lit("")).alias(c)
+            for c in ("assetName", "scenario", "timeHorizon", "hazard", "indicator", "indicatorRating")
+        ],
+        "indicatorValue",
+    )
+
+
 # -- functions -------------------------------------------------------------------------
 
 

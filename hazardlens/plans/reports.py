@@ -76,12 +76,9 @@ def top_hazards(hazards: DataFrame, k: int = 1) -> DataFrame:
 
 def selected_view(res: Results, scenario: str | None = None, horizon: int | None = None) -> DataFrame:
     """One physical slice per asset: the asked one where the asset has it, else its default."""
-    default = axes.default_physical_slice(res.trends)
-    for col, asked in (("scenario", scenario), ("horizon", horizon)):
-        if asked is not None:
-            kept = axes.keep_or_default(res.trends, asked, default, col)
-            default = default.drop(col).join(kept, "asset_name")
-    return default.select("asset_name", "scenario", "horizon")
+    return axes.default_physical_slice(
+        res.trends, (scenario, axes.PREFERRED_PHYSICAL_SCENARIO), (horizon, axes.PREFERRED_HORIZON)
+    )
 
 
 def physical_trend_series(
@@ -176,11 +173,14 @@ def asset_kpis(
     driver: str = "all",
     metric: str = "value_impact",
 ) -> DataFrame:
-    """One row per asset: rating, impact, top hazard, top transition peak, selected scenario."""
+    """One row per asset: rating, impact and its change, top hazard, top peak, selected scenario."""
     view = selected_view(res, scenario, horizon)
     col = metric_column(metric)
-    trend = res.trends.select(
-        *KEYS, F.col("adjusted_physical_exposure_rating").alias("physical_rating"), F.col(col).alias("impact")
+    trend = series.change_from_first(res.trends, col).select(
+        *KEYS,
+        F.col("adjusted_physical_exposure_rating").alias("physical_rating"),
+        F.col(col).alias("impact"),
+        "change_pct",
     )
     hazard = top_hazards(res.hazards).select(*KEYS, F.col("hazard").alias("top_hazard"))
 
@@ -206,6 +206,7 @@ def asset_kpis(
             "horizon",
             "physical_rating",
             "impact",
+            "change_pct",
             "top_hazard",
             F.col("top.scenario").alias("top_scenario"),
             F.col("top.peak_impact").alias("top_peak"),
@@ -219,11 +220,8 @@ def asset_kpis(
 
 
 def interpretation(res: Results, metric: str = "value_impact", driver: str = "all", **view) -> DataFrame:
-    """The KPI row with the change since the first horizon and a sentence about both risks."""
-    kpis = asset_kpis(res, metric=metric, driver=driver, **view)
-    col = metric_column(metric)
-    change = series.change_from_first(res.trends, col).select(*KEYS, "change_pct")
-    rows = kpis.join(change, KEYS, "left")
+    """The KPI row with a sentence about each of both risks."""
+    rows = asset_kpis(res, metric=metric, driver=driver, **view)
     rating = F.coalesce(blank_to_null("physical_rating"), F.lit("-"))
     # format_string turns a null into text, so the null is caught before it
     moved = F.when(

@@ -13,8 +13,15 @@ from hazardlens.operators.export import ExportOptions
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
 
-# blanks stay blank and inner quotes are doubled, as spreadsheet programs write them
-_CSV = {"header": True, "emptyValue": "", "quote": '"', "escape": '"'}
+# blanks stay blank, outer spaces stay, and inner quotes are doubled as spreadsheet programs do
+CSV_OPTIONS = {
+    "header": True,
+    "emptyValue": "",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _upload_columns() -> list[Column]:
@@ -25,7 +32,7 @@ def _upload_columns() -> list[Column]:
 
 def write_upload(exported: DataFrame, path: str) -> None:
     """Accepted rows as the vendor's CSV. The private manifest columns stay out of it."""
-    export.accepted(exported).select(*_upload_columns()).write.csv(path, **_CSV)
+    export.accepted(exported).select(*_upload_columns()).write.csv(path, **CSV_OPTIONS)
 
 
 def write_upload_batches(exported: DataFrame, path: str, cap: int = runs.UPLOAD_CAPACITY) -> None:
@@ -38,17 +45,17 @@ def write_upload_batches(exported: DataFrame, path: str, cap: int = runs.UPLOAD_
         .sortWithinPartitions("batch_id", "row_number")
         .drop("row_number")
         .write.partitionBy("batch_id")
-        .csv(path, **_CSV)
+        .csv(path, **CSV_OPTIONS)
     )
 
 
 def write_manifest(exported: DataFrame, path: str, opts: ExportOptions) -> None:
     """Every selected row. Keep it beside the returned files; it is never uploaded."""
-    export.manifest_rows(exported, opts).write.csv(path, **_CSV)
+    export.manifest_rows(exported, opts).write.csv(path, **CSV_OPTIONS)
 
 
 def write_rejects(exported: DataFrame, path: str, opts: ExportOptions) -> None:
-    export.manifest_rows(export.rejected(exported), opts).write.csv(path, **_CSV)
+    export.manifest_rows(export.rejected(exported), opts).write.csv(path, **CSV_OPTIONS)
 
 
 def write_run_summary(exported: DataFrame, path: str, opts: ExportOptions, **scope: str | None) -> dict:

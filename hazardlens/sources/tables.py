@@ -27,6 +27,7 @@ REGISTRY_TABLES = (
     "portfolio",
     "portfolio_asset",
 )
+# manifest, sidecar and lookups are small, and their values may hold line breaks
 _CSV = {"quote": '"', "escape": '"', "multiLine": True}
 _PLACE_BITS = (1 << 33) - 1
 
@@ -86,14 +87,18 @@ def conform_long(rows: DataFrame, kind: str | None = None) -> DataFrame:
     )
 
 
-def read_long(spark: SparkSession, path: str, kind: str | None = None, fmt: str = "parquet") -> DataFrame:
+def read_long(
+    spark: SparkSession, path: str, kind: str | None = None, fmt: str = "parquet", multi_line: bool = False
+) -> DataFrame:
     """Long results that are already CSV or Parquet.
 
     Files of one call share one header: a CSV file with another one is an error and
-    not a silent shift of columns.
+    not a silent shift of columns. Large CSV files are split over tasks, which
+    values with line breaks rule out; ``multi_line`` reads those.
     """
     if fmt == "csv":
-        raw = spark.read.csv(path, header=True, enforceSchema=False, **_CSV)
+        options = {**_CSV, "multiLine": multi_line}
+        raw = spark.read.csv(path, header=True, enforceSchema=False, **options)
     else:
         raw = spark.read.parquet(path)
     placed = raw if {"source_file", "seq"} <= set(raw.columns) else _with_place(raw, fmt == "parquet")
