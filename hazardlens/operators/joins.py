@@ -33,7 +33,7 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     check_size: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """``left`` joined to ``right``, which has at most one row per key.
@@ -44,35 +44,52 @@ def lookup_join(
     tasks and its single right-hand row is repeated once per salt. Left rows with
     a null key never match, so they are spread as well. The list of hot keys is a
     map-side-combined count cut to ``HOT_KEYS`` rows, so broadcasting it is safe
-    at any size; a key beyond that list still joins, only unsalted.
+    at any size; a key beyond that list still joins, only unsalted. ``hot_rows=None``
+    spares the count where only null keys can pile up.
     """
     on = list(on)
     if check_size and fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
-    hot = (
-        left.groupBy(*on)
+    spread_over = F.lit(salts)
+    hashable = [
+        f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), spread_over).cast("int")
+    scattered = F.lit(False)
+    for name in on:
+        scattered = scattered | F.col(name).isNull()
+    copies = F.array(F.lit(0))
+    if hot_rows is not None:
+        hot = F.broadcast(_hot_keys(left, on, hot_rows))
+        left, right = left.join(hot, on, "left"), right.join(hot, on, "left")
+        scattered = scattered | F.col("_hot").isNotNull()
+        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), spread_over - 1)).otherwise(copies)
+    salted = left.withColumn("_salt", F.when(scattered, spread).otherwise(0)).drop("_hot")
+    repeated = right.withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def _hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    return (
+        df.groupBy(*on)
         .count()
         .where(F.col("count") > hot_rows)
         .orderBy(F.col("count").desc(), *on)
         .limit(HOT_KEYS)
         .select(*on, F.lit(True).alias("_hot"))
     )
-    hot = F.broadcast(hot)
-    hashable = [
-        f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    null_key = F.lit(False)
-    for name in on:
-        null_key = null_key | F.col(name).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(salts)).cast("int")
-    salted = (
-        left.join(hot, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | null_key, spread).otherwise(0))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str], **skew) -> DataFrame:
+    """``left``, unique on the key, with every matching row of ``many`` or with nulls.
+
+    A plain left join cannot split a hot key of its right side, so the matches are
+    looked up from the side that has many, and the rest of ``left`` is added.
+    """
+    on = list(on)
+    matched = lookup_join(many, left, on, "inner", **skew)
+    lonely = left.join(many.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
 
 
 def staging_path(spark: SparkSession) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from hazardlens.functions.numbers import as_decimal
 from hazardlens.functions.text import clean_array, first_non_blank
-from hazardlens.operators.joins import lookup_join
+from hazardlens.operators.joins import left_join_many, lookup_join
 
 # lookup order inside a plant's JSON record, as "column = keys"
 JSON_CHAINS = {
@@ -87,7 +87,9 @@ def plant_records(reg: Registry, plants: DataFrame | None = None) -> DataFrame:
         F.struct(*[c for c in reg.plant_index.columns if c != "plant_id"]).alias("_index"),
     )
     finance = reg.financial_plant.select(F.col("plant_id").alias("id"), "latest_capex_per_kw")
-    joined = plants.join(index, "eia_plant_id", "left").join(finance, "id", "left")
+    # many plants have no index id, and those must not meet in one task
+    indexed = lookup_join(plants, index, ["eia_plant_id"], hot_rows=None)
+    joined = indexed.join(finance, "id", "left")
     parsed = joined.withColumn("_json", F.from_json("data", _JSON_SCHEMA))
 
     def resolved(name):
@@ -160,19 +162,20 @@ def scope_plants(reg: Registry, ids: Sequence[str] | DataFrame) -> DataFrame:
     memberships = live(reg.portfolio_asset).select(
         F.col("id").alias("portfolio_asset_id"), F.col("reference_plant_id").alias("plant_uuid"), "portfolio_id"
     )
-    owned = records.join(_workspaces(reg.workspace), "workspace_id", "left")
+    owned = lookup_join(records, _workspaces(reg.workspace), ["workspace_id"], check_size=True)
     # a workspace that is not in the table leaves its id null, as the joined id would be
     owned = owned.withColumn(
         "workspace_id", F.when(F.col("_is_workspace"), F.col("workspace_id"))
     )
-    staged = owned.join(_states(reg.workspace_asset), ["workspace_id", "plant_uuid"], "left")
-    spread = staged.join(memberships, "plant_uuid", "left")
-    return _finish(_with_live_portfolio(spread, reg))
+    placed = lookup_join(
+        owned, _states(reg.workspace_asset), ["workspace_id", "plant_uuid"], hot_rows=None
+    )
+    return _finish(_with_live_portfolio(left_join_many(placed, memberships, ["plant_uuid"]), reg))
 
 
 def _with_live_portfolio(df: DataFrame, reg: Registry) -> DataFrame:
     """Adds the portfolio; a membership of a deleted portfolio keeps its row without one."""
-    named = df.join(_portfolios(reg.portfolio), "portfolio_id", "left")
+    named = lookup_join(df, _portfolios(reg.portfolio), ["portfolio_id"], check_size=True)
     return named.withColumn(
         "portfolio_id", F.when(F.col("_is_portfolio"), F.col("portfolio_id"))
     )
@@ -193,7 +196,8 @@ def scope_portfolio(reg: Registry, portfolio_id: str | None = None) -> DataFrame
     )
     # a plant may sit in very many portfolios, so it is looked up hot-key-safe and first
     facts = lookup_join(facts, plant_records(reg), ["plant_uuid"], "inner")
-    facts = facts.join(portfolios, "portfolio_id").join(_workspaces(live(reg.workspace)), "workspace_id")
+    facts = lookup_join(facts, portfolios, ["portfolio_id"], "inner", check_size=True)
+    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner", check_size=True)
     return _finish(facts.join(_states(reg.workspace_asset), ["workspace_id", "plant_uuid"], "left"))
 
 
@@ -214,8 +218,9 @@ def scope_workspace(reg: Registry, workspace_id: str | None = None, state: str =
         "portfolio_id",
     )
     facts = lookup_join(facts, plant_records(reg), ["plant_uuid"], "inner")
-    facts = facts.join(_workspaces(live(reg.workspace)), "workspace_id")
-    return _finish(_with_live_portfolio(facts.join(baseline, ["workspace_id", "plant_uuid"], "left"), reg))
+    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner", check_size=True)
+    facts = left_join_many(facts, baseline, ["workspace_id", "plant_uuid"])
+    return _finish(_with_live_portfolio(facts, reg))
 
 
 # -- names to ids --------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import is_blank, strip
+from hazardlens.operators.joins import lookup_join
 
 # fixed values: transition scenario | category | physical scenario
 SCENARIOS = """
@@ -64,7 +65,7 @@ def display_label(df: DataFrame, col: str, labels: DataFrame, out: str = "label"
     """A label from a table ``raw, label`` unique on ``raw``; raw text where it has none."""
     named = labels.select(F.col("raw").alias(col), F.col("label").alias("_label"))
     return (
-        df.join(named, col, "left")
+        lookup_join(df, named, [col], check_size=True)
         .withColumn(out, F.coalesce("_label", F.nullif(F.col(col), F.lit("")), F.lit("n/a")))
         .drop("_label")
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from hazardlens.operators import axes, physical, transition
-from hazardlens.operators.joins import fits_broadcast, lookup_join, staged
+from hazardlens.operators.joins import fits_broadcast, left_join_many, lookup_join, staged
 
 from build import physical as phys
 from build import values
@@ -105,3 +105,25 @@ def test_peaks_read_no_more_than_they_need(spark):
 
     text = plan(transition.subrisk_peaks(driver_views.transition(spark, SF)))
     assert "o_orderdate" not in text.split("ReadSchema")[-1]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_left_join_many_equals_left_join(spark, hot_rows):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    many = spark.createDataFrame([("a", i) for i in range(20)] + [("z", 0), (None, 1)], "k string, w int")
+    got = left_join_many(left, many, ["k"], hot_rows=hot_rows, salts=3)
+    assert values(got, "k", "v", "w") == values(left.join(many, "k", "left"), "k", "v", "w")
+
+
+def test_null_keys_are_spread_without_a_count(spark):
+    left = spark.range(200).select("id", F.lit(None).cast("string").alias("k"))
+    right = spark.createDataFrame([("a", 1)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(left, right, ["k"], hot_rows=None, salts=16)
+        used = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert joined.count() == 200 and used > 1
