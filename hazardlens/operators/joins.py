@@ -14,17 +14,20 @@ from hazardlens.session import shared_folder
 # a right side up to this size is broadcast
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 64 << 20
-# a left key beyond this many rows is spread over SALTS tasks
+# a left key beyond this many rows is spread, one task for each such portion of it
 HOT_ROWS = 2_000_000
 HOT_KEYS = 1_000
-SALTS = 64
+MAX_SALTS = 100_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is small, by counting at most ``rows`` + 1 of its rows and their text."""
-    bytes_of = F.octet_length(F.to_json(F.struct(*df.columns)))
-    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(bytes_of).alias("b")).collect()[0]
-    return found["n"] <= rows and (found["b"] or 0) <= size
+    """Whether a table is small, by the text length of at most ``rows`` + 1 of its rows.
+
+    ``take`` reads partition by partition and stops early, so a large table is found
+    out from its first ones; only one number per row reaches the driver.
+    """
+    lengths = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("n")).take(rows + 1)
+    return len(lengths) <= rows and sum(row["n"] for row in lengths) <= size
 
 
 def lookup_join(
@@ -34,49 +37,51 @@ def lookup_join(
     how: str = "left",
     check_size: bool = False,
     hot_rows: int | None = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """``left`` joined to ``right``, which has at most one row per key.
 
     With ``check_size`` a right side that is found to be small is broadcast; ask for
     it where the right side is cheap to evaluate. Otherwise both sides are shuffled:
-    a key with more than ``hot_rows`` rows on the left is spread over ``salts``
-    tasks and its single right-hand row is repeated once per salt. Left rows with
-    a null key never match, so they are spread as well. The list of hot keys is a
-    map-side-combined count cut to ``HOT_KEYS`` rows, so broadcasting it is safe
-    at any size; a key beyond that list still joins, only unsalted. ``hot_rows=None``
-    spares the count where only null keys can pile up.
+    a key with more than ``hot_rows`` rows on the left is spread over as many tasks
+    as it has portions of that size, and its single right-hand row is repeated for
+    each. Left rows with a null key never match, so they are spread at will. The list
+    of hot keys is a map-side-combined count cut to ``HOT_KEYS`` rows, so broadcasting
+    it is safe at any size; a key beyond that list still joins, only unsalted.
+    ``hot_rows=None`` spares the count where only null keys can pile up.
     """
     on = list(on)
     if check_size and fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
-    spread_over = F.lit(salts)
     hashable = [
         f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), spread_over).cast("int")
-    scattered = F.lit(False)
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
+    null_key = F.lit(False)
     for name in on:
-        scattered = scattered | F.col(name).isNull()
-    copies = F.array(F.lit(0))
+        null_key = null_key | F.col(name).isNull()
+    salt, copies = F.when(null_key, row_hash), F.array(F.lit(0).cast("bigint"))
     if hot_rows is not None:
         hot = F.broadcast(_hot_keys(left, on, hot_rows))
         left, right = left.join(hot, on, "left"), right.join(hot, on, "left")
-        scattered = scattered | F.col("_hot").isNotNull()
-        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), spread_over - 1)).otherwise(copies)
-    salted = left.withColumn("_salt", F.when(scattered, spread).otherwise(0)).drop("_hot")
-    repeated = right.withColumn("_salt", F.explode(copies)).drop("_hot")
+        salt = salt.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
+        copies = F.when(
+            F.col("_salts").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1)
+        ).otherwise(copies)
+    salted = left.withColumn("_salt", salt.otherwise(0)).drop("_salts")
+    repeated = right.withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def _hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
+    """The largest keys and over how many tasks each is to be spread."""
+    portions = F.least(F.ceil(F.col("count") / max(hot_rows, 1)), F.lit(MAX_SALTS)).cast("bigint")
     return (
         df.groupBy(*on)
         .count()
         .where(F.col("count") > hot_rows)
         .orderBy(F.col("count").desc(), *on)
         .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("_hot"))
+        .select(*on, portions.alias("_salts"))
     )
 
 

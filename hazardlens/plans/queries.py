@@ -748,7 +748,8 @@ def upload_batches(spark, sf):
     named = export.accepted(_exported(spark, sf, PLAIN)).select(
         "workspace_slug", "portfolio_name", "plant_slug", "plant_uuid", "portfolio_asset_id", "scr_asset_name"
     )
-    batches = runs.batch_uploads(named, registry.export_order())
+    # the range sort samples its input first, so the rows are computed once before it
+    batches = runs.batch_uploads(joins.staged(named), registry.export_order())
     return batches.select("portfolio_asset_id", "scr_asset_name", "row_number", "batch_id")
 
 
@@ -1014,7 +1015,7 @@ def lookup_join_salted(spark, sf):
         "l_quantity",
     )
     supplier = v.table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    joined = joins.lookup_join(line, supplier, ["s_suppkey"], hot_rows=1000, salts=16)
+    joined = joins.lookup_join(line, supplier, ["s_suppkey"], hot_rows=1000)
     return joined.groupBy("s_suppkey", "s_name").agg(
         F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
     )

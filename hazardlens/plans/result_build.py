@@ -48,12 +48,22 @@ def build_results(
 
 
 def build_meta(physical_rows: DataFrame, transition_rows: DataFrame, generated_at: str, **sources: str) -> DataFrame:
-    """One row about the build: all returned rows, before any is dropped, and the sources."""
+    """One row about the build: all returned rows, before any is dropped, missing columns, sources."""
+    # one row on each side
     counts = physical_rows.agg(F.count("*").alias("physical_rows")).crossJoin(
         transition_rows.agg(F.count("*").alias("transition_rows"))
     )
+
+    def missing(rows, required):
+        return F.array(*[F.lit(c) for c in quality.missing_columns(rows.columns, required)]).cast("array<string>")
+
     return counts.withColumns(
-        {"generated_at": F.lit(generated_at), **{name: F.lit(value) for name, value in sources.items()}}
+        {
+            "generated_at": F.lit(generated_at),
+            "physical_missing": missing(physical_rows, PHYSICAL_REQUIRED),
+            "transition_missing": missing(transition_rows, TRANSITION_REQUIRED),
+            **{name: F.lit(value) for name, value in sources.items()},
+        }
     )
 
 

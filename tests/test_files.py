@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators import assets, export, registry, runs, sidecar
 from hazardlens.operators.quality import ImportFailure
-from hazardlens.plans import import_run, result_build
+from hazardlens.plans import import_run, reports, result_build
 from hazardlens.plans.export_run import run_export
 from hazardlens.schemas import (
     PHYSICAL_REQUIRED,
@@ -258,3 +258,29 @@ def test_numbering_uses_the_shared_folder(spark):
     df = spark.range(10)
     assert values(runs.numbered(df, [F.col("id")]), "id", "row_number") == [(i, i + 1) for i in range(10)]
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_portfolio_report(spark):
+    names = ["is_p_" + c * 32 for c in "ab"]
+    manifest = spark.createDataFrame([(i, n, "p1") for i, n in enumerate(names)], "seq long, scr_asset_name string, portfolio_id string")
+    manifest = assets.dedupe_manifest(manifest.withColumns({c: F.lit("x") for c in ("portfolio_asset_id", "plant_uuid")}))
+    p = phys(
+        spark,
+        *[{"assetName": n, "scenario": "s", "adjustedPhysicalExposureRating": r, "adjustedTotalValueImpact": v, "ticcsSubClass": "IC1"}
+          for n, r, v in zip(names, "AD", (9.0, 1.0))],
+    )
+    t = trans(spark, {"assetName": names[0], "adjustedSubriskRevenueImpact": 4.0})
+    report = reports.portfolio_report(
+        result_build.build_results(p, t), manifest, "s", 2030, ["s"], k=1
+    )
+    assert values(report["ratings"], "portfolio_rating", "rated") == [("C", 2)]
+    assert values(report["top_assets"], "asset_name") == [(names[1],)]
+    assert values(report["sectors"].where("level = 3"), "n_assets", "worst_rating", "max_value") == [(2, "D", 9.0)]
+    assert values(report["top_subrisks"], "peak_subrisk", "max_value") == [("X", 4.0)]
+    assert values(report["scenarios"], "horizon", "s") == [(2030, 9.0)]
+
+
+def test_export_order_is_total(spark, reg):  # noqa: F811
+    rows = registry.in_export_order(registry.scope_plants(reg, [U[1], U[2]]))
+    assert column(rows, "portfolio_asset_id") == ["m1", "m2", None]
+    assert registry.in_export_order(registry.scope_plants(reg, [U[1]]), limit=1).count() == 1

@@ -114,7 +114,7 @@ def test_sidecar_priority_and_overwrite(spark, hot_rows):
         {"plant_uuid": "7", "asset_value": "shared namespace"},
     )
     found = named_assets(spark, ("u1", "n1", None, 7), ("u2", "n2", "m2", None), ("u3", "n3", None, 7), ("u4", "n4", None, None), ("u5", "n9", None, None))
-    got = sidecar.resolve_sidecar(found, sidecar.index_sidecar(side), check_size=False, hot_rows=hot_rows, salts=3)
+    got = sidecar.resolve_sidecar(found, sidecar.index_sidecar(side), check_size=False, hot_rows=hot_rows)
     small = sidecar.resolve_sidecar(found, sidecar.index_sidecar(side))
     assert values(small, "plant_uuid", "side") == values(got, "plant_uuid", "side")
     assert values(got, "plant_uuid", "side.asset_value") == [

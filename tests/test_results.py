@@ -228,7 +228,7 @@ def test_magnitude_response_falls_back_and_ranks(spark, hot_rows):
         *[(y, "short", float(y), "m") for y in (1, 2)],
         *[(y, "vary", float(y % 2), None) for y in (1, 2, 3)],
     )
-    got = response.magnitude_response(ind, h, hot_rows=hot_rows, salts=4)
+    got = response.magnitude_response(ind, h, hot_rows=hot_rows)
     assert values(got.select("indicator", "unit", "metric", "series_rank").distinct()) == [
         ("vary", "", "disruption", 2),
         ("vary", "m", "disruption", 1),
