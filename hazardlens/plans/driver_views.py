@@ -65,7 +65,8 @@ def pick(values: list, index: Column) -> Column:
 
 
 def div(c: str, n: int) -> Column:
-    return F.floor(F.col(c) / n)
+    """Whole division, exact for any id."""
+    return F.expr(f"{c} div {n}")
 
 
 def hex_id(number: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,6 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="hazardlens-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)

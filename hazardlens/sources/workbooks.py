@@ -115,21 +115,27 @@ def _horizon_text(value) -> str | None:
     return _text(int(value) if isinstance(value, (bool, float)) else value)
 
 
-def _records(content: bytes) -> tuple[list[str], list[list]]:
-    rows = sheet_rows(content, OUTPUT_SHEET)
+def _header(rows: Iterator[list]) -> list[str]:
     header = next(rows, None)
     if header is None:
         raise ValueError(f"sheet {OUTPUT_SHEET} is empty")
-    kept = [row[: len(header)] for row in rows]
-    kept = [row for row in kept if any(v is not None and v != "" for v in row)]
-    return ["" if name is None else str(name) for name in header], kept
+    return ["" if name is None else str(name) for name in header]
+
+
+def _records(content: bytes, kind: str, mixed: bool) -> tuple[list[str], list[list]]:
+    rows = sheet_rows(content, OUTPUT_SHEET)
+    header = _header(rows)
+    if mixed and kind != ("physical" if "hazard" in header else "transition" if "subrisk" in header else None):
+        return header, []
+    kept = (row[: len(header)] for row in rows)
+    return header, [row for row in kept if any(v is not None and v != "" for v in row)]
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
-def returns_decoder(kind: str):
+def returns_decoder(kind: str, mixed: bool = False):
     """A ``mapInArrow`` function from ``path, content`` to text rows of one kind of result."""
     texts, numbers, _ = KINDS[kind]
     names = texts + numbers
@@ -141,7 +147,7 @@ def returns_decoder(kind: str):
 
     def one_file(path: str, content: bytes) -> pa.RecordBatch:
         try:
-            header, rows = _records(content)
+            header, rows = _records(content, kind, mixed)
         except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as error:
             blank = {name: [None] for name in names}
             return pa.RecordBatch.from_pydict(
@@ -179,21 +185,22 @@ def returns_decoder(kind: str):
     return decode, ", ".join(ddl)
 
 
-def decode_returns(files: DataFrame, kind: str) -> DataFrame:
+def decode_returns(files: DataFrame, kind: str, mixed: bool = False) -> DataFrame:
     """Rows of workbook files given as ``path, content``; numbers as double."""
-    decode, ddl = returns_decoder(kind)
+    decode, ddl = returns_decoder(kind, mixed)
     rows = files.mapInArrow(decode, ddl)
     return rows.withColumns({name: parse_float(name) for name in KINDS[kind][1]})
 
 
-def read_returns(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """All rows of a folder of returned workbooks of one kind.
+def read_returns(spark: SparkSession, path: str, kind: str, mixed: bool = False) -> DataFrame:
+    """All rows of one kind from a folder of returned workbooks.
 
     ``seq`` counts the rows inside a file, so order over many files is
     ``("source_file", "seq")``. A file that cannot be read gives one row with the
     reason in ``_corrupt``; columns the schema does not know are kept in ``extra``.
+    In a ``mixed`` folder files of the other kind, told by their header, are skipped.
     """
-    return decode_returns(_files(spark, path), kind)
+    return decode_returns(_files(spark, path), kind, mixed)
 
 
 def readable(rows: DataFrame) -> DataFrame:
@@ -208,11 +215,7 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
                 header, error = None, None
                 try:
-                    header = next(sheet_rows(content.as_py(), OUTPUT_SHEET), None)
-                    if header is None:
-                        error = f"sheet {OUTPUT_SHEET} is empty"
-                    else:
-                        header = ["" if h is None else str(h) for h in header]
+                    header = _header(sheet_rows(content.as_py(), OUTPUT_SHEET))
                 except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as problem:
                     error = str(problem)
                 yield pa.RecordBatch.from_pydict(

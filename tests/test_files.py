@@ -62,6 +62,17 @@ def test_workbooks_of_a_folder(spark, tmp_path):
     assert values(workbooks.read_readme(spark, str(folder / "one.xlsx")), "readme_asset_name") == [("a1",)]
 
 
+def test_mixed_folder(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    put(folder, "p.xlsx", output(HEADER, ["a1", "s", 2025, "Flood", 1.5]))
+    put(folder, "t.xlsx", output(["assetName", "scenario", "subrisk"], ["a1", "s", "X"]))
+    put(folder, "u.xlsx", output(["assetName", "scenario"], ["a1", "s"]))
+    kinds = {k: workbooks.readable(workbooks.read_returns(spark, str(folder), k, mixed=True)) for k in ("physical", "transition")}
+    assert values(kinds["physical"], "assetName", "hazard") == [("a1", "Flood")]
+    assert values(kinds["transition"], "assetName", "subrisk") == [("a1", "X")]
+    assert values(workbooks.read_headers(spark, str(folder)), "kind") == [("physical",), ("transition",), (None,)]
+
+
 def test_cell_types(spark):
     cells = (
         '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>9</v></c><c r="C1" t="b"><v>1</v></c>'
