@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import line_rules, topk, urls
+from hazardlens.llm import line_rules, lm, near_dups, quality_model, topk, urls
 
 RULES = (
     urls.Rule("org/", "allow"),
@@ -32,6 +32,19 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's class of near-duplicates on four-word shingles."""
+    return near_dups.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), width=4)
+
+
+def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learned from the labels that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.train(documents, table(spark, folder, "labels"))
+    scored = quality_model.score(documents, model)
+    return scored.select("doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of the line rules for every document."""
     return line_rules.clean_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
@@ -48,4 +61,12 @@ def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op3_url_filter, op9_line_rules)}
+def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-entropy difference of every document; documents labelled good are the target."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    good = table(spark, folder, "labels").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    marked = documents.join(good.withColumn("target", F.lit(True)), "doc_id", "left")
+    return lm.cross_entropy_difference(marked, "target")
+
+
+QUERIES = {f.__name__: f for f in (op1_topk_search, op3_url_filter, op4_minhash_dedup, op8_quality_model, op9_line_rules, op10_cross_entropy)}
