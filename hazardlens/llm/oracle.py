@@ -31,6 +31,53 @@ WHERE q.vec_id % 50 = 0
 QUALIFY rank <= 5
 """
 
+
+def _shared(level: str, path: list[str], weight: str) -> str:
+    """One level of the tree: what each node gets of its parent's ``given``."""
+    up = ", ".join(path[:-1]) or "1"
+    cols = ", ".join(path)
+    return f"""
+n_{level} AS (
+  SELECT {cols}, sum(tokens) * 3 AS capacity, max(given) AS given, {weight} AS weight
+  FROM t_{path[-2] if len(path) > 1 else "root"} GROUP BY {cols}
+), l_{level} AS (
+  SELECT *, given - coalesce(sum(capacity) OVER b, 0) AS remains,
+    sum(weight) OVER (PARTITION BY {up}) - coalesce(sum(weight) OVER b, 0) AS weights
+  FROM n_{level}
+  WINDOW b AS (PARTITION BY {up} ORDER BY capacity::DOUBLE / weight, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f_{level} AS (SELECT *, capacity * weights <= weight * remains AS filled FROM l_{level}),
+g_{level} AS (
+  SELECT {cols}, CASE WHEN filled THEN capacity ELSE weight * max(remains) FILTER (NOT filled) OVER (PARTITION BY {up})
+    // max(weights) FILTER (NOT filled) OVER (PARTITION BY {up}) END AS given
+  FROM f_{level}
+), t_{level} AS (
+  SELECT t.* EXCLUDE (given), g.given FROM t_{path[-2] if len(path) > 1 else "root"} t JOIN g_{level} g USING ({cols})
+)"""
+
+
+OP2 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce('domain' || (TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 4), '(none)') AS domain,
+    coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+    len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS n_tokens
+  FROM documents
+), r AS (SELECT * FROM d WHERE n_tokens > 0),
+leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM r GROUP BY ALL),
+t_root AS (SELECT *, least((SELECT sum(tokens) FROM leaves) * 80 // 100, (SELECT sum(tokens) FROM leaves) * 3) AS given FROM leaves),
+{_shared("domain", ["domain"], "CASE domain WHEN 'domain1' THEN 4 WHEN 'domain0' THEN 3 ELSE 1 END")},
+{_shared("lang", ["domain", "lang"], "CASE lang WHEN 'en' THEN 5 WHEN 'es' THEN 3 ELSE 1 END")},
+{_shared("source", ["domain", "lang", "source"], "1")},
+p AS (SELECT domain, lang, source, given // tokens AS k, given % tokens AS rest FROM t_source),
+o AS (
+  SELECT r.*, k, rest, ('0x' || substr(md5('1:' || k || ':' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS place
+  FROM r JOIN p USING (domain, lang, source)
+), c AS (
+  SELECT *, k + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, n_tokens ROWS UNBOUNDED PRECEDING)
+    <= rest)::INTEGER AS copies FROM o
+)
+SELECT doc_id, domain, lang, source, n_tokens, copies::INTEGER AS copies FROM c WHERE copies > 0
+"""
+
 OP3 = rf"""
 WITH parts AS (
   SELECT page_id, url,
@@ -126,4 +173,4 @@ SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, c.component_id, d.doc_id = c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
-ORACLE = {"op1_topk_search": OP1, "op3_url_filter": OP3, "op4_minhash_dedup": OP4, "op9_line_rules": OP9}
+ORACLE = {"op1_topk_search": OP1, "op2_mixing": OP2, "op3_url_filter": OP3, "op4_minhash_dedup": OP4, "op9_line_rules": OP9}

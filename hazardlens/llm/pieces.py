@@ -80,32 +80,37 @@ class Trie:
                 node = nxt
             if ends[node] < 0:
                 ends[node] = number
-        size = 2 * len(children) + 1024
+        size = 4 * len(children) + 1024
+        taken = bytearray(size)
         base, check, piece = [0] * size, [-1] * size, [-1] * size
-        check[0], slot, free = 0, {0: 0}, 1
+        # a first byte always leaves room for a base above zero
+        check[0], taken[0], slot, lowest, frontier = 0, 1, {0: 0}, 256, 256
         for node, kids in enumerate(children):
             at = slot.pop(node)
             piece[at] = ends[node]
             if not kids:
                 continue
             codes = sorted(kids)
-            while check[free] != -1:
-                free += 1
-            # a node with many children looks from the first free slot, one with few too: slots fill up densely
-            start = free - codes[0]
-            while start < 1 or any(check[start + c] != -1 for c in codes):
-                start += 1
-                if start + 512 > len(check):
-                    more = len(check)
-                    base += [0] * more
-                    check += [-1] * more
-                    piece += [-1] * more
-            base[at] = start
+            first = lowest if len(codes) == 1 else frontier
+            seen = first = taken.find(0, first)
+            while any(taken[seen - codes[0] + c] for c in codes):
+                seen = taken.find(0, seen + 1)
+                if seen + 512 > len(taken):
+                    grow = len(taken)
+                    taken += bytearray(grow)
+                    base, check, piece = base + [0] * grow, check + [-1] * grow, piece + [-1] * grow
+            if len(codes) == 1:
+                lowest = seen
+            elif seen - first > 512:
+                frontier = seen - 256  # what lies before is too dense for nodes of several children
+            base[at] = start = seen - codes[0]
             for c in codes:
+                taken[start + c] = 1
                 check[start + c] = at
                 slot[kids[c]] = start + c
-        used = max(i for i, c in enumerate(check) if c != -1) + 257
-        return Trie(np.array(base[:used], np.int32), np.array(check[:used], np.int32), np.array(piece[:used], np.int32))
+        base, check, piece = (np.array(x, np.int32) for x in (base, check, piece))
+        used = int(np.flatnonzero(check != -1)[-1]) + 257
+        return Trie(base[:used], check[:used], piece[:used])
 
 
 @dataclass

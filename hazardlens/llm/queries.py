@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import line_rules, lm, near_dups, quality_model, topk, urls
+from hazardlens.llm import line_rules, lm, mixing, near_dups, pieces, pii, quality_model, topk, urls
 
 RULES = (
     urls.Rule("org/", "allow"),
@@ -16,6 +16,19 @@ RULES = (
 )
 
 
+# the tree of documents: sources fall into four domains by their number
+LEVELS = {
+    "domain": "'domain' || try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4",
+    "lang": "lang",
+    "source": "source",
+}
+WEIGHTS = {
+    "domain": "case domain when 'domain1' then 4 when 'domain0' then 3 else 1 end",
+    "lang": "case lang when 'en' then 5 when 'es' then 3 else 1 end",
+}
+PERCENT = 80
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -26,6 +39,12 @@ def op1_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents taken, with copies, for 80 % of all tokens under the target weights."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(documents, LEVELS, WEIGHTS, PERCENT)
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """A verdict for every page's URL."""
     judged = urls.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules=RULES)
@@ -37,6 +56,17 @@ def op4_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), width=4)
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return pieces.encode_and_check(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document, by fixed patterns and by discovered contexts."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.summary(pii.find_spans(documents))
+
+
 def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     """A quality score for every document, learned from the labels that are not held out."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -69,4 +99,4 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.cross_entropy_difference(marked, "target")
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op3_url_filter, op4_minhash_dedup, op8_quality_model, op9_line_rules, op10_cross_entropy)}
+QUERIES = {f.__name__: f for f in (op1_topk_search, op2_mixing, op3_url_filter, op4_minhash_dedup, op6_sentencepiece, op7_personal_data, op8_quality_model, op9_line_rules, op10_cross_entropy)}
