@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import line_rules, lm, mixing, near_dups, pieces, pii, quality_model, topk, urls
+from hazardlens.llm import line_rules, lm, mixing, near_dups, pieces, pii, quality_model, suffix_dedup, topk, urls
 
 RULES = (
     urls.Rule("org/", "allow"),
@@ -56,6 +56,11 @@ def op4_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), width=4)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that occurred before."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return pieces.encode_and_check(table(spark, folder, "documents").select("doc_id", "text"))
@@ -99,4 +104,4 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.cross_entropy_difference(marked, "target")
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op2_mixing, op3_url_filter, op4_minhash_dedup, op6_sentencepiece, op7_personal_data, op8_quality_model, op9_line_rules, op10_cross_entropy)}
+QUERIES = {f.__name__: f for f in (op1_topk_search, op2_mixing, op3_url_filter, op4_minhash_dedup, op5_suffix_dedup, op6_sentencepiece, op7_personal_data, op8_quality_model, op9_line_rules, op10_cross_entropy)}
