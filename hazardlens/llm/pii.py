@@ -255,17 +255,19 @@ def redact(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) ->
     Where spans overlap, the text from the first start to the last end goes under the
     kind of the first. Null texts stay null; otherwise as ``find_spans``.
     """
-    found = find_spans(df, text, rules)
+    whole = df.select(F.struct("*").alias("_whole"), F.col(text).alias("_text"))
+    found = find_spans(whole, "_text", rules)
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        kept = F.substr(F.col(text), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        kept = F.substr(F.col("_text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         mark = F.when(s["start"] >= acc["at"], F.get(names, s["kind"])).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], kept, mark).alias("out"))
 
     def close(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substr(F.col(text), acc["at"] + 1, F.length(text)))
+        return F.concat(acc["out"], F.substr(F.col("_text"), acc["at"] + 1, F.length("_text")))
 
-    clean = F.when(F.size("spans") == 0, F.col(text)).otherwise(F.aggregate("spans", start, step, close))
-    return found.withColumn(text, F.when(F.col(text).isNotNull(), clean)).select(*df.columns)
+    clean = F.when(F.size("spans") == 0, F.col("_text")).otherwise(F.aggregate("spans", start, step, close))
+    clean = F.when(F.col("_text").isNotNull(), clean)
+    return found.select(*[clean.alias(c) if c == text else F.col("_whole").getField(c).alias(c) for c in df.columns])
