@@ -32,10 +32,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     out, repeated edges count once, no edges give an empty result.
     """
     now = staged(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
-    mark = None
-    while True:
+    mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    while mark[0]:
         now = staged(_small_star(_large_star(now)))
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            break
         mark = seen
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

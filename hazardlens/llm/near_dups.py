@@ -18,7 +18,8 @@ WIDTH = 5
 PERCENT = 80
 ROWS = 7
 BANDS = 48
-MORE_CENTERS = 8
+# star rounds go on while more than one edge in so many holds
+WORTH = 8
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _ODD = _rng.integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
@@ -115,29 +116,9 @@ def _sets(id: str, text: str, width: int):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in batches.pieces(stream, text):
             sets = shingle_sets(batches.words(batches.encoded(piece.column(text))), width)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(id), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"]
-            )
-
-    return run
-
-
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets share ``percent`` of their union."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
-def _confirmed(percent: int):
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            good = [
-                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                for x, y in zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("center"), batch.column("node"), pa.array(good, pa.bool_())], names=["center", "node", "linked"]
-            )
+            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([piece.column(id), lists], names=["node", "members"])
 
     return run
 
@@ -147,32 +128,94 @@ def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ends = edges.join(sets.select("node", F.col("members").alias("_y")), "node").join(
         sets.select(F.col("node").alias("center"), F.col("members").alias("_x")), "center"
     )
-    tested = ends.select("center", "node", "_x", "_y").mapInArrow(_confirmed(percent), "center long, node long, linked boolean")
-    return staged(tested.groupBy("center", "node").agg(F.max("linked").alias("linked")))
+    both = F.size(F.array_intersect("_x", "_y"))
+    linked = both * 100 >= (F.size("_x") + F.size("_y") - both) * percent
+    return staged(ends.select("center", "node", linked.alias("linked")).groupBy("center", "node").agg(F.max("linked").alias("linked")))
+
+
+def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of the buckets that hold more than one component."""
-    named = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _open(buckets: DataFrame, labels: DataFrame, used: DataFrame | None) -> DataFrame:
+    """Members of buckets of several components that are not in the component of a centre they had."""
+    named = _labelled(buckets, labels)
+    if used is not None:
+        had = _labelled(used.withColumnRenamed("center", "node"), labels).select("key", "label").distinct()
+        named = named.join(had, ["key", "label"], "left_anti")
     keys = named.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l <> _h")
     return named.join(keys.select("key"), "key")
 
 
-def _candidates(mixed: DataFrame, tested: DataFrame | None, centers: int, percent: int) -> DataFrame:
-    """Edges from each bucket's ``centers`` best connected members to members of other components."""
-    if centers == 1:
-        first = F.max(F.struct("degree", -F.col("node"), "node", "n_shingles", "label"))
-        best = mixed.groupBy("key").agg(first.alias("c")).select("key", "c.*")
-    else:
-        rank = Window.partitionBy("key").orderBy(F.col("degree").desc(), "node")
-        best = mixed.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= centers)
-    best = best.select(
-        "key", F.col("node").alias("center"), F.col("n_shingles").alias("_n"), F.col("label").alias("_label")
-    )
-    near = F.least("n_shingles", "_n") * 100 >= F.greatest("n_shingles", "_n") * percent
-    pairs = mixed.join(best, "key").where(near & (F.col("label") != F.col("_label")))
-    pairs = pairs.select(F.least("center", "node").alias("center"), F.greatest("center", "node").alias("node")).distinct()
-    return pairs if tested is None else pairs.join(tested, ["center", "node"], "left_anti")
+def _centers(members: DataFrame, key: str) -> DataFrame:
+    """The member of the highest degree of each key, ties to the smallest."""
+    first = F.max(F.struct("degree", -F.col("node"), "node", "n_shingles", "label")).alias("c")
+    best = members.groupBy(key).agg(first)
+    return best.select(key, F.col("c.node").alias("center"), F.col("c.n_shingles").alias("_n"), F.col("c.label").alias("_label"))
+
+
+def _pairs(rows: DataFrame, tested: DataFrame | None) -> DataFrame:
+    pairs = rows.select(F.least("center", "node").alias("center"), F.greatest("center", "node").alias("node")).distinct()
+    return staged(pairs if tested is None else pairs.join(tested, ["center", "node"], "left_anti"))
+
+
+def _first_shingles(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each node with their place in the order of rarity.
+
+    As many as must be looked at so that a node that is similar enough shares one.
+    """
+    single = nodes.join(sets, "node").select("node", F.explode("members").alias("shingle"))
+    rarity = single.groupBy("shingle").agg(F.count("*").alias("f"))
+    ranked = single.join(rarity, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("r"))
+    size = F.size("r")
+    most = size - F.ceil(size * percent / 100).cast("int") + 1
+    first = ranked.select("node", size.alias("n"), F.slice("r", F.lit(1), most)["shingle"].alias("first"))
+    return first.select("node", "n", F.posexplode("first").alias("at", "shingle"))
+
+
+def _remaining(mixed: DataFrame, sets: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components among these nodes that can be similar enough.
+
+    Two nodes can only reach the similarity if they share one of the first shingles of
+    both in the order of rarity, early enough that what follows still suffices (prefix
+    and position filter; the shorter one needs an even shorter prefix). Copies that are
+    far from all others have so many rare shingles of their own that nothing is left to
+    share. The members of the largest component of a bucket are not compared with each
+    other, which spares most pairs of a common shingle.
+    """
+    nodes = staged(mixed.groupBy("node").agg(F.min("label").alias("label"), F.max("apart").alias("apart")))
+    placed = staged(_first_shingles(nodes.select("node"), sets, percent).join(nodes, "node"))
+    x, y = placed.where("apart").alias("x"), placed.alias("y")
+    short = "least(x.n, y.n)"
+    # the shorter of two needs to share within this many
+    brief = f"{short} - ceil({2 * percent} * {short} / {100 + percent}) + 1"
+    at_short = "if(struct(x.n, x.node) < struct(y.n, y.node), x.at, y.at)"
+    reach = f"{100 + percent} * least(x.n - x.at, y.n - y.at) >= {percent} * (x.n + y.n)"
+    fit = f"x.label <> y.label and 100 * {short} >= {percent} * greatest(x.n, y.n) and {at_short} < {brief} and {reach}"
+    found = x.join(y, F.expr(f"x.shingle = y.shingle and {fit}"))
+    return _pairs(found.select(F.col("x.node").alias("center"), F.col("y.node").alias("node")), tested)
+
+
+def _near_labels(judged: DataFrame) -> DataFrame:
+    """For every node of a link the smallest node within two links."""
+    links = judged.where("linked").select(F.col("center").alias("a"), F.col("node").alias("b"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+    two = both.join(one, "b").groupBy("a").agg(F.min("m").alias("m"))
+    return staged(two.select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+
+
+def _roots(judged: DataFrame) -> DataFrame:
+    """The smallest node that can be reached, for every node of a link.
+
+    Links inside a star vanish with its label; only what is left between labels is
+    followed further.
+    """
+    near = _near_labels(judged)
+    left = judged.where("linked").join(near, "node").select("center", F.col("label").alias("b"))
+    left = left.join(near.select(F.col("node").alias("center"), F.col("label").alias("a")), "center").where("a <> b")
+    roots = components(left, "a", "b").withColumnRenamed("node", "label")
+    return near.join(roots, "label", "left").select("node", F.coalesce("component", "label").alias("label"))
 
 
 def near_duplicates(
@@ -191,11 +234,12 @@ def near_duplicates(
     reached over links, and the document of that id is kept.
 
     Equal sets are one node from the start. Nodes that agree in all rows of a band fall
-    into a bucket. Per bucket, edges go from its best connected member to the members
-    that are not yet in its component, and each edge is confirmed on the full sets. A
-    bucket whose members are still apart afterwards gets eight times as many centres
-    in the next round, until every pair that is not already connected has been tested: no
-    bucket is cut, and none is ever expanded into all its pairs while one star joins it.
+    into a bucket. Per bucket, edges go from its best connected member to those that are
+    not yet in its component, and each edge is confirmed on the full sets. Members still
+    apart get a centre among themselves, as long as that links a fair share. Then the pairs left,
+    of different components in one bucket, are found by a prefix and position filter
+    and confirmed too, so no bucket is cut and no link within one is lost; no bucket is
+    expanded into all its pairs.
     A link of exactly 80 % shares no band with a probability of about one in 80,000.
 
     A text without words (null, empty, blank) has no shingles and is linked with nothing.
@@ -213,20 +257,25 @@ def near_duplicates(
     degrees = found.groupBy("node").agg(F.sum("size").alias("degree"))
     buckets = staged(found.join(degrees, "node").select("key", "node", "n_shingles", "degree"))
     active = rows_in.withColumnRenamed("doc_id", "node").join(degrees.select("node"), "node", "left_semi")
-    sets = staged(active.mapInArrow(_sets("node", "text", width), "node long, members binary").where("length(members) > 0"))
+    sets = staged(active.mapInArrow(_sets("node", "text", width), "node long, members array<bigint>").where("size(members) > 0"))
 
-    labels = df.sparkSession.createDataFrame([], "node long, label long")
-    tested, covered, centers = None, 0, 1
+    members, used, tested = buckets.withColumn("label", F.col("node")), None, None
+    near = F.least("n_shingles", "_n") * 100 >= F.greatest("n_shingles", "_n") * percent
     while True:
-        mixed = staged(_mixed(buckets, labels))
-        largest = mixed.groupBy("key").count().agg(F.max("count")).first()[0] or 0
-        if covered >= largest:
+        best = _centers(members, "key")
+        star = members.join(best, "key").where(near & (F.col("label") != F.col("_label")))
+        judged = _confirm(_pairs(star, tested), sets, percent)
+        used = best.select("key", "center") if used is None else used.unionByName(best.select("key", "center"))
+        used, tested = staged(used), judged if tested is None else staged(tested.unionByName(judged))
+        labels = _near_labels(tested)
+        count = judged.agg(F.count("*").alias("all"), F.count(F.when(F.col("linked"), 1)).alias("good")).first()
+        members = staged(_open(buckets, labels, used))
+        if count["good"] * WORTH <= count["all"]:
             break
-        judged = _confirm(staged(_candidates(mixed, tested, centers, percent)), sets, percent)
-        tested = judged if tested is None else staged(tested.unionByName(judged))
-        roots = components(tested.where("linked"), "center", "node")
-        labels = roots.select("node", F.col("component").alias("label"))
-        covered, centers = centers, centers * MORE_CENTERS
+    mixed = _open(buckets, labels, None)
+    apart = mixed.join(_centers(mixed, "key").select("key", "_label"), "key").withColumn("apart", F.col("label") != F.col("_label"))
+    judged = _confirm(_remaining(apart, sets, tested, percent), sets, percent)
+    labels = _roots(tested.unionByName(judged))
 
     names = part.groupBy("set_hash").agg(F.min("doc_id").alias("node"))
     classes = names.join(labels, "node", "left").select("set_hash", F.coalesce("label", "node").alias("_component"))
