@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 ROW_ORDER = ("seq",)
 
 
+def file_order(df) -> list[str]:
+    """The columns that give a row's place, of one file or of several."""
+    return [c for c in ("source_file", "seq") if c in df.columns]
+
+
 def order_key(order: Sequence[str]) -> Column:
     """One comparable value for a row's place; a plain column stays a plain column."""
     cols = [F.col(c) for c in order]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # every character str.strip() would remove
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 SPACE_CLASS = f"[{WHITESPACE}]"
+# what a header key replaces by one underscore
+_NOT_IN_KEYS = "[^a-z0-9]+"
 
 # fixed value: listing text that carries an uploaded asset's name
 LISTING_NAME = r"(?i)Asset name\s*:\s*(.*?)\s*(?=Asset type|Value|Revenues|Resilience|$)"
@@ -39,14 +43,13 @@ def strip(c) -> Column:
 
 def normalize_key(c) -> Column:
     """Header spelling to snake_case: ``" Asset Value (USD)"`` to ``asset_value_usd``."""
-    words = F.regexp_replace(F.lower(strip(c)), "[^a-z0-9]+", "_")
+    words = F.regexp_replace(F.lower(strip(c)), _NOT_IN_KEYS, "_")
     return F.btrim(words, F.lit("_"))
 
 
 def normalize_header(name: str) -> str:
     """The same rule for one header on the driver, where column names live."""
-    kept = "".join(ch if ch in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for ch in name.lower())
-    return "_".join(kept.split())
+    return re.sub(_NOT_IN_KEYS, "_", name.lower()).strip("_")
 
 
 def slug(c, fallback: str = "asset") -> Column:

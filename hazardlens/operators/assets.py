@@ -55,13 +55,13 @@ def dedupe_manifest(manifest: DataFrame, order: Sequence[str] = ROW_ORDER) -> Da
     )
 
 
-def join_back(results: DataFrame, manifest: DataFrame, name: str = "asset_name", **skew) -> DataFrame:
+def join_back(results: DataFrame, manifest: DataFrame, name: str = "asset_name") -> DataFrame:
     """Any result table with its manifest row as a struct, null where none matches.
 
     ``manifest`` is the output of :func:`dedupe_manifest`.
     """
     right = manifest.withColumnRenamed("scr_asset_name", name)
-    return lookup_join(results, right, [name], "left", **{"check_size": True, **skew})
+    return lookup_join(results, right, [name], "left")
 
 
 def unmatched_assets(results: DataFrame, manifest: DataFrame, name: str = "assetName") -> DataFrame:
@@ -94,6 +94,7 @@ def recover_plants(results: DataFrame, plants: DataFrame, name: str = "assetName
         }
     )
     known = plants.select(F.col("id").alias("plant_uuid"), F.col("slug").alias("plant_slug"))
-    return parsed.join(known, "plant_uuid", "left").select(
+    # names without a uuid are dealt by name
+    return lookup_join(parsed, known, ["plant_uuid"], spread=name).select(
         name, "plant_uuid", "generator_uuid", "plant_slug", F.col("plant_slug").isNotNull().alias("recovered")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.functions.numbers import float_column, int_column, is_valid
+from hazardlens.functions.ordering import ROW_ORDER
 from hazardlens.functions.text import blank_to_null, first_non_blank, is_blank
 
 KEYS = ["asset_name", "scenario", "horizon"]
@@ -49,8 +50,8 @@ def asset_context(rows: DataFrame) -> list[Column]:
     return [optional_text(rows, source).alias(name) for name, source in names.items()]
 
 
-def indicator_rows(rows: DataFrame) -> DataFrame:
-    """One evidence row per valid physical row, with or without a hazard."""
+def indicator_rows(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """One evidence row per valid physical row, with or without a hazard, and its place."""
     base = valid_axes(rows)
     return base.select(
         *KEYS,
@@ -59,12 +60,12 @@ def indicator_rows(rows: DataFrame) -> DataFrame:
         float_column(base, "indicatorValue").alias("value"),
         blank_to_null("indicatorUnit").alias("unit"),
         blank_to_null("indicatorRating").alias("rating"),
-        "seq",
+        *order,
     )
 
 
-def subrisk_rows(rows: DataFrame) -> DataFrame:
-    """One evidence row per valid transition row."""
+def subrisk_rows(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """One evidence row per valid transition row, and its place."""
     base = valid_axes(rows)
     return base.select(
         *KEYS,
@@ -74,7 +75,7 @@ def subrisk_rows(rows: DataFrame) -> DataFrame:
         "subrisk",
         float_column(base, "adjustedSubriskRevenueImpact").alias("adjusted_revenue_impact"),
         first_non_blank("adjustedSubriskExposureRating", "subriskExposureRating").alias("rating"),
-        "seq",
+        *order,
     )
 
 

@@ -7,92 +7,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardlens.session import shared_folder
 
-# a right side up to this size is broadcast
-BROADCAST_ROWS = 50_000
-BROADCAST_BYTES = 64 << 20
-# a left key beyond this many rows is spread, one task for each such portion of it
-HOT_ROWS = 2_000_000
-HOT_KEYS = 1_000
-MAX_SALTS = 100_000
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is small, by the text length of at most ``rows`` + 1 of its rows.
-
-    ``take`` reads partition by partition and stops early, so a large table is found
-    out from its first ones; only one number per row reaches the driver.
-    """
-    lengths = df.select(F.octet_length(F.to_json(F.struct(*df.columns))).alias("n")).take(rows + 1)
-    return len(lengths) <= rows and sum(row["n"] for row in lengths) <= size
-
 
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    check_size: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: str | None = None
 ) -> DataFrame:
     """``left`` joined to ``right``, which has at most one row per key.
 
-    With ``check_size`` a right side that is found to be small is broadcast; ask for
-    it where the right side is cheap to evaluate. Otherwise both sides are shuffled:
-    a key with more than ``hot_rows`` rows on the left is spread over as many tasks
-    as it has portions of that size, and its single right-hand row is repeated for
-    each. Left rows with a null key never match, so they are spread at will. The list
-    of hot keys is a map-side-combined count cut to ``HOT_KEYS`` rows, so broadcasting
-    it is safe at any size; a key beyond that list still joins, only unsalted.
-    ``hot_rows=None`` spares the count where only null keys can pile up.
+    Whether a side is broadcast and where a hot key of the left side is split is left
+    to the engine, which knows the sizes when it runs; nothing runs while the plan is
+    built, and only the columns that are used are read. ``spread`` names a column that
+    tells the left rows without a key apart: they match nothing, so they are dealt by
+    its value and do not meet in one task.
     """
     on = list(on)
-    if check_size and fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
-    hashable = [
-        f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
+    if spread is None:
+        return left.join(right, on, how)
     null_key = F.lit(False)
     for name in on:
         null_key = null_key | F.col(name).isNull()
-    salt, copies = F.when(null_key, row_hash), F.array(F.lit(0).cast("bigint"))
-    if hot_rows is not None:
-        hot = F.broadcast(_hot_keys(left, on, hot_rows))
-        left, right = left.join(hot, on, "left"), right.join(hot, on, "left")
-        salt = salt.when(F.col("_salts").isNotNull(), F.pmod(row_hash, F.col("_salts")))
-        copies = F.when(
-            F.col("_salts").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1)
-        ).otherwise(copies)
-    salted = left.withColumn("_salt", salt.otherwise(0)).drop("_salts")
-    repeated = right.withColumn("_salt", F.explode(copies)).drop("_salts")
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def _hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
-    """The largest keys and over how many tasks each is to be spread."""
-    portions = F.least(F.ceil(F.col("count") / max(hot_rows, 1)), F.lit(MAX_SALTS)).cast("bigint")
-    return (
-        df.groupBy(*on)
-        .count()
-        .where(F.col("count") > hot_rows)
-        .orderBy(F.col("count").desc(), *on)
-        .limit(HOT_KEYS)
-        .select(*on, portions.alias("_salts"))
-    )
+    dealt = left.withColumn("_spread", F.when(null_key, F.xxhash64(spread)).otherwise(0))
+    return dealt.join(right.withColumn("_spread", F.lit(0).cast("bigint")), [*on, "_spread"], how).drop("_spread")
 
 
-def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str], **skew) -> DataFrame:
+def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
     """``left``, unique on the key, with every matching row of ``many`` or with nulls.
 
-    A plain left join cannot split a hot key of its right side, so the matches are
-    looked up from the side that has many, and the rest of ``left`` is added.
+    The engine cannot split a hot key on the right of a left join, but on either side of
+    an inner one; so the matches are joined there, and the rest of ``left`` is added.
     """
     on = list(on)
-    matched = lookup_join(many, left, on, "inner", **skew)
+    matched = many.join(left, on)
     lonely = left.join(many.select(*on).distinct(), on, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 

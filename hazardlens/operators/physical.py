@@ -123,5 +123,5 @@ def build_physical(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> dict[st
     return {
         "trends": physical_trends(rows, order),
         "hazards": hazards(rows, order=order),
-        "indicators": indicator_rows(rows),
+        "indicators": indicator_rows(rows, order),
     }

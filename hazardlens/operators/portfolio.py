@@ -30,13 +30,13 @@ def portfolio_rating(table: DataFrame, keys: Sequence[str], col: str, half_up: b
     )
 
 
-def with_portfolio(results: DataFrame, manifest: DataFrame, name: str = "asset_name", **skew) -> DataFrame:
+def with_portfolio(results: DataFrame, manifest: DataFrame, name: str = "asset_name") -> DataFrame:
     """Result rows of assets in the manifest, with portfolio and plant ids."""
     right = manifest.select(
         F.col("scr_asset_name").alias(name),
         *[F.col(f"manifest.{c}").alias(c) for c in ("portfolio_id", "portfolio_asset_id", "plant_uuid")],
     )
-    return lookup_join(results, right, [name], "inner", **{"check_size": True, **skew})
+    return lookup_join(results, right, [name], "inner")
 
 
 def portfolio_rollup(

@@ -209,7 +209,7 @@ def compare_with_manifest(
 # -- imports --------------------------------------------------------------------------------
 
 
-def import_summary(results: DataFrame, manifest: DataFrame, **skew) -> DataFrame:
+def import_summary(results: DataFrame, manifest: DataFrame) -> DataFrame:
     """Per file: rows, assets, matched and unmatched assets.
 
     Counted over one row per file and asset, so that a large asset costs one row.
@@ -222,7 +222,7 @@ def import_summary(results: DataFrame, manifest: DataFrame, **skew) -> DataFrame
     )
     named = ~is_blank("assetName")
     return (
-        lookup_join(per_asset, known, ["assetName"], **{"check_size": True, **skew})
+        lookup_join(per_asset, known, ["assetName"])
         .groupBy("import_id", "source_file")
         .agg(
             F.max("_run").alias("scr_run_id"),

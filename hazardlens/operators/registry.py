@@ -88,7 +88,7 @@ def plant_records(reg: Registry, plants: DataFrame | None = None) -> DataFrame:
     )
     finance = reg.financial_plant.select(F.col("plant_id").alias("id"), "latest_capex_per_kw")
     # many plants have no index id, and those must not meet in one task
-    indexed = lookup_join(plants, index, ["eia_plant_id"], hot_rows=None)
+    indexed = lookup_join(plants, index, ["eia_plant_id"], spread="id")
     joined = indexed.join(finance, "id", "left")
     parsed = joined.withColumn("_json", F.from_json("data", _JSON_SCHEMA))
 
@@ -162,20 +162,18 @@ def scope_plants(reg: Registry, ids: Sequence[str] | DataFrame) -> DataFrame:
     memberships = live(reg.portfolio_asset).select(
         F.col("id").alias("portfolio_asset_id"), F.col("reference_plant_id").alias("plant_uuid"), "portfolio_id"
     )
-    owned = lookup_join(records, _workspaces(reg.workspace), ["workspace_id"], check_size=True)
+    owned = lookup_join(records, _workspaces(reg.workspace), ["workspace_id"], spread="plant_uuid")
     # a workspace that is not in the table leaves its id null, as the joined id would be
     owned = owned.withColumn(
         "workspace_id", F.when(F.col("_is_workspace"), F.col("workspace_id"))
     )
-    placed = lookup_join(
-        owned, _states(reg.workspace_asset), ["workspace_id", "plant_uuid"], hot_rows=None
-    )
+    placed = lookup_join(owned, _states(reg.workspace_asset), ["workspace_id", "plant_uuid"])
     return _finish(_with_live_portfolio(left_join_many(placed, memberships, ["plant_uuid"]), reg))
 
 
 def _with_live_portfolio(df: DataFrame, reg: Registry) -> DataFrame:
     """Adds the portfolio; a membership of a deleted portfolio keeps its row without one."""
-    named = lookup_join(df, _portfolios(reg.portfolio), ["portfolio_id"], check_size=True)
+    named = lookup_join(df, _portfolios(reg.portfolio), ["portfolio_id"], spread="plant_uuid")
     return named.withColumn(
         "portfolio_id", F.when(F.col("_is_portfolio"), F.col("portfolio_id"))
     )
@@ -194,11 +192,10 @@ def scope_portfolio(reg: Registry, portfolio_id: str | None = None) -> DataFrame
         "portfolio_id",
         "workspace_id",
     )
-    # a plant may sit in very many portfolios, so it is looked up hot-key-safe and first
     facts = lookup_join(facts, plant_records(reg), ["plant_uuid"], "inner")
-    facts = lookup_join(facts, portfolios, ["portfolio_id"], "inner", check_size=True)
-    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner", check_size=True)
-    return _finish(facts.join(_states(reg.workspace_asset), ["workspace_id", "plant_uuid"], "left"))
+    facts = lookup_join(facts, portfolios, ["portfolio_id"], "inner")
+    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner")
+    return _finish(lookup_join(facts, _states(reg.workspace_asset), ["workspace_id", "plant_uuid"]))
 
 
 def scope_workspace(reg: Registry, workspace_id: str | None = None, state: str = "portfolio") -> DataFrame:
@@ -218,7 +215,7 @@ def scope_workspace(reg: Registry, workspace_id: str | None = None, state: str =
         "portfolio_id",
     )
     facts = lookup_join(facts, plant_records(reg), ["plant_uuid"], "inner")
-    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner", check_size=True)
+    facts = lookup_join(facts, _workspaces(live(reg.workspace)), ["workspace_id"], "inner")
     facts = left_join_many(facts, baseline, ["workspace_id", "plant_uuid"])
     return _finish(_with_live_portfolio(facts, reg))
 

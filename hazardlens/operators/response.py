@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.numbers import is_valid
 from hazardlens.operators.axes import KEYS
-from hazardlens.operators.joins import lookup_join, staged
+from hazardlens.operators.joins import lookup_join
 
 # fixed values: response metrics in the order they are tried
 RESPONSE_METRICS = {
@@ -71,7 +71,7 @@ def response_metric(hazards: DataFrame) -> DataFrame:
     return hazards.select(*KEYS, "hazard", name.alias("metric"), value.alias("y"))
 
 
-def response_points(indicators: DataFrame, hazards: DataFrame, **skew) -> DataFrame:
+def response_points(indicators: DataFrame, hazards: DataFrame) -> DataFrame:
     """Indicator magnitude joined to the hazard's response at the same horizon."""
     x = indicators.where(is_valid("value") & F.col("hazard").isNotNull()).select(
         *KEYS,
@@ -83,7 +83,7 @@ def response_points(indicators: DataFrame, hazards: DataFrame, **skew) -> DataFr
         "seq",
     )
     y = response_metric(hazards).where(is_valid("y"))
-    return lookup_join(x, y, [*KEYS, "hazard"], "inner", **skew)
+    return lookup_join(x, y, [*KEYS, "hazard"], "inner")
 
 
 def response_series(points: DataFrame, k: int = 4, min_points: int = 3) -> DataFrame:
@@ -106,11 +106,11 @@ def response_series(points: DataFrame, k: int = 4, min_points: int = 3) -> DataF
     return stats.withColumn("series_rank", F.row_number().over(rank)).where(F.col("series_rank") <= k)
 
 
-def magnitude_response(indicators: DataFrame, hazards: DataFrame, k: int = 4, **skew) -> DataFrame:
+def magnitude_response(indicators: DataFrame, hazards: DataFrame, k: int = 4) -> DataFrame:
     """The points of the most varied series, one row each; read them by x, then horizon.
 
     This is a derived view over returned rows, not a damage curve of the vendor.
     """
-    points = staged(response_points(indicators, hazards, **skew))
+    points = response_points(indicators, hazards)
     kept = response_series(points, k).drop("metric")
-    return lookup_join(points, kept, SERIES, "inner", **skew)
+    return lookup_join(points, kept, SERIES, "inner")

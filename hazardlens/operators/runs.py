@@ -35,16 +35,13 @@ def run_totals(exported: DataFrame) -> DataFrame:
     )
 
 
-def message_map(exported: DataFrame, col: str, limit: int = 10_000) -> dict[str, int]:
-    """Message counts for the run summary file.
-
-    Messages quote unknown asset types and countries, so their number is checked
-    before they go into one map; a run with more keeps them as a table.
-    """
-    found = count_messages(exported, col).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} different messages; write count_messages() as a table")
-    return {row["message"]: row["n"] for row in found}
+def message_counts(exported: DataFrame) -> DataFrame:
+    """Errors and warnings of a run with their counts, as ``kind, message, n``; of any number."""
+    kinds = [
+        count_messages(exported, col).select(F.lit(kind).alias("kind"), "message", "n")
+        for kind, col in (("error", "errors"), ("warning", "warnings"))
+    ]
+    return kinds[0].unionByName(kinds[1])
 
 
 def job_status(totals: DataFrame) -> DataFrame:

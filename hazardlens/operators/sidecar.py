@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.ordering import ROW_ORDER, last_row
 from hazardlens.functions.text import is_blank
-from hazardlens.operators.joins import fits_broadcast, lookup_join, staged
+from hazardlens.operators.joins import lookup_join
 from hazardlens.schemas import SIDECAR_KEYS
 
 
@@ -28,15 +28,12 @@ def index_sidecar(sidecar: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataF
     )
 
 
-def resolve_sidecar(
-    assets: DataFrame, sidecar_index: DataFrame, check_size: bool = True, **skew
-) -> DataFrame:
+def resolve_sidecar(assets: DataFrame, sidecar_index: DataFrame) -> DataFrame:
     """Assets with the sidecar row of the first of their keys that has one.
 
     An asset tries its plant uuid, its generated name, its portfolio membership and
-    its index id, in that order. ``side`` is null where nothing matches. A sidecar
-    that is found to be small is looked up four times in place; a large one is
-    joined once, on all tried keys together.
+    its index id, in that order. ``side`` is null where nothing matches. The index is
+    built once and looked up by each key.
     """
     keys = {
         "_k0": F.col("plant_uuid"),
@@ -44,25 +41,9 @@ def resolve_sidecar(
         "_k2": F.col("portfolio_asset_id"),
         "_k3": F.col("eia_plant_id").cast("string"),
     }
-    blank = F.lit("")
-    named = assets.withColumns({name: F.coalesce(key, blank) for name, key in keys.items()})
-    if check_size and fits_broadcast(sidecar_index):
-        for i, key in enumerate(keys):
-            table = sidecar_index.select(F.col("_key").alias(key), F.col("side").alias(f"_s{i}"))
-            named = named.join(F.broadcast(table), key, "left")
-        return named.withColumn("side", F.coalesce(*[f"_s{i}" for i in range(len(keys))])).drop(
-            *keys, *[f"_s{i}" for i in range(len(keys))]
-        )
-    named = staged(named)
-    tries = (
-        named.select(*keys)
-        .distinct()
-        .select(*keys, F.posexplode(F.array(*keys)).alias("_try", "_key"))
-        .where(F.col("_key") != "")
-    )
-    found = (
-        lookup_join(tries, sidecar_index, ["_key"], "inner", **skew)
-        .groupBy(*keys)
-        .agg(F.min_by("side", "_try").alias("side"))
-    )
-    return named.join(found, list(keys), "left").drop(*keys)
+    found = assets.withColumns(keys)
+    for i, key in enumerate(keys):
+        table = sidecar_index.select(F.col("_key").alias(key), F.col("side").alias(f"_s{i}"))
+        found = lookup_join(found, table, [key], spread="plant_uuid")
+    sides = [f"_s{i}" for i in range(len(keys))]
+    return found.withColumn("side", F.coalesce(*sides)).drop(*keys, *sides)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.functions.numbers import comparable, float_column, is_valid
-from hazardlens.functions.ordering import ROW_ORDER, first_of_largest, order_key
+from hazardlens.functions.ordering import ROW_ORDER, file_order, first_of_largest, order_key
 from hazardlens.functions.ratings import rating_letter, rating_score
 from hazardlens.functions.text import first_non_blank, is_blank
 from hazardlens.operators.axes import KEYS, filter_driver, subrisk_rows, valid_axes
@@ -138,13 +138,13 @@ def best_impact(subrisks: DataFrame, keys: Sequence[str], keep_empty: bool = Fal
     with nulls.
     """
     payload = F.struct(
-        *[c for c in subrisks.columns if c not in keys and c != "seq"],
+        *[c for c in subrisks.columns if c not in keys and c not in file_order(subrisks)],
     )
     order = [
         F.col("horizon"),
         F.coalesce("subrisk", F.lit("")),
         F.coalesce("indicator", F.lit("")),
-        F.col("seq"),
+        *map(F.col, file_order(subrisks)),
     ]
     source = subrisks if keep_empty else subrisks.where(is_valid("adjusted_revenue_impact"))
     value = F.col("adjusted_revenue_impact")
@@ -193,7 +193,7 @@ def build_transition(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> dict[
     return {
         "scenario_rankings": scenario_rankings(rows, order),
         "trends": transition_trends(rows, order),
-        "subrisks": subrisk_rows(rows),
+        "subrisks": subrisk_rows(rows, order),
     }
 
 

@@ -8,35 +8,31 @@ from pyspark.sql import functions as F
 from hazardlens.functions.text import is_blank, strip
 from hazardlens.operators.joins import lookup_join
 
-# fixed values: transition scenario | category | physical scenario
-SCENARIOS = """
-Net Zero 2050 | Orderly | SSP2-4.5
-Below 2C | Orderly | SSP2-4.5
-Delayed Transition | Disorderly | SSP2-4.5
-Fragmented World | Too Little, Too Late | SSP2-4.5
-Nationally Determined Contributions (NDCs) | Hot House World | SSP2-4.5
-Current Policies | Hot House World | SSP2-4.5
-Climate Destabilisation | ECI | SSP5-8.5
-Climate Breakdown | ECI | SSP5-8.5
-"""
-# fixed values: returned spelling | vocabulary spelling
-SCENARIO_ALIASES = """
-ndcs | nationally determined contributions (ndcs)
-below 2°c | below 2c
-"""
-# fixed values: returned driver | display label
-DRIVERS = """
-Direct_carbon_cost | Direct carbon cost
-Market_demand_shifts | Market demand shifts
-"""
-
-
-def _rows(text: str) -> list[tuple[str, ...]]:
-    return [tuple(p.strip() for p in line.split("|")) for line in text.strip().splitlines()]
+# fixed values: transition scenario, category, physical scenario
+SCENARIOS = [
+    ("Net Zero 2050", "Orderly", "SSP2-4.5"),
+    ("Below 2C", "Orderly", "SSP2-4.5"),
+    ("Delayed Transition", "Disorderly", "SSP2-4.5"),
+    ("Fragmented World", "Too Little, Too Late", "SSP2-4.5"),
+    ("Nationally Determined Contributions (NDCs)", "Hot House World", "SSP2-4.5"),
+    ("Current Policies", "Hot House World", "SSP2-4.5"),
+    ("Climate Destabilisation", "ECI", "SSP5-8.5"),
+    ("Climate Breakdown", "ECI", "SSP5-8.5"),
+]
+# fixed values: returned spelling, vocabulary spelling
+SCENARIO_ALIASES = [
+    ("ndcs", "nationally determined contributions (ndcs)"),
+    ("below 2°c", "below 2c"),
+]
+# fixed values: returned driver, display label
+DRIVERS = [
+    ("Direct_carbon_cost", "Direct carbon cost"),
+    ("Market_demand_shifts", "Market demand shifts"),
+]
 
 
 def scenario_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(_rows(SCENARIOS), "scenario string, category string, physical_scenario string")
+    return spark.createDataFrame(SCENARIOS, "scenario string, category string, physical_scenario string")
 
 
 def _lookup(key: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -46,13 +42,13 @@ def _lookup(key: Column, pairs: list[tuple[str, str]]) -> Column:
 def canonical(c) -> Column:
     """A scenario name for matching: outer space, case and known spellings do not matter."""
     key = F.lower(strip(c))
-    return F.coalesce(_lookup(key, _rows(SCENARIO_ALIASES)), key)
+    return F.coalesce(_lookup(key, SCENARIO_ALIASES), key)
 
 
 def with_scenario_category(df: DataFrame, col: str = "scenario") -> DataFrame:
     """Adds category and physical scenario; eight fixed entries, so no join is needed."""
     key = canonical(col)
-    rows = [(name.lower(), category, physical) for name, category, physical in _rows(SCENARIOS)]
+    rows = [(name.lower(), category, physical) for name, category, physical in SCENARIOS]
     return df.withColumns(
         {
             "scenario_category": _lookup(key, [(n, c) for n, c, _ in rows]),
@@ -65,7 +61,7 @@ def display_label(df: DataFrame, col: str, labels: DataFrame, out: str = "label"
     """A label from a table ``raw, label`` unique on ``raw``; raw text where it has none."""
     named = labels.select(F.col("raw").alias(col), F.col("label").alias("_label"))
     return (
-        lookup_join(df, named, [col], check_size=True)
+        lookup_join(df, named, [col])
         .withColumn(out, F.coalesce("_label", F.nullif(F.col(col), F.lit("")), F.lit("n/a")))
         .drop("_label")
     )

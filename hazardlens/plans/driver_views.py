@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators.export import FUEL_ASSET_TYPES, HYDRO_TYPES, SOLAR_TYPES, WIND_TYPES
 from hazardlens.operators.registry import Registry
+from hazardlens.schemas import PHYSICAL_REQUIRED
 
 # tasks get this module's code along, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -233,7 +234,7 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def workbook_files(spark: SparkSession, sf: str, rows_per_file: int = 1000) -> DataFrame:
     """Physical rows packed into workbooks of a bounded number of rows, as ``path, content``."""
-    names = ["assetName", "scenario", "timeHorizon", "hazard", "indicator", "indicatorValue", "indicatorRating"]
+    names = PHYSICAL_REQUIRED
     rows = physical(spark, sf).select("seq", div("seq", rows_per_file).alias("block"), *names)
 
     def pack(table: pa.Table) -> pa.Table:
@@ -245,8 +246,25 @@ def workbook_files(spark: SparkSession, sf: str, rows_per_file: int = 1000) -> D
     return rows.groupBy("block").applyInArrow(pack, "path string, content binary")
 
 
-def _workbook(lines: list[list]) -> bytes:
-    """The smallest workbook that holds the lines on its sheet ``Output``."""
+def broken_workbooks(spark: SparkSession, sf: str) -> DataFrame:
+    """One workbook per supplier: good, without two columns, of the other kind, without the sheet, no workbook."""
+    full = [*PHYSICAL_REQUIRED]
+    lacking = [c for c in full if c not in ("climateZone", "countryCode")]
+    returned = ["assetName", "scenario", "timeHorizon", "subrisk"]
+    kinds = [_workbook([full]), _workbook([lacking]), _workbook([returned]), _workbook([full], "Input"), b"no workbook"]
+
+    def pack(batches):
+        for batch in batches:
+            keys = batch.column("s_suppkey").to_pylist()
+            yield pa.RecordBatch.from_pydict(
+                {"path": [f"supplier_{k}" for k in keys], "content": [kinds[k % len(kinds)] for k in keys]}
+            )
+
+    return table(spark, sf, "supplier").select("s_suppkey").mapInArrow(pack, "path string, content binary")
+
+
+def _workbook(lines: list[list], sheet: str = "Output") -> bytes:
+    """The smallest workbook that holds the lines on one sheet."""
 
     def cell(line: int, column: int, value) -> str:
         place = f'r="{chr(65 + column)}{line}"'
@@ -262,7 +280,7 @@ def _workbook(lines: list[list]) -> bytes:
     )
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        sheets = '<sheets><sheet name="Output" sheetId="1" r:id="s"/></sheets>'
+        sheets = '<sheets><sheet name="' + sheet + '" sheetId="1" r:id="s"/></sheets>'
         book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{links}">{sheets}</workbook>')
         book.writestr("xl/_rels/workbook.xml.rels", '<R><Relationship Id="s" Target="worksheets/o.xml"/></R>')
         book.writestr("xl/worksheets/o.xml", f'<worksheet xmlns="{main}"><sheetData>{rows}</sheetData></worksheet>')

@@ -10,17 +10,16 @@ from pyspark.sql import functions as F
 from hazardlens.functions.text import is_blank
 from hazardlens.operators import quality
 from hazardlens.operators.joins import lookup_join
+from hazardlens.sinks.writers import write_import
 
 
-def normalize_import(
-    rows: DataFrame, manifest: DataFrame, import_id: str, imported_at: str, **skew
-) -> DataFrame:
+def normalize_import(rows: DataFrame, manifest: DataFrame, import_id: str, imported_at: str) -> DataFrame:
     """Result rows under their vendor names, with run, plant and membership ids in front."""
     context = manifest.select(
         F.col("scr_asset_name").alias("assetName"),
         *[F.col(f"manifest.{c}").alias(c) for c in ("scr_run_id", "plant_uuid", "portfolio_asset_id")],
     )
-    joined = lookup_join(rows, context, ["assetName"], "left", **{"check_size": True, **skew})
+    joined = lookup_join(rows, context, ["assetName"], "left")
     return joined.select(
         F.lit(import_id).alias("import_id"),
         F.lit(imported_at).alias("imported_at"),
@@ -31,16 +30,19 @@ def normalize_import(
     )
 
 
-def check_import(headers: DataFrame, rows: DataFrame, manifest: DataFrame, shown: int = 20) -> None:
-    """Raises when anything would make the import wrong; names the first findings."""
-    found = (
-        quality.import_failures(headers, rows, manifest)
-        .orderBy("source_file", "code", "detail")
-        .limit(shown)
-        .collect()
-    )
-    if found:
-        listed = "; ".join(f"{r['source_file']}: {r['code']} {r['detail']}" for r in found)
+def check_import(headers: DataFrame, rows: DataFrame, manifest: DataFrame, folder: str | None = None) -> None:
+    """Raises when anything would make the import wrong, with the number of findings by code.
+
+    With a ``folder`` all findings of this attempt are written there first, one row each.
+    """
+    found = quality.import_failures(headers, rows, manifest)
+    if folder is not None:
+        found.write.mode("overwrite").parquet(folder)
+        found = found.sparkSession.read.schema(found.schema).parquet(folder)
+    # one row per code, of which there are a handful
+    counts = found.groupBy("code").agg(F.count("*").alias("n"), F.min("source_file").alias("file")).orderBy("code").collect()
+    if counts:
+        listed = "; ".join(f"{r['n']} x {r['code']}, first in {r['file']}" for r in counts)
         raise quality.ImportFailure(listed)
 
 
@@ -57,6 +59,39 @@ def import_manifest(
     return rows.crossJoin(warnings.agg(F.count("*").alias("warning_count")))
 
 
+def import_returns(
+    headers: DataFrame,
+    rows: DataFrame,
+    manifest: DataFrame,
+    kind: str,
+    import_id: str,
+    imported_at: str,
+    folder: str,
+    vocabularies: dict[str, DataFrame],
+    metrics: Sequence[str],
+    optional: Sequence[str] = (),
+    readme: DataFrame | None = None,
+) -> None:
+    """Returned rows of one kind to the four import tables below ``folder``.
+
+    Headers and names are checked first and nothing is written but the findings if any
+    of them stops the import. Then come the normalized rows, the import manifest and
+    all warnings: terms of each vocabulary, blank metrics, absent optional columns and,
+    with ``readme``, files whose ReadMe names another asset. A repeated call adds nothing.
+    """
+    check_import(headers, rows, manifest, f"{folder}/import_failures/{import_id}")
+    done = normalize_import(rows, manifest, import_id, imported_at)
+    warnings = quality.import_warnings(rows, vocabularies, metrics, optional)
+    if readme is not None:
+        other = quality.readme_name_mismatches(readme, rows).groupBy("source_file").agg(F.count("*").alias("n"))
+        warnings = warnings.unionByName(
+            other.select(F.lit("readme_name_differs").alias("code"), F.col("source_file").alias("detail"), "n")
+        )
+    summary = import_manifest(done, manifest, kind, warnings)
+    stamped = warnings.withColumn("import_id", F.lit(import_id))
+    write_import(folder, **{kind: done}, summary=summary, warnings=stamped)
+
+
 def keep_named(rows: DataFrame, axes: Sequence[str] = ("scenario", "timeHorizon")) -> DataFrame:
     """Rows with identity and axes; blank metrics are results too and stay."""
     kept = ~is_blank("assetName")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from hazardlens.schemas import UPLOAD_LAYOUT
+
 ORACLE: dict[str, str] = {}
 
 
@@ -1197,20 +1199,7 @@ put(
 
 # -- files -----------------------------------------------------------------------------------------------------
 
-HEADERS = """Asset Name|Asset type|TICCS Class|TICCS Class name|NACE code|Sector|Operating entity name|Detention rate
-|Country|Country Code (ISO3)|Address|Latitude|Longitude|Revenues|Asset Value|Year|Scope 1|Scope 2
-|Decarbonisation Scope 1|Decarbonisation Scope 2|Flood: Blue-green infrastructure|Flood: Drainage system upgrades
-|Flood: Elevation|Flood: Erosion control|Flood: Flood barriers|Flood: Pumps|Flood: Reservoir capacity expansion
-|Flood: Sea walls|Flood: Spillway enhancement|Flood: Structural improvements|Flood: Undergrounding
-|Storm: Natural infrastructure - vegetation management|Storm: Structural improvements|Storm: Undergrounding
-|Storm: Wind breaks - Structural|Storm: Wind breaks - terrain and landscaping|Storm: Wind breaks - vegetation
-|Heat: Blue-green infrastructure|Heat: Cooling systems - mechanical|Heat: Cooling systems - natural and evaporative
-|Heat: Heat reflective coatings|Heat: Heat-resistant construction materials|Heat: Insulation
-|Heat: Optimise operational practices|Heat: Shading - greening|Heat: Shading - shade structures|Heat: Undergrounding
-|Wildfire: Defensible space management|Wildfire: Erosion and sediment control|Wildfire: Fire retardants
-|Wildfire: Fire suppression systems|Wildfire: Firebreaks|Wildfire: Fireproof building materials
-|Wildfire: Fuel reduction zones|Wildfire: Prescribed burns|Wildfire: Structural hardening|Wildfire: Undergrouding
-|Wildfire: Vegetation management and landscaping""".replace("\n", "").split("|")
+HEADERS = [header for _, header in UPLOAD_LAYOUT]
 FIRST_KEYS = """asset_name asset_type ticcs_class ticcs_class_name nace_code sector operating_entity_name detention_rate
 country country_code address latitude longitude revenues asset_value year""".split()
 put(
@@ -1256,6 +1245,21 @@ put(
     FROM phys LEFT JOIN mani m ON m.scr_asset_name = "assetName"
     CROSS JOIN (VALUES ('first'), ('second')) i(import_id) GROUP BY ALL""",
 )
+put(
+    "workbook_failures",
+    """SELECT 'supplier_' || s_suppkey AS source_file,
+      CASE s_suppkey % 5 WHEN 1 THEN 'missing_columns' WHEN 2 THEN 'wrong_kind' ELSE 'unreadable_file' END AS code,
+      CASE s_suppkey % 5 WHEN 1 THEN 'climateZone, countryCode' WHEN 2 THEN 'transition where physical was asked for'
+        WHEN 3 THEN 'no sheet Output' ELSE 'File is not a zip file' END AS detail
+    FROM supplier WHERE s_suppkey % 5 <> 0""",
+)
+put(
+    "run_messages",
+    f"""SELECT kind, message, count(*) AS n FROM (
+      SELECT 'error' AS kind, unnest(string_split({STRICT_ERRORS}, '|')) AS message FROM {strict}
+      UNION ALL SELECT 'warning', unnest(string_split({STRICT_WARNINGS}, '|')) FROM {strict}
+    ) WHERE message <> '' GROUP BY ALL""",
+)
 put(
     "workbook_rows",
     """SELECT seq, seq % 1000 AS row_in_file, 'block_' || lpad((seq // 1000)::VARCHAR, 6, '0') AS source_file,

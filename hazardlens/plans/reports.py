@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardlens.functions.ordering import file_order
 from hazardlens.functions.display import (
     display_value,
     driver_label,
@@ -121,7 +122,7 @@ def indicator_table(indicators: DataFrame, k: int = TABLE_ROWS) -> DataFrame:
         rating_score("rating").desc(),
         F.coalesce("hazard", F.lit("")),
         F.coalesce("indicator", F.lit("")),
-        F.col("seq"),
+        *map(F.col, file_order(indicators)),
     ]
     top = series.top_rows(axes.rated(indicators), KEYS, order, k)
     return top.withColumns(
@@ -130,7 +131,7 @@ def indicator_table(indicators: DataFrame, k: int = TABLE_ROWS) -> DataFrame:
             "tone": rating_tone("rating"),
             "magnitude": magnitude_label("value", "unit"),
         }
-    ).drop("seq")
+    ).drop("source_file", "seq")
 
 
 def transition_ranking(subrisks: DataFrame, rankings: DataFrame, driver: str = "all") -> DataFrame:
@@ -159,10 +160,10 @@ def subrisk_table(subrisks: DataFrame, driver: str = "all", k: int = TABLE_ROWS)
         F.col("horizon"),
         F.coalesce("subrisk", F.lit("")),
         F.coalesce("indicator", F.lit("")),
-        F.col("seq"),
+        *map(F.col, file_order(subrisks)),
     ]
     rows = axes.quantified(axes.filter_driver(subrisks, driver), "adjusted_revenue_impact")
-    return series.top_rows(rows, ["asset_name", "scenario"], order, k).drop("seq")
+    return series.top_rows(rows, ["asset_name", "scenario"], order, k).drop("source_file", "seq")
 
 
 def asset_kpis(

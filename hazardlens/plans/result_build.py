@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardlens.functions.ordering import ROW_ORDER
+from hazardlens.functions.ordering import ROW_ORDER, file_order
 from hazardlens.operators import assets, physical, quality, transition
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import PHYSICAL_REQUIRED, TRANSITION_REQUIRED
@@ -75,9 +75,9 @@ def in_report_order(table: DataFrame, name: str) -> DataFrame:
         "assets": ["asset_name"],
         "physical_trends": keys,
         "physical_hazards": [*keys, "hazard"],
-        "physical_indicators": [*keys, F.coalesce("hazard", blank), F.coalesce("indicator", blank), "seq"],
+        "physical_indicators": [*keys, F.coalesce("hazard", blank), F.coalesce("indicator", blank), *file_order(table)],
         "transition_trends": keys,
-        "transition_subrisks": [*keys, F.coalesce("subrisk", blank), F.coalesce("indicator", blank), "seq"],
+        "transition_subrisks": [*keys, F.coalesce("subrisk", blank), F.coalesce("indicator", blank), *file_order(table)],
         "transition_scenario_rankings": ["asset_name", F.col("peak_impact").desc(), "scenario"],
     }
     return table.orderBy(*orders[name])

@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators import export, registry, runs
 from hazardlens.operators.export import ExportOptions
+from hazardlens.operators.quality import ImportFailure
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
 
@@ -59,19 +61,16 @@ def write_rejects(exported: DataFrame, path: str, opts: ExportOptions) -> None:
 
 
 def write_run_summary(exported: DataFrame, path: str, opts: ExportOptions, **scope: str | None) -> dict:
-    """Options, counts and message counts of a run as one JSON object."""
+    """Options and counts of a run as one JSON object, message counts as a table beside it.
+
+    Messages quote free text, so their number has no bound; they go to ``<path>_messages``.
+    """
     spark = exported.sparkSession
     totals = runs.run_totals(exported).collect()[0].asDict()
     options = asdict(opts)
-    summary = {
-        "scr_run_id": options.pop("run_id"),
-        **options,
-        **scope,
-        **totals,
-        "warning_counts": runs.message_map(exported, "warnings"),
-        "error_counts": runs.message_map(exported, "errors"),
-    }
+    summary = {"scr_run_id": options.pop("run_id"), **options, **scope, **totals}
     spark.createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.text(path)
+    runs.message_counts(exported).write.json(f"{path}_messages")
     return summary
 
 
@@ -87,10 +86,15 @@ RESULT_TABLES = {
 
 
 def write_results(results: Results, folder: str, meta: DataFrame | None = None, fmt: str = "parquet") -> None:
-    """One table per section, partitioned by scenario so that a view reads one scenario."""
+    """One table per section, partitioned by scenario so that a view reads one scenario.
+
+    Rows are dealt by scenario and range of asset, so that a scenario has few files, each
+    sorted by asset, and a view of one asset skips most row groups.
+    """
     for field, name in RESULT_TABLES.items():
         table = getattr(results, field)
-        writer = table.write.format(fmt)
+        keys = [c for c in ("scenario", "asset_name") if c in table.columns]
+        writer = table.repartitionByRange(*keys).sortWithinPartitions(*keys).write.format(fmt)
         if "scenario" in table.columns:
             writer = writer.partitionBy("scenario")
         writer.save(f"{folder}/{name}")
@@ -98,18 +102,40 @@ def write_results(results: Results, folder: str, meta: DataFrame | None = None,
         meta.write.format(fmt).save(f"{folder}/meta")
 
 
+def _known_imports(rows: DataFrame, folder: str) -> DataFrame | None:
+    """The history, or None before the first import."""
+    try:
+        return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _content(rows: DataFrame) -> DataFrame:
+    """Per import the number of its rows and a sum of their hashes, whatever their order."""
+    names = sorted(c for c in rows.columns if c not in ("import_id", "imported_at"))
+    digest = F.xxhash64(F.to_json(F.struct(*names))).cast("decimal(38,0)")
+    return rows.groupBy("import_id").agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
+
+
 def append_history(rows: DataFrame, folder: str) -> None:
-    """Adds an import to the history. Earlier imports are never touched.
+    """Adds imports to the history; what is there is never touched.
 
-    Only the partitions of the imports at hand are written, so running the same
-    import again replaces it and does not double it.
+    An import whose id is there already is left out if it holds the same rows, as when a
+    run is repeated, and refused if it holds others.
     """
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("import_id")
-        .parquet(folder)
-    )
+    known = _known_imports(rows, folder)
+    if known is not None:
+        ids = rows.select("import_id").distinct()
+        there = _content(known.join(ids, "import_id", "left_semi"))
+        mine = _content(rows).select("import_id", F.col("n").alias("m"), F.col("digest").alias("d"))
+        other = there.join(mine, "import_id").where("n <> m or not digest <=> d")
+        found = other.select("import_id").take(1)
+        if found:
+            raise ImportFailure(f"import {found[0]['import_id']} is in {folder} with other rows")
+        rows = rows.join(there.select("import_id"), "import_id", "left_anti")
+    rows.write.mode("append").partitionBy("import_id").parquet(folder)
 
 
 def write_import(

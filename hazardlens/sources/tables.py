@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from hazardlens.functions.numbers import parse_float
 from hazardlens.functions.ordering import last_row
-from hazardlens.functions.text import blank_to_null, is_blank, normalize_header, strip
+from hazardlens.functions.text import blank_to_null, is_blank, normalize_header, normalize_key, strip
 from hazardlens.operators.assets import dedupe_manifest
 from hazardlens.operators.quality import detect_kind, require_columns
 from hazardlens.operators.registry import Registry
@@ -47,17 +47,6 @@ def _with_place(df: DataFrame, parquet: bool) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("source_file"), place.alias("seq"), "*")
 
 
-def _first_line(spark: SparkSession, path: str) -> list[str]:
-    rows = spark.read.csv(path, header=False, **_CSV).limit(1).collect()
-    return [value or "" for value in rows[0]] if rows else []
-
-
-def _read_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """A CSV with its columns named by position; the header row is skipped."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    return spark.read.csv(path, header=True, schema=schema, **_CSV)
-
-
 def conform_long(rows: DataFrame, kind: str | None = None) -> DataFrame:
     """Result rows in the fixed schema: required names checked, absent ones null, numbers read.
 
@@ -117,25 +106,37 @@ def sidecar_columns(header: Sequence[str]) -> list[str]:
     return [SIDECAR_ALIASES.get(key, key) for key in keys]
 
 
-def read_sidecar(spark: SparkSession, path: str) -> DataFrame:
+def read_sidecar(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Sidecar rows under internal names, trimmed, blanks as empty text.
 
+    Every file has its own header, which may order and spell its columns as it likes.
     Where two headers mean the same field the later column counts, even when blank.
+    Columns that no file knows are absent, those that one file lacks are blank. Files
+    without line breaks inside values can be split over tasks with ``multi_line=False``.
     """
-    names = sidecar_columns(_first_line(spark, path))
-    raw = _with_place(_read_csv(spark, path, [f"c{i}" for i in range(len(names))]), parquet=False)
-    places = {name: i for i, name in enumerate(names)}
-    blank = F.lit("")
-    known = [
-        (F.coalesce(strip(f"c{places[name]}"), blank) if name in places else blank).alias(name)
-        for name in SIDECAR_FIELDS
-    ]
-    others = [
-        F.coalesce(strip(f"c{i}"), blank).alias(name)
-        for name, i in places.items()
-        if name and name not in SIDECAR_FIELDS
-    ]
-    return raw.select("source_file", "seq", *known, *others)
+    # no line has more columns than commas, whatever is quoted
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    width = (spark.read.text(path).agg(F.max(commas)).first()[0] or 0) + 1
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    options = {**_CSV, "multiLine": multi_line}
+    lines = _with_place(spark.read.csv(path, header=False, schema=schema, **options), parquet=False)
+    cells = lines.select("source_file", "seq", F.array(*[f"c{i}" for i in range(width)]).alias("cells"))
+    first = cells.groupBy("source_file").agg(F.min_by("cells", "seq").alias("header"), F.min("seq").alias("head"))
+    spelled = first.select(F.explode("header").alias("h")).where("h is not null").distinct()
+    names = sidecar_columns([r["h"] for r in spelled.collect()])  # the few spellings of the files' headers
+    others = sorted({name for name in names if name and name not in SIDECAR_FIELDS})
+    named = F.create_map(*[x for key, name in SIDECAR_ALIASES.items() for x in (F.lit(key), F.lit(name))])
+    keys = F.transform("header", lambda h: normalize_key(F.coalesce(h, F.lit(""))))
+    keys = F.transform(keys, lambda k: F.coalesce(F.element_at(named, k), k))
+    joined = cells.join(first.withColumn("keys", keys), "source_file").where(F.col("seq") > F.col("head"))
+    # of two columns with one name the last
+    turned = joined.withColumns({"keys": F.reverse("keys"), "cells": F.reverse("cells")})
+
+    def value(name):
+        place = F.array_position("keys", name).cast("int")
+        return F.coalesce(strip(F.get("cells", place - 1)), F.lit("")).alias(name)
+
+    return turned.select("source_file", "seq", *map(value, [*SIDECAR_FIELDS, *others]))
 
 
 def read_registry(spark: SparkSession, folder: str) -> Registry:
@@ -147,15 +148,18 @@ def uuid_ranges(column: str, parts: int = 16) -> list[str]:
     """Predicates that cut a uuid column into even ranges, one per reading task."""
     bounds = [f"{i * 256 // parts:02x}000000-0000-0000-0000-000000000000" for i in range(parts)]
     ranges = [f"{column} >= '{low}' AND {column} < '{high}'" for low, high in zip(bounds, bounds[1:])]
-    return [*ranges, f"{column} >= '{bounds[-1]}'"]
+    whole = [*ranges, f"{column} >= '{bounds[-1]}'"]
+    # rows without an id, where a table allows them, belong to the first range
+    return [f"({whole[0]}) OR {column} IS NULL", *whole[1:]]
 
 
 def read_registry_jdbc(
     spark: SparkSession, url: str, properties: dict[str, str], parts: int = 16
 ) -> Registry:
-    """The registry from a database, the two large tables in parallel uuid ranges.
+    """The registry from a database, every table that grows with the plants in ``parts`` tasks.
 
-    Filters and column choice reach the database; uuids and JSON travel as text.
+    Choose ``parts`` so that one task's share of the plants fits it. Filters and column
+    choice reach the database; uuids and JSON travel as text.
     """
     queries = {
         "plants": "SELECT id::text AS id, eia_plant_id, slug, source_type, workspace_id::text AS workspace_id,"
@@ -174,8 +178,12 @@ def read_registry_jdbc(
 
     def load(name):
         table = f"({queries[name]}) AS {name}"
-        if name in ("plants", "portfolio_asset"):
-            return spark.read.jdbc(url, table, predicates=uuid_ranges("id", parts), properties=properties)
+        uuid = {"plants": "id", "portfolio_asset": "id", "financial_plant": "plant_id", "workspace_asset": "plant_id"}
+        if name in uuid:
+            return spark.read.jdbc(url, table, predicates=uuid_ranges(uuid[name], parts), properties=properties)
+        if name == "plant_index":
+            shares = [f"mod(plant_id, {parts}) = {i}" for i in range(parts)]
+            return spark.read.jdbc(url, table, predicates=shares, properties=properties)
         return spark.read.jdbc(url, table, properties=properties)
 
     return Registry(*[load(name) for name in REGISTRY_TABLES])

@@ -125,8 +125,16 @@ def _header(rows: Iterator[list]) -> list[str]:
 def _records(content: bytes, kind: str, mixed: bool) -> tuple[list[str], list[list]]:
     rows = sheet_rows(content, OUTPUT_SHEET)
     header = _header(rows)
-    if mixed and kind != ("physical" if "hazard" in header else "transition" if "subrisk" in header else None):
-        return header, []
+    found = "physical" if "hazard" in header else "transition" if "subrisk" in header else None
+    if found is None:
+        raise ValueError("kind_unknown: neither a hazard nor a subrisk column")
+    if found != kind:
+        if mixed:
+            return header, []
+        raise ValueError(f"wrong_kind: {found} where {kind} was asked for")
+    missing = sorted(set(KINDS[kind][2]) - set(header))
+    if missing:
+        raise ValueError(f"missing_columns: {', '.join(missing)}")
     kept = (row[: len(header)] for row in rows)
     return header, [row for row in kept if any(v is not None and v != "" for v in row)]
 
@@ -196,15 +204,31 @@ def read_returns(spark: SparkSession, path: str, kind: str, mixed: bool = False)
     """All rows of one kind from a folder of returned workbooks.
 
     ``seq`` counts the rows inside a file, so order over many files is
-    ``("source_file", "seq")``. A file that cannot be read gives one row with the
-    reason in ``_corrupt``; columns the schema does not know are kept in ``extra``.
+    ``("source_file", "seq")``. A file that cannot be read, is of the other kind or lacks
+    required columns gives one row with the reason in ``_corrupt`` (see ``failures`` and
+    ``readable``); columns the schema does not know are kept in ``extra``.
     In a ``mixed`` folder files of the other kind, told by their header, are skipped.
     """
     return decode_returns(_files(spark, path), kind, mixed)
 
 
+def failures(rows: DataFrame) -> DataFrame:
+    """The files that cannot be used, as ``source_file, code, detail``."""
+    bad = rows.where(F.col("_corrupt").isNotNull())
+    coded = F.regexp_extract("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", 1)
+    code = F.when(coded != "", coded).otherwise("unreadable_file")
+    detail = F.regexp_replace("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", "")
+    return bad.select("source_file", code.alias("code"), detail.alias("detail"))
+
+
 def readable(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    """The rows without ``_corrupt``; a job over them fails on the first file that cannot be used.
+
+    Look at ``failures`` for all of them before.
+    """
+    reason = F.concat_ws(": ", F.lit("workbook cannot be used"), "source_file", "_corrupt")
+    good = F.when(F.col("_corrupt").isNull(), True).otherwise(F.raise_error(reason).cast("boolean"))
+    return rows.where(good).drop("_corrupt")
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -229,33 +253,37 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
     return headers.withColumn("kind", kind_column(F.col("columns")))
 
 
-def read_sheet(spark: SparkSession, path: str, sheet: str) -> DataFrame:
-    """Any sheet as ``source_file, row_no, cells``, rows counted from 1."""
+def read_sheet(spark: SparkSession, path: str, sheet: str, needed: bool = True) -> DataFrame:
+    """Any sheet as ``source_file, row_no, cells, error``, rows counted from 1.
+
+    A file without the sheet stops the job, or gives one row with the reason in
+    ``error`` where the sheet is not ``needed``.
+    """
+    ddl = "source_file string, row_no bigint, cells array<string>, error string"
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.string()]
 
     def decode(batches):
-        schema = pa.schema(
-            [("source_file", pa.string()), ("row_no", pa.int64()), ("cells", pa.list_(pa.string()))]
-        )
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                cells = [[_text(v) for v in row] for row in sheet_rows(content.as_py(), sheet)]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "source_file": [name.as_py()] * len(cells),
-                        "row_no": list(range(1, len(cells) + 1)),
-                        "cells": cells,
-                    },
-                    schema,
-                )
+                try:
+                    lines = [[_text(v) for v in row] for row in sheet_rows(content.as_py(), sheet)]
+                    rows = [(name.as_py(), n, cells, None) for n, cells in enumerate(lines, 1)]
+                except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as problem:
+                    if needed:
+                        raise
+                    rows = [(name.as_py(), None, None, str(problem))]
+                columns = zip(*rows) if rows else [[]] * len(kinds)
+                arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["source_file", "row_no", "cells", "error"])
 
-    return _files(spark, path).mapInArrow(decode, "source_file string, row_no bigint, cells array<string>")
+    return _files(spark, path).mapInArrow(decode, ddl)
 
 
 def read_readme(spark: SparkSession, path: str) -> DataFrame:
-    """The asset name each workbook's ReadMe sheet states, for a warning only."""
+    """The asset name each workbook's ReadMe sheet states, or why there is none; for a warning only."""
     cells = F.col("cells")
     return (
-        read_sheet(spark, path, README_SHEET)
-        .where(F.get(cells, 0) == "assetName")
-        .select("source_file", F.get(cells, 1).alias("readme_asset_name"))
+        read_sheet(spark, path, README_SHEET, needed=False)
+        .where((F.get(cells, 0) == "assetName") | F.col("error").isNotNull())
+        .select("source_file", F.get(cells, 1).alias("readme_asset_name"), "error")
     )

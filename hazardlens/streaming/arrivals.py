@@ -8,12 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazardlens.plans.import_run import normalize_import
 from hazardlens.sinks.writers import append_history
-from hazardlens.sources.workbooks import decode_returns
+from hazardlens.sources.workbooks import decode_returns, readable
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -37,14 +36,16 @@ def import_arrivals(
 ) -> StreamingQuery:
     """Appends arriving workbooks of one kind to the history until the folder is drained.
 
-    The import id is the batch number, and a batch writes only its own partition: a
-    batch that is run again after a failure replaces itself.
+    The import id holds the id of the stream, which its checkpoint keeps, and the batch
+    number: a batch that is run again after a failure is known by it and not doubled, and
+    a stream with a new checkpoint never meets the ids of an old one. A file that cannot be
+    read or lacks required columns fails the batch.
     """
 
     def one_batch(files: DataFrame, number: int) -> None:
-        rows = decode_returns(files.select("path", "content"), kind)
-        rows = rows.where(F.col("_corrupt").isNull()).drop("_corrupt", "extra")
-        append_history(normalize_import(rows, manifest, f"{kind}-{number}", imported_at(number)), history)
+        rows = readable(decode_returns(files.select("path", "content"), kind)).drop("extra")
+        stream = files.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        append_history(normalize_import(rows, manifest, f"{kind}-{stream}-{number}", imported_at(number)), history)
 
     return (
         workbooks.writeStream.foreachBatch(one_batch)

@@ -37,7 +37,9 @@ def output(header, *rows):
     return workbook({"ReadMe": sheet([["assetName", "a1"]]), "Output": sheet([header, *rows])})
 
 
-HEADER = ["assetName", "scenario", "timeHorizon", "hazard", "indicatorValue", "more"]
+FIRST = ["assetName", "scenario", "timeHorizon", "hazard", "indicatorValue", "more"]
+HEADER = FIRST + [c for c in PHYSICAL_REQUIRED if c not in FIRST]
+RETURNED = ["assetName", "scenario", "subrisk"] + [c for c in TRANSITION_REQUIRED if c not in ("assetName", "scenario", "subrisk")]
 
 
 # -- workbooks -------------------------------------------------------------------------
@@ -49,7 +51,7 @@ def test_workbooks_of_a_folder(spark, tmp_path):
     put(folder, "two.xlsx", workbook({"Other": sheet([["a"]])}))
     put(folder, "three.xlsx", b"not a workbook")
     rows = workbooks.read_returns(spark, str(folder), "physical")
-    good = workbooks.readable(rows)
+    good = rows.where("_corrupt IS NULL")
     assert values(good, "seq", "timeHorizon", "hazard", "indicatorValue", "extra") == [
         (0, "2025", "Flood", 1.5, {"more": "x"}),
         (1, "Historical", None, None, {}),
@@ -65,12 +67,38 @@ def test_workbooks_of_a_folder(spark, tmp_path):
 def test_mixed_folder(spark, tmp_path):
     folder = tmp_path / "mixed"
     put(folder, "p.xlsx", output(HEADER, ["a1", "s", 2025, "Flood", 1.5]))
-    put(folder, "t.xlsx", output(["assetName", "scenario", "subrisk"], ["a1", "s", "X"]))
-    put(folder, "u.xlsx", output(["assetName", "scenario"], ["a1", "s"]))
+    put(folder, "t.xlsx", output(RETURNED, ["a1", "s", "X"]))
     kinds = {k: workbooks.readable(workbooks.read_returns(spark, str(folder), k, mixed=True)) for k in ("physical", "transition")}
     assert values(kinds["physical"], "assetName", "hazard") == [("a1", "Flood")]
     assert values(kinds["transition"], "assetName", "subrisk") == [("a1", "X")]
+    put(folder, "u.xlsx", output(["assetName", "scenario"], ["a1", "s"]))
     assert values(workbooks.read_headers(spark, str(folder)), "kind") == [("physical",), ("transition",), (None,)]
+    for kind in kinds:
+        rows = workbooks.read_returns(spark, str(folder), kind, mixed=True)
+        assert values(workbooks.failures(rows), "code") == [("kind_unknown",)]
+
+
+def test_unusable_workbooks_fail_the_build(spark, tmp_path):
+    folder = tmp_path / "returns"
+    put(folder, "good.xlsx", output(HEADER, ["a1", "s", 2025, "Flood", 1.5]))
+    rows = workbooks.read_returns(spark, str(folder), "physical")
+    assert workbooks.readable(rows).count() == 1 and workbooks.failures(rows).count() == 0
+    put(folder, "lacks.xlsx", output([c for c in HEADER if c not in ("hazard", "climateZone")] + ["hazard"], ["a1"]))
+    put(folder, "other.xlsx", output(RETURNED, ["a1", "s", "X"]))
+    rows = workbooks.read_returns(spark, str(folder), "physical")
+    assert sorted(column(workbooks.failures(rows), "code")) == ["missing_columns", "wrong_kind"]
+    assert [d for d in column(workbooks.failures(rows), "detail") if "climate" in d] == ["climateZone"]
+    with pytest.raises(Exception, match="workbook cannot be used"):
+        workbooks.readable(rows).count()
+
+
+def test_a_missing_readme_stops_nothing(spark, tmp_path):
+    folder = tmp_path / "returns"
+    put(folder, "a.xlsx", workbook({"Output": sheet([HEADER])}))
+    put(folder, "b.xlsx", b"junk")
+    put(folder, "c.xlsx", output(HEADER))
+    rows = workbooks.read_readme(spark, str(folder))
+    assert values(rows.where("error is null"), "readme_asset_name") == [("a1",)] and rows.where("error is not null").count() == 2
 
 
 def test_cell_types(spark):
@@ -145,7 +173,7 @@ def test_sidecar_csv_aliases_and_doubled_headers(spark, tmp_path):
 
 def test_uuid_ranges_cover_everything_once():
     ranges = tables.uuid_ranges("id", 4)
-    assert ranges[0].startswith("id >= '00000000-") and "id < '40000000-" in ranges[0]
+    assert "id >= '00000000-" in ranges[0] and "id < '40000000-" in ranges[0] and "id IS NULL" in ranges[0]
     assert ranges[-1] == "id >= 'c0000000-0000-0000-0000-000000000000'"
 
 
@@ -187,7 +215,9 @@ def test_export_run_writes_four_files(spark, tmp_path, reg, lookups, batched):
     assert len(read_one_csv(tmp_path / "run7" / "rejects")[1]) == 1
     text = next((tmp_path / "run7" / "run_summary").glob("part-*")).read_text()
     summary = json.loads(text)
-    assert (summary["scr_run_id"], summary["workspace_slug"], summary["error_counts"]["missing_latitude"]) == ("run7", "demo", 1)
+    assert (summary["scr_run_id"], summary["workspace_slug"], summary["rejected_rows"]) == ("run7", "demo", 1)
+    messages = spark.read.json(str(tmp_path / "run7" / "run_summary_messages"))
+    assert values(messages.where("kind = 'error'"), "message", "n") == [("missing_latitude", 1), ("missing_longitude", 1)]
 
 
 def test_manifest_round_trip(spark, tmp_path, reg, lookups):  # noqa: F811
@@ -244,6 +274,8 @@ def test_import_checks_history_and_rerun(spark, tmp_path):
         done = import_run.normalize_import(rows, manifest, import_id, "2026-07-01")
         summary = import_run.import_manifest(done, manifest, "physical")
         writers.write_import(folder, physical=done, summary=summary)
+    with pytest.raises(ImportFailure, match="i2 is in"):
+        writers.append_history(import_run.normalize_import(rows.limit(1), manifest, "i2", "2026-07-02"), f"{folder}/physical_long")
     kept = spark.read.parquet(f"{folder}/physical_long")
     assert values(kept.groupBy("import_id").count()) == [("i1", 2), ("i2", 2)]
     assert values(kept.select("scr_run_id", "portfolio_asset_id").distinct()) == [("run", "m0")]
@@ -262,7 +294,12 @@ def test_arriving_workbooks_become_imports(spark, tmp_path):
         put(inbox, f"{n}.xlsx", output(HEADER, [name, "s", 2025 + n, "Flood", 1.0, None]))
         import_arrivals(arriving_workbooks(spark, str(inbox)), **args).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "h"))
-    assert values(got, "import_id", "timeHorizon", "scr_run_id") == [("physical-0", "2025", "run"), ("physical-1", "2026", "run")]
+    assert values(got, "timeHorizon", "scr_run_id") == [("2025", "run"), ("2026", "run")]
+    # a new checkpoint delivers both files again, and the old imports stay
+    import_arrivals(arriving_workbooks(spark, str(inbox)), **{**args, "checkpoint": str(tmp_path / "c2")}).awaitTermination()
+    again = spark.read.parquet(str(tmp_path / "h"))
+    assert again.count() == 4 and again.select("import_id").distinct().count() == 3
+    assert all(i.startswith("physical-") for i in column(again, "import_id"))
 
 
 def test_numbering_uses_the_shared_folder(spark):

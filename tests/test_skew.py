@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from hazardlens.operators import axes, physical, transition
-from hazardlens.operators.joins import fits_broadcast, left_join_many, lookup_join, staged
+from hazardlens.plans.oracle import ORACLE
+from hazardlens.plans.queries import QUERIES
+from hazardlens.operators.joins import left_join_many, lookup_join, staged
 
 from build import physical as phys
 from build import values
@@ -19,35 +21,42 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [0, 100, 10_000])
-def test_salted_join_equals_plain_join(spark, how, hot_rows):
+def test_join_with_dealt_nulls_equals_plain_join(spark, how):
     left = skewed(spark)
     right = spark.createDataFrame([("hot", 1), ("k7", 2), ("k8", 3), ("none", 4)], "k string, v int")
-    salted = lookup_join(left, right, ["k"], how, hot_rows=hot_rows)
-    assert values(salted, *left.columns) == values(left.join(right, "k", how), *left.columns)
+    dealt = lookup_join(left, right, ["k"], how, spread="id")
+    assert values(dealt, *left.columns) == values(left.join(right, "k", how), *left.columns)
     if how in ("left", "inner"):
-        assert values(salted, "id", "v") == values(left.join(right, "k", how), "id", "v")
+        assert values(dealt, "id", "v") == values(left.join(right, "k", how), "id", "v")
 
 
-def test_hot_key_is_spread(spark):
-    left = skewed(spark)
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = lookup_join(left, right, ["k"], hot_rows=100)
-        used = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert used > 1
+@pytest.mark.parametrize("name", ["manifest_rows", "run_summary", "sidecar_priority", "join_back_rows", "scope_portfolio"])
+def test_no_job_but_schema_reads_while_a_plan_is_built(spark, name):
+    stages = []
+    reader = spark.read.parquet
+
+    def counted(*paths, **options):
+        before = jobs()
+        df = reader(*paths, **options)
+        stages.append(jobs() - before)
+        return df
+
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("plan"))
+
+    spark.sparkContext.setJobGroup("plan", name)
+    before = jobs()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "parquet", lambda self, *paths, **options: counted(*paths, **options))
+        spark_entry.queries()[name](spark, SF)
+    run = jobs() - before
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert run == sum(stages)
 
 
-def test_size_check_counts_rows_and_bytes(spark):
-    assert fits_broadcast(spark.range(10), rows=10)
-    assert not fits_broadcast(spark.range(11), rows=10)
-    assert not fits_broadcast(spark.range(5).select(F.repeat(F.lit("x"), 100)), size=200)
-    assert fits_broadcast(spark.range(0))
+def test_join_back_reads_its_rows_once_and_only_what_it_needs(spark):
+    text = plan(spark_entry.queries()["join_back_rows"](spark, SF))
+    assert text.count("events.parquet") == 1 and "xxhash64" not in text
 
 
 def test_staged_keeps_rows_and_schema(spark):
@@ -81,7 +90,7 @@ def test_view_filter_reaches_the_scan(spark, tmp_path):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
@@ -96,11 +105,10 @@ def test_peaks_read_no_more_than_they_need(spark):
     assert "o_orderdate" not in text.split("ReadSchema")[-1]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_left_join_many_equals_left_join(spark, hot_rows):
+def test_left_join_many_equals_left_join(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
     many = spark.createDataFrame([("a", i) for i in range(20)] + [("z", 0), (None, 1)], "k string, w int")
-    got = left_join_many(left, many, ["k"], hot_rows=hot_rows)
+    got = left_join_many(left, many, ["k"])
     assert values(got, "k", "v", "w") == values(left.join(many, "k", "left"), "k", "v", "w")
 
 
@@ -110,7 +118,7 @@ def test_null_keys_are_spread_without_a_count(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_join(left, right, ["k"], hot_rows=None)
+        joined = lookup_join(left, right, ["k"], spread="id")
         used = joined.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
