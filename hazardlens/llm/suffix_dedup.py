@@ -147,18 +147,41 @@ def _anchored(length: int, anchor: int):
 ANCHORED = "anchor long, context long, doc long, start int, windows int, lead int"
 
 
+def _agreement(parts: list[bytes]) -> list[int]:
+    """For each string the most bytes it has in common with the beginning of another one."""
+    most = [0] * len(parts)
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    for i, j in zip(order, order[1:]):
+        n = min(len(parts[i]), len(parts[j]))
+        differ = int.from_bytes(parts[i][:n], "big") ^ int.from_bytes(parts[j][:n], "big")
+        same = n - (differ.bit_length() + 7) // 8
+        most[i], most[j] = max(most[i], same), max(most[j], same)
+    return most
+
+
 class _Windows:
     """Contexts of whole anchor groups, gathered until they are worth a suffix array."""
 
     def __init__(self, length: int):
         self.length, self.parts, self.docs, self.starts, self.bytes = length, [], [], [], 0
 
-    def add(self, rows: list[tuple[int, int, bytes]]) -> None:
-        for doc, start, part in rows:
-            self.parts.append(part)
-            self.docs.append(doc)
-            self.starts.append(start)
-            self.bytes += len(part)
+    def add(self, rows: list[tuple[int, int, int, bytes]]) -> None:
+        """Takes of each context what it can share with another one of its anchor.
+
+        All equal windows lie alike around the anchor, so nothing beyond the longest
+        agreement to its left and to its right is ever part of one.
+        """
+        if len(rows) < 2:
+            return
+        left = _agreement([part[:lead][::-1] for _, _, lead, part in rows])
+        right = _agreement([part[lead:] for _, _, lead, part in rows])
+        for (doc, start, lead, part), a, b in zip(rows, left, right):
+            if a + b >= self.length:
+                part = part[lead - a : lead + b]
+                self.parts.append(part)
+                self.docs.append(doc)
+                self.starts.append(start + lead - a)
+                self.bytes += len(part)
 
     def covered(self) -> list[tuple[int, int, int]]:
         """Spans of windows that an earlier context holds too, as doc, first byte, end."""
@@ -206,15 +229,15 @@ def _settled(length: int, large: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc", "start", "end", "window"])
 
     def apart(rows):
-        for doc, start, part in rows:
+        for doc, start, _, part in rows:
             view = memoryview(part)
             yield from ((doc, start + i, xxhash.xxh3_128_digest(view[i : i + length])) for i in range(len(part) - length + 1))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, group, now, spread = _Windows(length), [], None, False
         for batch in stream:
-            columns = (batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "bytes"))
-            for anchor, doc, start, part in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "lead", "bytes"))
+            for anchor, doc, start, lead, part in zip(*columns):
                 if anchor != now:
                     if spread:
                         yield out([], apart(group))
@@ -224,7 +247,7 @@ def _settled(length: int, large: int):
                         yield out(open_.covered())
                         open_ = _Windows(length)
                     group, now, spread = [], anchor, False
-                group.append((doc, start, part))
+                group.append((doc, start, lead, part))
                 if len(group) >= large:
                     spread = True
                     yield out([], apart(group))
@@ -323,16 +346,19 @@ def remove_repeats(
     firsts = firsts.withColumn("other", F.lag("doc").over(apart).isNotNull() | F.lead("doc").over(apart).isNotNull())
     span = _packed(F.col("start"), F.col("start") + F.col("windows") + (length - 1))
     spans = settled.groupBy("doc").agg(F.collect_list(span).alias("spans"))
-    context = F.struct("anchor", "context", "start", "windows")
+    context = F.struct("anchor", "context", "start", "windows", "lead")
     pending = firsts.where("other").groupBy("doc").agg(F.collect_list(context).alias("pending"))
     joined = rows.select("doc", F.col("text").cast("binary").alias("text")).join(spans, "doc", "left").join(pending, "doc", "left")
-    kind = "array<struct<anchor:bigint,context:bigint,start:int,windows:int>>"
+    kind = "array<struct<anchor:bigint,context:bigint,start:int,windows:int,lead:int>>"
     first = staged(joined.mapInArrow(_digests(True, length), f"{_DIGEST}, text binary, spans array<bigint>, pending {kind}"))
 
     cut = F.transform(
         "pending",
         lambda p: F.struct(
-            p["anchor"].alias("anchor"), p["context"].alias("context"), p["start"].alias("start"),
+            p["anchor"].alias("anchor"),
+            p["context"].alias("context"),
+            p["start"].alias("start"),
+            p["lead"].alias("lead"),
             F.substring(F.col("text"), p["start"] + 1, p["windows"] + (length - 1)).alias("bytes"),
         ),
     )
