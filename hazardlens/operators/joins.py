@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from hazardlens.session import shared_folder
 
+_STAGING: set[str] = set()
+
 
 def lookup_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", spread: str | None = None
@@ -45,8 +47,15 @@ def left_join_many(left: DataFrame, many: DataFrame, on: Sequence[str]) -> DataF
 
 
 def staging_path(spark: SparkSession) -> str:
-    """A new name below the shared folder."""
-    return f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
+    """A new name below the shared folder, in a folder of this application that goes when its driver ends."""
+    root = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
+    if root not in _STAGING:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _STAGING.add(root)
+    return f"{root}/{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame) -> DataFrame:

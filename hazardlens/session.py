@@ -8,6 +8,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# the folder of each local application that has none set
+_OWN: dict[str, str] = {}
+
 
 def local_session(app: str = "hazardlens", cores: str = "*") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
@@ -38,9 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="hazardlens-")
+        folder = _OWN.get(sc.applicationId)
+    if not folder:
+        folder = _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="hazardlens-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

@@ -5,7 +5,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlens.operators import assets, export, registry, runs, sidecar
+from hazardlens.functions.text import normalize_header, normalize_key
+from hazardlens.operators import assets, export, registry, runs, sidecar, transition
 from hazardlens.operators.quality import ImportFailure
 from hazardlens.plans import import_run, reports, result_build
 from hazardlens.plans.export_run import run_export
@@ -332,3 +333,46 @@ def test_export_order_is_total(spark, reg):  # noqa: F811
     rows = registry.in_export_order(registry.scope_plants(reg, [U[1], U[2]]))
     assert column(rows, "portfolio_asset_id") == ["m1", "m2", None]
     assert registry.in_export_order(registry.scope_plants(reg, [U[1]]), limit=1).count() == 1
+
+
+def test_import_package(spark, tmp_path):
+    name = "is_p_" + "c" * 32
+    manifest = manifest_for(spark, name)
+    rows = phys(spark, {"assetName": name, "hazard": "Flood"}, {"assetName": name, "hazard": "Hail", "timeHorizon": "2035"})
+    source = rows.first()["source_file"]
+    headers = spark.createDataFrame([(source, ["hazard"], None)], "source_file string, columns array<string>, error string")
+    readme = spark.createDataFrame([(source, "another")], "source_file string, readme_asset_name string")
+    terms = spark.createDataFrame([("FLOOD",), ("HEAT",)], "term string")
+    folder = str(tmp_path / "imports")
+    args = (manifest, "physical", "i1", "2026-07-01", folder, {"hazard": terms}, ["indicatorValue"])
+    for _ in range(2):
+        import_run.import_returns(headers, rows, *args, readme=readme)
+    read = {n: spark.read.parquet(f"{folder}/{n}") for n in ("physical_long", "import_manifest", "import_warnings", "import_failures/i1")}
+    assert read["physical_long"].count() == 2 and read["import_failures/i1"].count() == 0
+    codes = column(read["import_warnings"], "code")
+    assert {"hazard_not_in_metadata", "hazard_not_returned", "readme_name_differs"} <= set(codes)
+    assert values(read["import_manifest"], "import_id", "row_count", "warning_count") == [("i1", 2, len(codes))]
+    with pytest.raises(ImportFailure, match="1 x asset_not_in_manifest"):
+        import_run.import_returns(headers, phys(spark, {"assetName": "other"}), *args)
+    assert spark.read.parquet(f"{folder}/import_failures/i1").count() == 1
+
+
+def test_ties_over_files_do_not_depend_on_input_order(spark):
+    order = ("source_file", "seq")
+    rows = trans(spark, *[{"source_file": f, "seq": 0, "adjustedSubriskRevenueImpact": 7.0, "adjustedSubriskExposureRating": r} for f, r in (("b", "G"), ("a", "A"), ("c", "C"))])
+    for parts in (1, 7):
+        evidence = transition.subrisk_rows(rows.repartition(parts), order)
+        assert values(transition.best_impact(evidence, ["asset_name"]), "rating") == [("A",)]
+        assert column(reports.subrisk_table(evidence, k=1), "rating") == ["A"]
+    spelled = {h: column(spark.createDataFrame([(h,)], "h string").select(normalize_key("h").alias("k")), "k")[0] for h in HEADERS}
+    assert spelled == {h: normalize_header(h) for h in HEADERS}
+
+
+HEADERS = [" Asset Value (USD)", "ÄSSET é", "İd", "a__b", "Straße 1", "_x_", "", "K"]
+
+
+def test_sidecar_files_with_other_column_orders(spark, tmp_path):
+    put(tmp_path / "side", "a.csv", "plant_uuid,asset_value\nu1,5\n")
+    put(tmp_path / "side", "b.csv", 'Asset Value,"Plant ID",note\n6,u2,"x, y"\n7,u3\n')
+    rows = tables.read_sidecar(spark, str(tmp_path / "side"))
+    assert values(rows, "plant_uuid", "asset_value", "note") == [("u1", "5", ""), ("u2", "6", "x, y"), ("u3", "7", "")]
