@@ -52,6 +52,9 @@ SCOPE_COLUMNS = [
 ]
 # coordinates keep every digit they came with; nothing is computed from them
 COORDINATE = "decimal(38,18)"
+# chosen so that capacity in kW times capital cost fits a decimal of 38 digits exactly
+CAPACITY = "decimal(19,9)"
+CAPEX = "decimal(18,9)"
 _JSON_SCHEMA = T.StructType(
     [T.StructField(key, T.StringType()) for key in dict.fromkeys(k for c in JSON_CHAINS.values() for k in c)]
 )
@@ -97,7 +100,7 @@ def plant_records(reg: Registry, plants: DataFrame | None = None) -> DataFrame:
         from_index = [F.col(f"_index.{key}").cast("string") for key in INDEX_CHAINS[name]]
         return F.coalesce(*from_json, *from_index)
 
-    decimals = {"latitude": COORDINATE, "longitude": COORDINATE, "total_capacity_mw": "decimal(18,6)"}
+    decimals = {"latitude": COORDINATE, "longitude": COORDINATE, "total_capacity_mw": CAPACITY}
     return parsed.select(
         F.col("id").alias("plant_uuid"),
         "eia_plant_id",
@@ -110,7 +113,7 @@ def plant_records(reg: Registry, plants: DataFrame | None = None) -> DataFrame:
         ],
         clean_array("_index.fuel_types").alias("fuel_types"),
         clean_array("_index.technologies").alias("technologies"),
-        as_decimal(F.col("latest_capex_per_kw").cast("string")).alias("latest_capex_per_kw"),
+        as_decimal(F.col("latest_capex_per_kw").cast("string"), CAPEX).alias("latest_capex_per_kw"),
     )
 
 

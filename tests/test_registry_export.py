@@ -3,6 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from hazardlens.functions.numbers import decimal_text
 from hazardlens.functions.text import pipe_join
 from hazardlens.operators import assets, export, registry, runs, sidecar
 from hazardlens.operators.registry import Registry
@@ -301,3 +302,10 @@ def test_join_back(spark):
     assert values(assets.uuid_mismatches(results, unique), "assetName") == [("is_p_" + "2" * 32,)]
     plants = spark.createDataFrame([(U[1], "plant-1")], "id string, slug string")
     assert values(assets.recover_plants(results, plants).where("recovered"), "plant_slug") == [("plant-1",)]
+
+
+def test_capex_proxy_keeps_every_digit(spark):
+    df = spark.createDataFrame([("0.000001", "0.000001"), ("103.9", "2367.974609"), ("9999999999.5", "0.000000001")], "a string, b string")
+    typed = df.select(F.col("a").cast(registry.CAPACITY).alias("a"), F.col("b").cast(registry.CAPEX).alias("b"))
+    got = column(typed.select(decimal_text(export.capex_proxy("a", "b")).alias("v")), "v")
+    assert sorted(got) == ["0.000000001", "246032561.8751", "9999.9999995"]
