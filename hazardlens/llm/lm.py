@@ -141,7 +141,8 @@ def cross_entropy_difference(
     target model is uniform. Other columns are not read.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(target).cast("boolean"), F.lit(False)).alias("_target"))
+    chosen = F.coalesce(F.col(target).cast("boolean"), F.lit(False)).alias("_target")
+    rows = df.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), chosen)
     points = rows.select("text").mapInArrow(_point_counts("text"), "point int, n long").groupBy("point").agg(F.sum("n").alias("n"))
     kept = points.orderBy(F.col("n").desc(), "point").limit(symbols).collect()
     vocabulary = Vocabulary(np.array(sorted(r["point"] for r in kept), np.uint32))

@@ -209,7 +209,8 @@ class Encoder:
                     better = total > best[at + size, r]
                     r = r[better]
                     best[at + size, r], source[at + size, r], chosen[at + size, r] = total[better], at, -1
-        return [self._trace(parts[i], source[: len(parts[i]) + 1, i].tolist(), chosen[: len(parts[i]) + 1, i].tolist()) for i in range(n)]
+        ends = [len(part) + 1 for part in parts]
+        return [self._trace(parts[i], source[:e, i].tolist(), chosen[:e, i].tolist()) for i, e in enumerate(ends)]
 
     def _one(self, part: bytes) -> bytes:
         """One long part, with lists."""
@@ -298,7 +299,8 @@ def encode(df: DataFrame, id: str = "doc_id", text: str = "text", path: str = MO
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat, pa.int32()))
             own = [int(is_byte[i].sum()) for i in ids]
-            yield pa.RecordBatch.from_arrays([piece.column(id), lists, pa.array(sizes), pa.array(own, pa.int64())], names=["doc_id", "ids", "n_tokens", "n_byte_tokens"])
+            columns = [piece.column(id), lists, pa.array(sizes), pa.array(own, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "n_byte_tokens"])
 
     rows = df.selectExpr(f"cast(`{id}` as bigint) as `{id}`", f"`{text}`") if id != text else df.select(text)
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, n_byte_tokens long")
@@ -316,8 +318,11 @@ def decode_ids(df: DataFrame, id: str = "doc_id", ids: str = "ids", path: str =
         for batch in stream:
             texts = []
             for row in batch.column(ids):
-                known = None if not row.is_valid else np.array([i for i in row.as_py() if i is not None and 0 <= i < len(table)], np.int64)
-                texts.append(None if known is None else decode(known, table).decode("utf-8", "replace"))
+                if not row.is_valid:
+                    texts.append(None)
+                    continue
+                known = [i for i in row.as_py() if i is not None and 0 <= i < len(table)]
+                texts.append(decode(np.array(known, np.int64), table).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(id), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return df.selectExpr(f"cast(`{id}` as bigint) as `{id}`", f"`{ids}`").mapInArrow(run, "doc_id long, text string")
@@ -343,7 +348,8 @@ def encode_and_check(df: DataFrame, id: str = "doc_id", text: str = "text", path
                 for t, ids in zip(texts, encoder.encode(texts))
             ]
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([piece.column(id), *columns], names=["doc_id", "n_tokens", "n_byte_tokens", "ids_crc", "round_trip"])
+            names = ["doc_id", "n_tokens", "n_byte_tokens", "ids_crc", "round_trip"]
+            yield pa.RecordBatch.from_arrays([piece.column(id), *columns], names=names)
 
     rows_in = df.selectExpr(f"cast(`{id}` as bigint) as `{id}`", f"`{text}`")
     return rows_in.mapInArrow(run, "doc_id long, n_tokens long, n_byte_tokens long, ids_crc long, round_trip boolean")

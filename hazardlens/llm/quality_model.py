@@ -117,11 +117,9 @@ class Model:
         return self.forward(x, begin)["score"]
 
 
-def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 5) -> Model:
-    """Gradient descent on the log loss of the documents; passages have no labels of their own."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    shapes = {
-        "encode": (x.shape[1], HIDDEN),
+def _shapes(features: int) -> dict[str, tuple[int, ...]]:
+    return {
+        "encode": (features, HIDDEN),
         "encode0": (HIDDEN,),
         "value": (HIDDEN, ATTENTION),
         "gate": (HIDDEN, ATTENTION),
@@ -129,6 +127,12 @@ def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS
         "out": (HIDDEN,),
         "out0": (),
     }
+
+
+def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 5) -> Model:
+    """Gradient descent on the log loss of the documents; passages have no labels of their own."""
+    rng = np.random.Generator(np.random.PCG64(seed))
+    shapes = _shapes(x.shape[1])
     weights = {k: np.asarray(rng.normal(0, 0.3, s)) for k, s in shapes.items()}
     model = Model(x.mean(axis=0), x.std(axis=0) + 1e-3, weights)
     scaled = (x - model.mean) / model.scale
@@ -162,8 +166,7 @@ def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS
 
 def _constant(rate: float) -> Model:
     """A model that gives every text one score."""
-    shapes = {"encode": (N_FEATURES, HIDDEN), "encode0": HIDDEN, "value": (HIDDEN, ATTENTION), "gate": (HIDDEN, ATTENTION), "attend": ATTENTION, "out": HIDDEN}
-    weights = {k: np.zeros(s) for k, s in shapes.items()}
+    weights = {k: np.zeros(s) for k, s in _shapes(N_FEATURES).items()}
     weights["out0"] = np.asarray(np.log(rate / (1 - rate)))
     return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), weights)
 
@@ -178,7 +181,8 @@ def _encoded(text: str, most: int):
             for a, b in zip(begin[:-1], begin[1:]):
                 chosen = np.linspace(a, b - 1, min(most, b - a)).astype(np.int64)
                 rows.append(x[chosen].astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([piece.column("quality"), piece.column("doc_id"), pa.array(rows, pa.binary())], names=["quality", "doc_id", "x"])
+            columns = [piece.column("quality"), piece.column("doc_id"), pa.array(rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["quality", "doc_id", "x"])
 
     return run
 
@@ -188,7 +192,15 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality", labelled: int = LABELLED, passages_each: int = PASSAGES) -> Model:
+def train(
+    documents: DataFrame,
+    labels: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    quality: str = "quality",
+    labelled: int = LABELLED,
+    passages_each: int = PASSAGES,
+) -> Model:
     """A model from at most ``labelled`` documents, ``passages_each`` evenly spread passages of each.
 
     The documents are those with the smallest hash of their id among the labelled ones

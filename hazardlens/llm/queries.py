@@ -104,4 +104,16 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.cross_entropy_difference(marked, "target")
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op2_mixing, op3_url_filter, op4_minhash_dedup, op5_suffix_dedup, op6_sentencepiece, op7_personal_data, op8_quality_model, op9_line_rules, op10_cross_entropy)}
+_ALL = (
+    op1_topk_search,
+    op2_mixing,
+    op3_url_filter,
+    op4_minhash_dedup,
+    op5_suffix_dedup,
+    op6_sentencepiece,
+    op7_personal_data,
+    op8_quality_model,
+    op9_line_rules,
+    op10_cross_entropy,
+)
+QUERIES = {f.__name__: f for f in _ALL}

@@ -130,10 +130,11 @@ def _anchored(length: int, anchor: int):
                 last = np.concatenate([lead[1:], [True]]) if len(d) else lead
                 spans = int(lead.sum())
                 new = ~again
+                done = np.concatenate([np.zeros(int(new.sum()), bool), np.ones(spans, bool)])
                 yield pa.RecordBatch.from_pydict(
                     {
                         "anchor": np.concatenate([value[new].view(np.int64), batches.mix(d[lead].view(np.uint64)).view(np.int64)]),
-                        "context": pa.array(np.concatenate([context[new].view(np.int64), np.zeros(spans, np.int64)]), mask=np.concatenate([np.zeros(int(new.sum()), bool), np.ones(spans, bool)])),
+                        "context": pa.array(np.concatenate([context[new].view(np.int64), np.zeros(spans, np.int64)]), mask=done),
                         "doc": np.concatenate([doc[new], d[lead]]),
                         "start": np.concatenate([local[new], a[lead]]).astype(np.int32),
                         "windows": np.concatenate([windows[new], b[last] - a[lead]]).astype(np.int32),

@@ -114,9 +114,8 @@ def top_k(
     c_blocks = max(1, -(-c.count() // block))
 
     def dealt(df: DataFrame, own: int, others: int, own_name: str, other_name: str) -> DataFrame:
-        return df.withColumns(
-            {own_name: F.pmod(F.xxhash64("_id"), F.lit(own)), other_name: F.explode(F.sequence(F.lit(0), F.lit(others - 1)).cast("array<bigint>"))}
-        )
+        every_other = F.explode(F.sequence(F.lit(0), F.lit(others - 1)).cast("array<bigint>"))
+        return df.withColumns({own_name: F.pmod(F.xxhash64("_id"), F.lit(own)), other_name: every_other})
 
     left = dealt(q, q_blocks, c_blocks, "_q", "_c").groupBy("_q", "_c")
     right = dealt(c, c_blocks, q_blocks, "_c", "_q").groupBy("_q", "_c")
