@@ -111,13 +111,20 @@ CANDIDATE = "struct<start:int,end:int,value:string,context:string>"
 
 
 def context_of(before: Column) -> Column:
-    """The two words right before, in lower case; none where there are fewer."""
+    """The three words right before, in lower case; ``^`` stands for the start of the text.
+
+    Takes the end of the text before. If it is cut off and holds no more than three
+    words, there is no context.
+    """
     words = F.filter(F.split(F.lower(before), rf"[{SPACE}]+"), lambda w: w != "")
-    return F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2)))
+    whole = F.length(before) < WORD_TAIL
+    known = F.when(whole, F.concat(F.array(F.lit("^")), words)).when(F.size(words) > 3, words)
+    last = F.slice(known, -F.least(F.size(known), F.lit(3)), F.lit(3))
+    return F.when(known.isNotNull(), F.concat_ws(" ", last))
 
 
 def candidates(text: Column, shortest: int) -> Column:
-    """Every word with a digit, without the punctuation around it, and the two words before it."""
+    """Every word with a digit, without the punctuation around it, and the three words before it."""
     none = F.array().cast(f"array<{CANDIDATE}>")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("out"))
 
@@ -154,15 +161,17 @@ def totals(texts: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
     """
     marks = patterns.select(F.pmod(F.xxhash64("context"), F.lit(MARKS)).alias("mark")).distinct()
     words = F.filter(F.split(F.lower(F.col(text)), rf"[{SPACE}]+"), lambda w: w != "")
-    places = texts.select(words.alias("w")).where(F.size("w") > 2)
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1))
+    places = texts.select(F.concat(F.array(F.lit("^")), words).alias("w")).where(F.size("w") > 1)
+    # before the start there is nothing, and concat_ws leaves that out
+    before = F.transform(
+        F.sequence(F.lit(0), F.size("w") - 2),
+        lambda k: F.concat_ws(" ", F.get("w", k - 2), F.get("w", k - 1), F.get("w", k)),
     )
-    contexts = places.select(F.explode(pairs).alias("context"))
+    contexts = places.select(F.explode(before).alias("context"))
     # at most MARKS rows, whatever the input
     near = contexts.withColumn("mark", F.pmod(F.xxhash64("context"), F.lit(MARKS))).join(F.broadcast(marks), "mark", "left_semi")
-    counted = near.groupBy("context").agg(F.count("*").alias("total"))
-    return counted.join(patterns.select("context"), "context", "left_semi")
+    # counted first, so that a row per context meets the ones asked for
+    return near.groupBy("context").agg(F.count("*").alias("total")).join(patterns.select("context"), "context")
 
 
 def bootstrap(slots: DataFrame, texts: DataFrame, text: str, rules: Bootstrap) -> DataFrame:
@@ -178,7 +187,7 @@ def bootstrap(slots: DataFrame, texts: DataFrame, text: str, rules: Bootstrap) -
     supported = edges.where("seed").groupBy("context").agg(F.count("*").alias("support")).where(F.col("support") >= rules.support)
     sizes = staged(totals(texts, text, staged(supported.select("context"))))
     graph = staged(edges.join(sizes, "context"))
-    scores = graph.select("value", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score")).groupBy("value").agg(F.max("score").alias("score"))
+    scores = graph.groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(0.0)).alias("score"))
     patterns = None
     for _ in range(rules.rounds):
         patterns = staged(
@@ -191,7 +200,8 @@ def bootstrap(slots: DataFrame, texts: DataFrame, text: str, rules: Bootstrap) -
             .where((F.col("support") >= rules.support) & (F.col("strength") >= rules.confidence))
         )
         missed = F.exp(F.sum(F.log(F.greatest(1 - F.col("strength"), F.lit(1e-9)))))
-        met = graph.join(patterns.select("context", "strength"), "context").groupBy("value").agg(F.max("seed").alias("seed"), missed.alias("missed"))
+        met = graph.join(patterns.select("context", "strength"), "context").groupBy("value")
+        met = met.agg(F.max("seed").alias("seed"), missed.alias("missed"))
         # seeds keep their score; an instance without a trusted context has none
         scores = staged(met.select("value", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("missed")).alias("score")))
     trusted = graph.where("not seed").join(patterns.select("context"), "context") if patterns is not None else graph.limit(0)
@@ -208,7 +218,7 @@ def _joined(spans: Column) -> Column:
 def find_spans(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) -> DataFrame:
     """``df`` with ``spans`` (start, kind, end, value; sorted) and ``base``, those of the fixed kinds.
 
-    Fixed kinds are matched in every text. Words with a digit are instances, the two
+    Fixed kinds are matched in every text. Words with a digit are instances, the three
     words before them contexts; words that overlap a fixed span are seeds. Contexts
     that seeds share are scored on the graph of contexts and instances (``bootstrap``),
     and what else stands in a trusted context becomes a span of kind ``id``, unless it
@@ -219,7 +229,8 @@ def find_spans(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()
     replaced. An empty table gives an empty result. Texts are read whole.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = df.withColumns({"base": base_spans(whole), "_found": candidates(whole, rules.shortest), "_row": F.monotonically_increasing_id()})
+    found = {"base": base_spans(whole), "_found": candidates(whole, rules.shortest)}
+    rows = df.withColumns({**found, "_row": F.monotonically_increasing_id()})
     # written before it is used twice, so the row numbers stay as they are
     return _with_discovered(staged(rows), df, text, rules)
 
@@ -246,7 +257,8 @@ def summary(spans: DataFrame, id: str = "doc_id") -> DataFrame:
     def number(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
 
-    return spans.select(id, *map(number, KINDS[:4]), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+    digest = F.sha2(_joined(F.col("base")), 256).alias("base_sha256")
+    return spans.select(id, *map(number, KINDS[:4]), digest, _joined(F.col("spans")).alias("spans"))
 
 
 def redact(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) -> DataFrame:
