@@ -324,8 +324,9 @@ def registry(spark: SparkSession, sf: str) -> Registry:
         F.when(n % 6 == 0, F.concat(F.lit("ws_"), (n % 5).cast("string"))).alias("workspace_id"),
         data.alias("data"),
     )
-    plant_index = customer.where(n % 5 != 0).select(
-        n.cast("int").alias("plant_id"),
+    # every customer has its row; a fifth of them are found under no plant's id
+    plant_index = customer.select(
+        F.when(n % 5 == 0, -1 - n).otherwise(n).cast("int").alias("plant_id"),
         F.concat(F.lit("Index "), label).alias("plant_name"),
         F.when(n % 3 == 0, F.lit(None)).otherwise(F.lit("Index Utility")).alias("utility_eia_name"),
         F.lit("Owner").alias("canonical_owner"),
@@ -339,8 +340,8 @@ def registry(spark: SparkSession, sf: str) -> Registry:
         F.array(pick(TECHNOLOGIES, n % 5)).alias("technologies"),
         ((n % 700).cast("decimal(12,3)")).alias("total_capacity_mw"),
     )
-    financial = customer.where(n % 4 != 0).select(
-        plant_uuid(n).alias("plant_id"),
+    financial = customer.select(
+        F.when(n % 4 == 0, F.concat(F.lit("old-"), label)).otherwise(plant_uuid(n)).alias("plant_id"),
         F.col("c_acctbal").cast("decimal(12,2)").alias("latest_capex_per_kw"),
     )
     workspace = table(spark, sf, "region").select(
@@ -374,7 +375,7 @@ def registry(spark: SparkSession, sf: str) -> Registry:
 
 
 def sidecar(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").withColumn("i", F.col("o_orderkey")).where(F.col("i") % 5 == 0)
+    o = table(spark, sf, "orders").withColumn("i", F.col("o_orderkey"))
     i, n = F.col("i"), F.col("o_custkey")
     kind = div("i", 5) % 4
     return o.select(

@@ -300,7 +300,7 @@ VIEWS = {
       CASE WHEN i % 45 = 0 THEN 'Canada' WHEN i % 65 = 0 THEN 'Atlantis' ELSE '' END AS country,
       CASE WHEN i % 25 = 0 THEN '12.5' ELSE '' END AS scope_1,
       CASE WHEN i % 10 = 0 THEN '0.5' ELSE '1.5' END AS flood_barriers
-    FROM (SELECT o_orderkey AS i, (o_orderkey // 5) % 4 AS kind, * FROM orders WHERE o_orderkey % 5 = 0)""",
+    FROM (SELECT o_orderkey AS i, (o_orderkey // 5) % 4 AS kind, * FROM orders)""",
     "sidx": """
     SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) AS r FROM side)
     WHERE r = 1""",
