@@ -126,7 +126,7 @@ def _anchored(length: int, anchor: int):
                 again[order[1:]] = (v[1:] == v[:-1]) & (c[1:] == c[:-1])
                 # neighbouring settled contexts of a text become one span
                 d, a, b = doc[again], local[again], (local + windows)[again]
-                lead = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] > b[:-1] + length)]) if len(d) else np.zeros(0, bool)
+                lead = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] > b[:-1] + length - 1)]) if len(d) else np.zeros(0, bool)
                 last = np.concatenate([lead[1:], [True]]) if len(d) else lead
                 spans = int(lead.sum())
                 new = ~again

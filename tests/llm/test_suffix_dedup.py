@@ -100,3 +100,21 @@ def test_hot_copies(spark):
     text = " ".join(f"word{i}" for i in range(40))
     got = run(spark, [(i, text) for i in range(400)])
     assert sum(r[2] for r in got) == 399 * len(text)
+
+
+def test_a_replaced_byte_stays(spark):
+    rng, rows, touching = random.Random(4), [], 0
+    for pair in range(40):
+        text = "".join(rng.choice("abcdefghijklmnop ") for _ in range(700))
+        for at in range(120, 580):
+            copy = text[:at] + "#" + text[at + 1 :]
+            (batch,) = suffix_dedup._anchored(100, 24)(iter([_batch([(0, text), (1, copy)])]))
+            settled = [(a, w) for a, w, c in zip(*(batch[k].to_pylist() for k in ("start", "windows", "context"))) if c is None]
+            assert all(not a <= at < a + w + 99 for a, w in settled), (pair, at)
+            ends = {a + w + 99 for a, w in settled}
+            if any(a - 1 in ends for a, _ in settled) and touching < 8:
+                touching += 1
+                rows += [(2 * len(rows), text), (2 * len(rows) + 1, copy)]
+    assert rows
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(df).collect()), key=str) == brute(rows, 100)
