@@ -15,7 +15,6 @@ from hazardlens.llm import batches
 
 PASSAGE = 64
 LABELLED = 3000
-PASSAGES = 16
 HIDDEN = 16
 ATTENTION = 8
 STEPS = 250
@@ -171,16 +170,13 @@ def _constant(rate: float) -> Model:
     return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), weights)
 
 
-def _encoded(text: str, most: int):
-    """Features of each row's passages, evenly chosen where there are more than ``most``."""
+def _encoded(text: str):
+    """Features of all passages of each row."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in batches.pieces(stream, text):
             x, begin = passages(batches.encoded(piece.column(text)))
-            rows = []
-            for a, b in zip(begin[:-1], begin[1:]):
-                chosen = np.linspace(a, b - 1, min(most, b - a)).astype(np.int64)
-                rows.append(x[chosen].astype(np.float32).tobytes())
+            rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(begin[:-1], begin[1:])]
             columns = [piece.column("quality"), piece.column("doc_id"), pa.array(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["quality", "doc_id", "x"])
 
@@ -199,9 +195,8 @@ def train(
     text: str = "text",
     quality: str = "quality",
     labelled: int = LABELLED,
-    passages_each: int = PASSAGES,
 ) -> Model:
-    """A model from at most ``labelled`` documents, ``passages_each`` evenly spread passages of each.
+    """A model from at most ``labelled`` documents, all passages of each.
 
     The documents are those with the smallest hash of their id among the labelled ones
     that are not held out. Null labels and ids are left out, of several labels the
@@ -214,7 +209,7 @@ def train(
     texts = documents.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     # at most ``labelled`` rows of two numbers, whatever the input
     sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    rows = sample.mapInArrow(_encoded("text", passages_each), "quality int, doc_id long, x binary").toArrow().sort_by("doc_id")
+    rows = sample.mapInArrow(_encoded("text"), "quality int, doc_id long, x binary").toArrow().sort_by("doc_id")
     y = np.array(rows["quality"].to_pylist(), np.float64)
     if not len(y) or y.min() == y.max():
         return _constant((y.sum() + 1) / (len(y) + 2))

@@ -45,6 +45,19 @@ def test_one_class_or_no_label(spark):
     assert len(scores) == 1 and scores.pop() > 0.8
 
 
+def test_training_sees_every_passage(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(n))) for i, n in enumerate([5000, 40, 3000, 0] * 5)]
+    seen = {}
+    monkeypatch.setattr(quality_model, "fit", lambda x, begin, y: seen.update(x=x, begin=begin, y=y))
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    quality_model.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    used = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    x, begin = quality_model.passages([t.encode() for _, t in used])
+    assert seen["begin"].tolist() == begin.tolist() and max(np.diff(begin)) == 79
+    assert np.allclose(seen["x"], x, atol=1e-6) and seen["y"].tolist() == [i % 2 for i, _ in used]
+
+
 def test_gradient_fits_attention():
     """One bad passage among good ones makes a document bad; attention must find it."""
     rng = np.random.default_rng(1)
