@@ -11,20 +11,31 @@ from hazardlens.llm.staging import staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model accepts; it learns from the labels that are not held out."""
+    """Documents that the quality model accepts; it learns from the labels that are not held out.
+
+    Without any label nothing can be judged, and all documents are kept.
+    """
     model = quality_model.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.learned:
+        return docs
     whole = docs.select(F.struct("*").alias("_row"), "text")
     return quality_model.score(whole, model).where("predicted = 1").select("_row.*")
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id, and each id once.
+    """One document of each group of near-duplicates, that of the smallest id.
 
-    Documents without an id are kept as they are.
+    Documents without an id are kept as they are. If ids repeat, rows are judged one by
+    one, ordered by id and text, so different texts under one id all stay.
     """
-    kept = near_dups.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        rows = named.withColumn("_row", F.col("doc_id"))
+    else:
+        # numbers that rise with the order, fixed by writing them
+        rows = staged(named.orderBy("doc_id", "text", mixing.row_key(docs)).withColumn("_row", F.monotonically_increasing_id()))
+    kept = near_dups.near_duplicates(rows, id="_row").where("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row").select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +45,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target weights take, each as often as it has copies."""
-    return mixing.select_documents(docs, mixing.mix(docs, LEVELS, WEIGHTS, PERCENT))
+    rows = docs.withColumn("_row", mixing.row_key(docs))
+    taken = mixing.mix(rows, LEVELS, WEIGHTS, PERCENT, key="_row")
+    return mixing.select_documents(rows, taken, "_row").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,7 @@ def mix(
     id: str = "doc_id",
     text: str = "text",
     buckets: int = BUCKETS,
+    key: str | None = None,
 ) -> DataFrame:
     """``doc_id``, the ``levels``, ``n_tokens`` and ``copies`` of every document that is taken.
 
@@ -96,12 +97,14 @@ def mix(
 
     A null level value is a leaf of its own, ``(none)``. Texts without words are never
     taken. Repeated rows count as documents of their own and stand side by side in the
-    order; null ids share one place. Extra columns are not read. An empty table gives an empty result.
+    order; null ids share one place. With ``key``, a string column that tells rows apart, the
+    result has that column too, and rows without an id have their place by it. Extra columns
+    are not read. An empty table gives an empty result.
     """
-    names = list(levels)
+    names, keys = list(levels), [key] if key else []
     columns = [F.coalesce(F.expr(e).cast("string"), F.lit(NONE)).alias(n) for n, e in levels.items()]
     tokens = F.size(word_list(F.col(text))).cast("bigint")
-    rows = staged(df.select(F.col(id).alias("doc_id"), *columns, tokens.alias("n_tokens")).where("n_tokens > 0"))
+    rows = staged(df.select(F.col(id).alias("doc_id"), *keys, *columns, tokens.alias("n_tokens")).where("n_tokens > 0"))
     leaves = staged(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")))
     plan = leaf_budgets(leaves, names, weights, percent, epochs)
     plan = plan.select(
@@ -110,20 +113,31 @@ def mix(
         F.expr("budget % tokens").alias("rest"),
     )
     epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs)))
-    placed = rows.withColumn("full", epoch).withColumn("place", order_number(seed, F.col("full"), F.col("doc_id")))
+    name = F.coalesce(F.col("doc_id").cast("string"), *keys)
+    placed = rows.withColumn("full", epoch).withColumn("place", order_number(seed, F.col("full"), name))
     placed = placed.withColumn("slice", F.floor(F.col("place") / F.lit((1 << 60) // buckets)).cast("int"))
     sums = placed.groupBy(*names, "full", "slice").agg(F.sum("n_tokens").alias("sum")).join(plan, [*names, "full"])
     before = Window.partitionBy(*names).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))
     # of each document's places only that in its leaf's unfinished epoch finds a partner
-    inside = Window.partitionBy(*names, "full", "slice").orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*names, "full", "slice").orderBy("place", "doc_id", "n_tokens", *keys).rowsBetween(Window.unboundedPreceding, 0)
     cut = placed.join(sums.select(*names, "full", "slice", "rest", "before"), [*names, "full", "slice"])
     taken = (F.col("before") + F.sum("n_tokens").over(inside) <= F.col("rest")).cast("int")
-    return cut.withColumn("copies", F.col("full") + taken).where("copies > 0").select("doc_id", *names, "n_tokens", "copies")
+    return cut.withColumn("copies", F.col("full") + taken).where("copies > 0").select("doc_id", *keys, *names, "n_tokens", "copies")
 
 
-def select_documents(df: DataFrame, taken: DataFrame, id: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` that ``mix`` took, each as often as it has copies; ids are taken as unique."""
-    copies = taken.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    repeated = df.join(copies, F.col(id) == F.col("_id")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+def row_key(df: DataFrame) -> Column:
+    """A digest of the whole row, null ids and nulls included; only rows equal in all columns share it."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256)
+
+
+def select_documents(df: DataFrame, taken: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` that ``mix`` took, each as often as it has copies.
+
+    Rows of one ``key`` must be equal (``row_key`` is such a key); the copies of all of
+    them are added up. Rows whose key is null are not selected.
+    """
+    copies = taken.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.sum("copies").cast("int").alias("_copies"))
+    named = df.dropDuplicates([key])
+    repeated = named.join(copies, F.col(key) == F.col("_key")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return repeated.select(*df.columns)

@@ -93,11 +93,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Encoder, gated attention and output weights, and the scale of the features."""
+    """Encoder, gated attention and output weights, and the scale of the features; ``learned``
+    is the number of documents they are learned from."""
 
     mean: np.ndarray
     scale: np.ndarray
     weights: dict[str, np.ndarray]
+    learned: int = 0
 
     def forward(self, x: np.ndarray, begin: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
@@ -133,7 +135,7 @@ def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS
     rng = np.random.Generator(np.random.PCG64(seed))
     shapes = _shapes(x.shape[1])
     weights = {k: np.asarray(rng.normal(0, 0.3, s)) for k, s in shapes.items()}
-    model = Model(x.mean(axis=0), x.std(axis=0) + 1e-3, weights)
+    model = Model(x.mean(axis=0), x.std(axis=0) + 1e-3, weights, len(labels))
     scaled = (x - model.mean) / model.scale
     moments = {k: (np.zeros(s), np.zeros(s)) for k, s in shapes.items()}
     for step in range(1, steps + 1):
@@ -163,11 +165,11 @@ def fit(x: np.ndarray, begin: np.ndarray, labels: np.ndarray, steps: int = STEPS
     return model
 
 
-def _constant(rate: float) -> Model:
+def _constant(rate: float, learned: int) -> Model:
     """A model that gives every text one score."""
     weights = {k: np.zeros(s) for k, s in _shapes(N_FEATURES).items()}
     weights["out0"] = np.asarray(np.log(rate / (1 - rate)))
-    return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), weights)
+    return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), weights, learned)
 
 
 def _encoded(text: str):
@@ -212,7 +214,7 @@ def train(
     rows = sample.mapInArrow(_encoded("text"), "quality int, doc_id long, x binary").toArrow().sort_by("doc_id")
     y = np.array(rows["quality"].to_pylist(), np.float64)
     if not len(y) or y.min() == y.max():
-        return _constant((y.sum() + 1) / (len(y) + 2))
+        return _constant((y.sum() + 1) / (len(y) + 2), len(y))
     parts = [np.frombuffer(x, np.float32).reshape(-1, N_FEATURES) for x in rows["x"].to_pylist()]
     begin = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     return fit(np.concatenate(parts).astype(np.float64), begin, (y > 0).astype(np.float64))

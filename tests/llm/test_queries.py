@@ -94,3 +94,31 @@ def test_pipeline_on_odd_documents(spark, tmp_path):
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
         assert corpus_pipeline.run(spark, str(folder)).columns[0] == "doc_id"
         corpus_pipeline.run(spark, str(folder)).collect()
+
+
+def test_pipeline_keeps_rows_without_or_with_repeated_ids(spark, tmp_path):
+    rng = random.Random(6)
+
+    def text():
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60)) + "."
+
+    rows = [(i, text(), "en", "src1", 1) for i in range(6)]
+    rows += [(None, text(), "en", "src1", 1) for _ in range(6)] + [(2, text(), "en", "src1", 1) for _ in range(3)]
+    rows += [rows[0], (9, rows[1][1], "en", "src1", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    spark.createDataFrame([(i, 1) for i in range(6)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(tmp_path / "none" / "labels.parquet"))
+    want = sorted(((i, t) for i, t, *_ in rows[:15]), key=str)
+    pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path / "none")).count() == len(rows)
+    good = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert pairs(good) == sorted(((i, t) for i, t, *_ in rows), key=str)
+    kept = corpus_pipeline.deduplicate(spark, good, "")
+    assert pairs(kept) == want
+    mixed = corpus_pipeline.mix(spark, kept, "")
+    # 80 % of 900 words, in documents of 60
+    assert mixed.columns == docs.columns and mixed.count() == 12 and set(pairs(mixed)) < set(want)
+    assert any(r["doc_id"] is None for r in mixed.collect())
+    # equal rows share their key, and each is taken
+    twice = corpus_pipeline.mix(spark, kept.unionByName(kept), "")
+    assert twice.count() == 24
