@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlens.llm.staging import staged
@@ -19,22 +19,23 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-# a word (run without white space) that holds a digit
-NUMBERED = rf"(?<![^{SPACE}])[^0-9{SPACE}]*+[0-9][^{SPACE}]*+"
+WORD = rf"[^{SPACE}]++"
+BLANKS = "\x20\t\n\x0b\f\r"
+# what stands before the first and after the last word; no word has a space
+EDGE = " "
 SPAN = "struct<start:int,kind:int,end:int,value:string>"
-WORD_TAIL = 160
-MARKS = 1 << 16
+MARKS = 1 << 18
 
 
 @dataclass(frozen=True)
 class Bootstrap:
     """``support``: distinct instances a context must have; ``confidence``: the score that contexts
-    and instances need; ``rounds``: how often scores are passed over the graph; ``shortest``:
-    characters an identifier has at least."""
+    and instances need; ``rounds``: how often new contexts are sought, by default until there are
+    none; ``shortest``: characters an identifier has at least."""
 
     support: int = 3
     confidence: float = 0.6
-    rounds: int = 3
+    rounds: int | None = None
     shortest: int = 4
 
 
@@ -107,105 +108,152 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*found))
 
 
-CANDIDATE = "struct<start:int,end:int,value:string,context:string>"
+def _contexts() -> Column:
+    """The words around a place, one to three on each side, as contexts; none of a text's edge alone."""
+    l1, l2, l3, r1, r2, r3 = map(F.col, ("l1", "l2", "l3", "r1", "r2", "r3"))
+    left, right, gap = F.lit("<"), F.lit(">"), F.lit(" ")
+    # concat is null where a word is missing
+    return F.array(
+        F.when(l1 != EDGE, F.concat(left, l1)),
+        F.concat(left, l2, gap, l1),
+        F.concat(left, l3, gap, l2, gap, l1),
+        F.when(r1 != EDGE, F.concat(right, r1)),
+        F.concat(right, r1, gap, r2),
+        F.concat(right, r1, gap, r2, gap, r3),
+    )
 
 
-def context_of(before: Column) -> Column:
-    """The three words right before, in lower case; ``^`` stands for the start of the text.
+def _slots(rows: DataFrame, text: str) -> DataFrame:
+    """``_row``, place ``k`` among the words, ``word`` and its three neighbours on each side, in lower case."""
+    words = F.split(F.btrim(F.lower(F.col(text)), F.lit(BLANKS)), rf"[{SPACE}]+")
+    none = F.lit(None).cast("string")
+    padded = F.concat(F.array(none, none, F.lit(EDGE)), words, F.array(F.lit(EDGE), none, none))
+    texts = rows.where(F.col(text).rlike(rf"[^{SPACE}]")).select("_row", padded.alias("w"))
+    places = {"l3": 1, "l2": 2, "l1": 3, "word": 4, "r1": 5, "r2": 6, "r3": 7}
+    sides = [F.slice("w", F.lit(i), F.size("w") - 6).alias(c) for c, i in places.items()]
+    return texts.select("_row", F.posexplode(F.arrays_zip(*sides)).alias("k", "s")).select("_row", "k", "s.*")
 
-    Takes the end of the text before. If it is cut off and holds no more than three
-    words, there is no context.
-    """
-    words = F.filter(F.split(F.lower(before), rf"[{SPACE}]+"), lambda w: w != "")
-    whole = F.length(before) < WORD_TAIL
-    known = F.when(whole, F.concat(F.array(F.lit("^")), words)).when(F.size(words) > 3, words)
-    last = F.slice(known, -F.least(F.size(known), F.lit(3)), F.lit(3))
-    return F.when(known.isNotNull(), F.concat_ws(" ", last))
 
+def _marked(df: DataFrame, asked: DataFrame, name: str) -> DataFrame:
+    """The rows whose ``name`` may be among the ``asked``: a table of ``MARKS`` hashes at most goes to all tasks."""
+    mark = F.pmod(F.xxhash64(name), F.lit(MARKS))
+    marks = asked.select(mark.alias("_mark")).distinct()
+    return df.withColumn("_mark", mark).join(F.broadcast(marks), "_mark", "left_semi").drop("_mark")
 
-def candidates(text: Column, shortest: int) -> Column:
-    """Every word with a digit, without the punctuation around it, and the three words before it."""
-    none = F.array().cast(f"array<{CANDIDATE}>")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("out"))
 
-    def step(acc: Column, pair: Column) -> Column:
-        match = F.coalesce(pair["match"], F.lit(""))
-        begin = acc["at"] + F.length(pair["gap"])
-        before = F.concat(acc["tail"], pair["gap"])
-        lead = F.length(F.regexp_extract(match, r"\A[^\p{L}\p{N}]*", 0))
-        trail = F.length(F.regexp_extract(match, r"[^\p{L}\p{N}]*\z", 0))
-        value = F.substr(match, lead + 1, F.length(match) - lead - trail)
-        found = F.struct(
-            (begin + lead).alias("start"),
-            (begin + lead + F.length(value)).alias("end"),
-            value.alias("value"),
-            context_of(F.right(before, F.lit(WORD_TAIL))).alias("context"),
-        )
-        good = (F.length(value) >= shortest) & found["context"].isNotNull()
-        return F.struct(
-            (begin + F.length(match)).alias("at"),
-            F.right(F.concat(before, match), F.lit(WORD_TAIL)).alias("tail"),
-            F.when(good, F.concat(acc["out"], F.array(found))).otherwise(acc["out"]).alias("out"),
-        )
-
-    spans = F.aggregate(_pairs(text, NUMBERED), start, step, lambda acc: acc["out"])
-    return F.when(text.rlike("[0-9]"), spans).otherwise(none)
-
-
-def totals(texts: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
-    """How often each of the ``patterns`` (``context``) stands before any word in all texts.
-
-    Every word of every text is looked up. A table of ``MARKS`` numbers at most, the
-    hashes of the contexts asked for, goes to all tasks and leaves few words to be
-    compared in full.
-    """
-    marks = patterns.select(F.pmod(F.xxhash64("context"), F.lit(MARKS)).alias("mark")).distinct()
-    words = F.filter(F.split(F.lower(F.col(text)), rf"[{SPACE}]+"), lambda w: w != "")
-    places = texts.select(F.concat(F.array(F.lit("^")), words).alias("w")).where(F.size("w") > 1)
-    # before the start there is nothing, and concat_ws leaves that out
-    before = F.transform(
-        F.sequence(F.lit(0), F.size("w") - 2),
-        lambda k: F.concat_ws(" ", F.get("w", k - 2), F.get("w", k - 1), F.get("w", k)),
-    )
-    contexts = places.select(F.explode(before).alias("context"))
-    # at most MARKS rows, whatever the input
-    near = contexts.withColumn("mark", F.pmod(F.xxhash64("context"), F.lit(MARKS))).join(F.broadcast(marks), "mark", "left_semi")
+def totals(rows: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
+    """How often each of the ``patterns`` (``context``) stands around any word in all texts."""
+    contexts = _slots(rows, text).select(F.explode(_contexts()).alias("context")).where("context is not null")
     # counted first, so that a row per context meets the ones asked for
-    return near.groupBy("context").agg(F.count("*").alias("total")).join(patterns.select("context"), "context")
+    return _marked(contexts, patterns, "context").groupBy("context").agg(F.count("*").alias("total")).join(patterns.select("context"), "context")
 
 
-def bootstrap(slots: DataFrame, texts: DataFrame, text: str, rules: Bootstrap) -> DataFrame:
-    """``context, value, score`` of the discovered identifiers.
+def _seed_edges(rows: DataFrame, text: str) -> DataFrame:
+    """``context, value, n`` of the spans of the fixed kinds, whatever they are made of."""
+    near = rf"\A[^{SPACE}]*+((?:[{SPACE}]++[^{SPACE}]++){{0,3}})"
+    spans = rows.where(F.size("base") > 0).select(F.col(text).alias("t"), F.explode("base").alias("b"))
+    before = F.reverse(F.regexp_extract(F.reverse(F.substr("t", F.lit(1), F.col("b.start"))), near, 1))
+    after = F.regexp_extract(F.substr("t", F.col("b.end") + 1), near, 1)
 
-    ``slots`` has ``context, value, n, seed``. Seeds score 1. A context scores the mean
-    over everything that follows it anywhere, plain words counting 0; an instance scores
-    the chance that at least one of its contexts is right. The scores go to and fro
-    over the graph ``rounds`` times. Contexts count that have ``support`` distinct
-    instances of some score and reach ``confidence``.
+    def words(part: Column) -> Column:
+        return F.filter(F.split(F.lower(part), rf"[{SPACE}]+"), lambda w: w != "")
+
+    none = F.lit(None).cast("string")
+    left = F.concat(F.array(none, none, F.lit(EDGE)), words(before)).alias("l")
+    right = F.concat(words(after), F.array(F.lit(EDGE), none, none)).alias("r")
+    sides = spans.select(F.col("b.value").alias("value"), left, right)
+    sides = sides.withColumns({f"l{i}": F.get("l", F.size("l") - i) for i in (1, 2, 3)} | {f"r{i}": F.get("r", F.lit(i - 1)) for i in (1, 2, 3)})
+    found = sides.select("value", F.explode(_contexts()).alias("context")).where("context is not null")
+    return found.groupBy("context", "value").agg(F.count("*").alias("n"))
+
+
+def _placed(slots: DataFrame, rows: DataFrame, text: str, shortest: int) -> DataFrame:
+    """``slots`` with ``start, end, value`` of their words, without the punctuation around them.
+
+    Words that overlap a fixed span or are too short are left out.
+    """
+    texts = rows.join(slots.select("_row").distinct(), "_row", "left_semi")
+    pieces = texts.select("_row", F.posexplode(_pairs(F.col(text), WORD)).alias("k", "p")).where("p.match is not null")
+    so_far = Window.partitionBy("_row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.length("p.gap") + F.length("p.match")).over(so_far).cast("int")
+    words = pieces.select("_row", "k", F.col("p.match").alias("match"), stop.alias("stop"))
+    lead = F.length(F.regexp_extract("match", r"\A[^\p{L}\p{N}]*+", 0))
+    value = F.regexp_replace(F.substr("match", lead + 1), r"[^\p{L}\p{N}]++\z", "")
+    start = F.col("stop") - F.length("match") + lead
+    words = slots.join(words, ["_row", "k"]).withColumns({"value": value, "start": start})
+    words = words.withColumn("end", F.col("start") + F.length("value")).where(F.length("value") >= shortest)
+    fixed = rows.where(F.size("base") > 0).select("_row", "base")
+    overlap = F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
+    free = words.join(fixed, "_row", "left").where(~F.coalesce(overlap, F.lit(False)))
+    return free.drop("base", "match", "stop")
+
+
+def _behind(rows: DataFrame, text: str, patterns: DataFrame, shortest: int) -> DataFrame:
+    """``_row, start, end, value, context`` of every word in one of the ``patterns``."""
+    contexts = _slots(rows, text).select("_row", "k", F.explode(_contexts()).alias("context")).where("context is not null")
+    slots = staged(_marked(contexts, patterns, "context").join(patterns.select("context"), "context"))
+    return _placed(slots, rows, text, shortest).select("_row", "start", "end", "value", "context")
+
+
+def _edges_of(rows: DataFrame, text: str, values: DataFrame, shortest: int) -> DataFrame:
+    """``context, value, n`` of every place where one of the ``values`` stands as a word."""
+    bare = F.regexp_replace("word", r"\A[^\p{L}\p{N}]++|[^\p{L}\p{N}]++\z", "")
+    slots = _slots(rows, text).withColumn("bare", bare)
+    slots = staged(_marked(slots, values.select(F.lower("value").alias("bare")), "bare").drop("bare", "word"))
+    there = _placed(slots, rows, text, shortest).join(values, "value")
+    found = there.select("value", F.explode(_contexts()).alias("context")).where("context is not null")
+    return found.groupBy("context", "value").agg(F.count("*").alias("n"))
+
+
+def _with(before: DataFrame | None, more: DataFrame) -> DataFrame:
+    return staged(more if before is None else before.unionByName(more))
+
+
+def bootstrap(rows: DataFrame, text: str, rules: Bootstrap) -> DataFrame | None:
+    """``_row, start, end, value, context`` of the discovered identifiers, or None without any.
+
+    ``rows`` has ``_row``, the text and its fixed spans, the seeds (``base``). Seeds
+    score 1. A context scores the mean over everything that stands in it anywhere, other
+    words counting 0; an instance scores the chance that at least one of its contexts is
+    right. Contexts are trusted that have ``support`` distinct instances of some score
+    and reach ``confidence``. Every word in a trusted context is discovered, and all
+    places where it stands lead to further contexts, until no new one is trusted.
+
+    Contexts too weak to be trusted give no score, so only words in trusted ones are
+    ever looked at; of the others only totals are counted.
     """
-    edges = staged(slots.groupBy("context", "value").agg(F.sum("n").alias("n"), F.max("seed").alias("seed")))
-    supported = edges.where("seed").groupBy("context").agg(F.count("*").alias("support")).where(F.col("support") >= rules.support)
-    sizes = staged(totals(texts, text, staged(supported.select("context"))))
-    graph = staged(edges.join(sizes, "context"))
-    scores = graph.groupBy("value").agg(F.max(F.when(F.col("seed"), 1.0).otherwise(0.0)).alias("score"))
-    patterns = None
-    for _ in range(rules.rounds):
-        patterns = staged(
-            graph.join(scores, "value")
-            .groupBy("context")
-            .agg(
-                (F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))).alias("strength"),
-                F.count(F.when(F.col("score") > 0, 1)).alias("support"),
-            )
-            .where((F.col("support") >= rules.support) & (F.col("strength") >= rules.confidence))
-        )
+    edges = staged(_seed_edges(rows, text))
+    seeds = staged(edges.select("value").distinct().withColumn("score", F.lit(1.0)))
+    scores, sizes, trusted, found, known = seeds, None, None, None, seeds.select("value")
+    done = 0
+    while rules.rounds is None or done < rules.rounds:
+        done += 1
+        mass = edges.join(scores, "value").groupBy("context")
+        mass = mass.agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.sum("n").alias("n"), F.count("*").alias("support"))
+        mass = staged(mass.where(F.col("support") >= rules.support))
+        asked = staged(mass.select("context") if sizes is None else mass.select("context").join(sizes, "context", "left_anti"))
+        if not asked.isEmpty():
+            sizes = _with(sizes, totals(rows, text, asked))
+        if sizes is None:
+            break
+        strength = (F.col("mass") / F.greatest("total", "n")).alias("strength")
+        patterns = staged(mass.join(sizes, "context").select("context", strength).where(F.col("strength") >= rules.confidence))
+        new = patterns if trusted is None else staged(patterns.join(trusted.select("context"), "context", "left_anti"))
+        if new.isEmpty():
+            break
+        trusted = patterns
+        found = _with(found, _behind(rows, text, new, rules.shortest))
+        met = found.select("context", "value").distinct().join(trusted, "context")
         missed = F.exp(F.sum(F.log(F.greatest(1 - F.col("strength"), F.lit(1e-9)))))
-        met = graph.join(patterns.select("context", "strength"), "context").groupBy("value")
-        met = met.agg(F.max("seed").alias("seed"), missed.alias("missed"))
-        # seeds keep their score; an instance without a trusted context has none
-        scores = staged(met.select("value", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("missed")).alias("score")))
-    trusted = graph.where("not seed").join(patterns.select("context"), "context") if patterns is not None else graph.limit(0)
-    return trusted.join(scores, "value").where(F.col("score") >= rules.confidence).select("context", "value", "score")
+        others = met.groupBy("value").agg((1 - missed).alias("score")).join(seeds, "value", "left_anti")
+        # seeds keep their score
+        scores = staged(seeds.unionByName(others))
+        fresh = staged(scores.select("value").join(known, "value", "left_anti"))
+        if fresh.isEmpty():
+            break
+        known = scores.select("value")
+        edges = _with(edges, _edges_of(rows, text, fresh, rules.shortest))
+    return found
 
 
 def _joined(spans: Column) -> Column:
@@ -218,37 +266,26 @@ def _joined(spans: Column) -> Column:
 def find_spans(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) -> DataFrame:
     """``df`` with ``spans`` (start, kind, end, value; sorted) and ``base``, those of the fixed kinds.
 
-    Fixed kinds are matched in every text. Words with a digit are instances, the three
-    words before them contexts; words that overlap a fixed span are seeds. Contexts
-    that seeds share are scored on the graph of contexts and instances (``bootstrap``),
-    and what else stands in a trusted context becomes a span of kind ``id``, unless it
-    overlaps a fixed one. In spans ``kind`` is the place in ``KINDS``.
+    Fixed kinds are matched in every text and are the seeds. One to three whole words
+    before or behind, text ends included, are contexts. Contexts that seeds share are
+    scored on the graph of contexts and instances (``bootstrap``), and every word in a
+    trusted context becomes a span of kind ``id``, unless it overlaps a fixed one. In
+    spans ``kind`` is the place in ``KINDS``.
 
     Null and empty texts have no spans. Every row is judged by itself, also if its id or
     the whole row is repeated. Input columns with the names of the results are
     replaced. An empty table gives an empty result. Texts are read whole.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    found = {"base": base_spans(whole), "_found": candidates(whole, rules.shortest)}
-    rows = df.withColumns({**found, "_row": F.monotonically_increasing_id()})
     # written before it is used twice, so the row numbers stay as they are
-    return _with_discovered(staged(rows), df, text, rules)
-
-
-def _with_discovered(rows: DataFrame, texts: DataFrame, text: str, rules: Bootstrap) -> DataFrame:
-    found = rows.select("_row", "base", F.explode("_found").alias("f")).select("_row", "f.*", "base")
-    seed = F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    slots = found.select("_row", "start", "end", "value", "context", seed.alias("seed"))
-    counts = slots.groupBy("context", "value").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
-    trusted = bootstrap(counts, texts.where(F.col(text).isNotNull()), text, rules)
-    more = (
-        slots.where("not seed")
-        .join(trusted.select("context", "value"), ["context", "value"])
-        .groupBy("_row")
-        .agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end", "value")).alias("_more"))
-    )
+    rows = staged(df.withColumns({"base": base_spans(whole), "_row": F.monotonically_increasing_id()}))
+    found = bootstrap(rows, text, rules)
+    if found is None:
+        return rows.withColumn("spans", F.col("base")).drop("_row")
+    span = F.struct("start", F.lit(KINDS.index("id")).alias("kind"), "end", "value")
+    more = found.groupBy("_row").agg(F.collect_set(span).alias("_more"))
     spans = F.sort_array(F.concat("base", F.coalesce("_more", F.array().cast(f"array<{SPAN}>"))))
-    return rows.join(more, "_row", "left").withColumn("spans", spans).drop("_found", "_row", "_more")
+    return rows.join(more, "_row", "left").withColumn("spans", spans).drop("_row", "_more")
 
 
 def summary(spans: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -79,6 +79,22 @@ def test_a_common_context_is_not_trusted(spark):
     assert run(spark, texts[:6])[5]["spans"] == "id:9:14"
 
 
+def ids(row, text):
+    found = [s.split(":") for s in row["spans"].split(",") if s.startswith("id:")]
+    return {text[int(a) : int(b)] for _, a, b in found}
+
+
+def test_a_cue_behind_a_varying_word(spark):
+    first = ["your", "the", "my", "their", "her", "his"]
+    texts = [f"{w} customer code u{i}@mail.org {w} end{i}" for i, w in enumerate(first)]
+    texts += ["our customer code KX-90817 is", "x" * 200 + " 客" * 100 + " customer code QQ55 was"]
+    got = run(spark, texts)
+    assert ids(got[6], texts[6]) == {"KX-90817"} and ids(got[7], texts[7]) == {"QQ55"}
+    # words behind are a cue too
+    texts = [f"{w} u{i}@mail.org wrote this" for i, w in enumerate(first)] + ["now KX-90817 wrote this"]
+    assert ids(run(spark, texts)[6], texts[6]) == {"KX-90817"}
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de or 10.0.0.1, 🎉 end"
     df = spark.createDataFrame([(1, text, "s"), (2, None, None), (3, "none", "t")], "doc_id long, text string, spans string")
