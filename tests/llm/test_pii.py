@@ -95,6 +95,14 @@ def test_a_cue_behind_a_varying_word(spark):
     assert ids(run(spark, texts)[6], texts[6]) == {"KX-90817"}
 
 
+def test_identifiers_and_seeds_without_digits(spark):
+    names = ["jane.doe", "ann", "bob.lee", "tim", "sue", "max", "eva", "ron", "kim"]
+    texts = [f"signed up as {n}@example.com {n} {n}" for n in names] + ["signed up as goldenfish then"]
+    got = run(spark, texts)
+    assert ids(got[9], texts[9]) == {"goldenfish"}
+    assert all(ids(got[i], texts[i]) == set() for i in range(9))
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de or 10.0.0.1, 🎉 end"
     df = spark.createDataFrame([(1, text, "s"), (2, None, None), (3, "none", "t")], "doc_id long, text string, spans string")
