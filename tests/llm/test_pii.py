@@ -103,6 +103,20 @@ def test_identifiers_and_seeds_without_digits(spark):
     assert all(ids(got[i], texts[i]) == set() for i in range(9))
 
 
+def test_discovered_identifiers_lead_to_new_contexts(spark):
+    texts = [f"{i}a reach me via u{i}@mail.org {i}b" for i in range(9)]
+    texts += [f"{i}c reach me via badge{i}xx {i}d" for i in range(4)]
+    # the same badges stand behind a cue of their own, and so do others
+    texts += [f"{i}e wearing plate number badge{i}xx {i}f" for i in range(4)] + ["8e wearing plate number zz-77-y 8f"]
+    # and these lead on to a third one
+    texts += [f"{i}g shown as zz-7{i}-y {i}h" for i in range(1)]
+    got = run(spark, texts)
+    assert all(ids(got[9 + i], texts[9 + i]) == ids(got[13 + i], texts[13 + i]) == {f"badge{i}xx"} for i in range(4))
+    assert ids(got[17], texts[17]) == {"zz-77-y"} and ids(got[18], texts[18]) == set()
+    one = run(spark, texts, rules=pii.Bootstrap(rounds=1))
+    assert ids(one[9], texts[9]) == {"badge0xx"} and ids(one[17], texts[17]) == set()
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de or 10.0.0.1, 🎉 end"
     df = spark.createDataFrame([(1, text, "s"), (2, None, None), (3, "none", "t")], "doc_id long, text string, spans string")
