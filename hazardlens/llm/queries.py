@@ -102,7 +102,7 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     # dealt by id at any size: the labels grow with the documents
     marked = documents.join(good.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
-    return lm.cross_entropy_difference(marked, "target")
+    return lm.word_cross_entropy_difference(marked, "target")
 
 
 _ALL = (

@@ -135,3 +135,63 @@ def test_nulls_long_texts_and_no_target(spark):
     assert sorted(r["n_chars"] for r in got) == [0, 0, 300_000] and all(math.isfinite(r["difference"]) for r in got)
     assert lm.cross_entropy_difference(df.where("not t"), "t").count() == 1
     assert lm.cross_entropy_difference(df.limit(0), "t").count() == 0
+
+
+def brute_word_losses(rows):
+    def grams(text):
+        words = ["", *(text or "").split(), ""]
+        return list(zip(words, words[1:]))
+
+    size = len({w for _, t, _ in rows for _, w in grams(t)})
+
+    def model(texts):
+        pairs = Counter(g for t in texts for g in grams(t))
+        single, after, kinds = Counter(), Counter(), Counter()
+        for (a, b), n in pairs.items():
+            single[b] += n
+            after[a] += n
+            kinds[a] += 1
+        total = sum(single.values())
+
+        def loss(gram):
+            p = (single[gram[1]] + len(single) / size) / (total + len(single)) if total else 1 / size
+            a = gram[0]
+            return -math.log((pairs[gram] + kinds[a] * p) / (after[a] + kinds[a]) if after[a] else p)
+
+        return loss
+
+    target, background = model([t for _, t, m in rows if m]), model([t for _, t, _ in rows])
+    return {i: (len(grams(t)) - 1, *(sum(map(f, grams(t))) / len(grams(t)) for f in (target, background))) for i, t, _ in rows}
+
+
+@pytest.mark.parametrize("share", [0, 0.3])
+def test_word_losses_equal_plain_counts(spark, share):
+    rng = random.Random(3)
+    words = ["a", "B", "b", "cé", "🎉", *(chr(0x4E00 + i) * 2 for i in range(400))]
+    rows = [(i, " ".join(rng.choice(words[: rng.choice([4, 405])]) for _ in range(rng.randint(0, 40))), rng.random() < share) for i in range(80)]
+    rows += [(90, None, None), (91, "", True if share else None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows + rows[:1]], "doc_id long, text string, t boolean, n_words int").repartition(5)
+    got = {r["doc_id"]: r for r in lm.word_cross_entropy_difference(df, "t").collect()}
+    assert lm.word_cross_entropy_difference(df, "t").count() == len(rows) + 1
+    want = brute_word_losses(rows + rows[:1])
+    assert got.keys() == want.keys()
+    for i, (n, target, background) in want.items():
+        assert got[i]["n_words"] == n
+        assert got[i]["target_loss"] == pytest.approx(target, rel=1e-9)
+        assert got[i]["background_loss"] == pytest.approx(background, rel=1e-9)
+        assert got[i]["difference"] == pytest.approx(target - background, abs=1e-9)
+    assert lm.word_cross_entropy_difference(df.limit(0), "t").count() == 0
+
+
+def test_rare_characters_are_told_apart(spark, tmp_path):
+    """Two groups of documents in characters beyond the 128 most frequent."""
+    rng = random.Random(5)
+    common = "".join(chr(0x400 + i) for i in range(128))
+    rows = [(i, common * 50) for i in range(8)]
+    for i in range(8, 40):
+        rows.append((i, " ".join(chr(0x4E00 + 50 * (i % 2) + rng.randrange(50)) for _ in range(60))))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    good = [(i, 1) for i in range(8, 24, 2)]
+    spark.createDataFrame(good, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r["doc_id"]: r["difference"] for r in QUERIES["op10_cross_entropy"](spark, str(tmp_path)).collect()}
+    assert max(got[i] for i in range(24, 40, 2)) < min(got[i] for i in range(25, 40, 2)) - 0.5
