@@ -173,4 +173,50 @@ SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, c.component_id, d.doc_id = c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
-ORACLE = {"op1_topk_search": OP1, "op2_mixing": OP2, "op3_url_filter": OP3, "op4_minhash_dedup": OP4, "op9_line_rules": OP9}
+
+def _round(k: int, last: bool) -> str:
+    """Assigns every part to the entries of ``b{k}`` and, unless it is the last time, moves them to ``b{k + 1}``."""
+    assigned = f"""
+a{k} AS MATERIALIZED (
+  SELECT x.row, x.part, min((list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, b.v) + list_dot_product(b.v, b.v))::BIGINT * 256
+    + b.entry) AS found
+  FROM x JOIN b{k} b USING (part) GROUP BY ALL
+)"""
+    if last:
+        return assigned
+    return f"""{assigned}, m{k} AS (
+  SELECT part, entry, list(c ORDER BY place) AS v FROM (
+    SELECT part, found % 256 AS entry, i.place, floor(sum(x.v[i.place]) / count(*)) AS c
+    FROM a{k} JOIN x USING (row, part), (SELECT unnest(range(1, 17)) AS place) i GROUP BY ALL
+  ) GROUP BY ALL
+), b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN m{k} m USING (part, entry)
+)"""
+
+
+OP13 = f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, label, v, row_number() OVER (ORDER BY vec_id, v) - 1 AS row FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  )
+), x AS MATERIALIZED (
+  SELECT row, p.part, e.v[16 * p.part + 1:16 * p.part + 16] AS v FROM e, (SELECT unnest(range(4)) AS part) p
+), b0 AS MATERIALIZED (SELECT part, row AS entry, v FROM x WHERE row < 256),
+{", ".join(_round(k, k == 4) for k in range(5))}, c AS (
+  SELECT row, string_agg(printf('%02x', found % 256), '' ORDER BY part) AS code, sum(found // 256)::BIGINT AS error FROM a4 GROUP BY row
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda c: c::BIGINT), ','), ',' ORDER BY part, entry)) FROM b4)
+    AS codebooks_sha256
+FROM e JOIN c USING (row)
+"""
+
+ORACLE = {
+    "op1_topk_search": OP1,
+    "op2_mixing": OP2,
+    "op3_url_filter": OP3,
+    "op4_minhash_dedup": OP4,
+    "op9_line_rules": OP9,
+    "op13_vector_codes": OP13,
+}

@@ -1,11 +1,14 @@
-"""The registered queries of the ten operators, over whole tables."""
+"""The registered queries of the thirteen operators, over whole tables."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import line_rules, lm, mixing, near_dups, pieces, pii, quality_model, suffix_dedup, topk, urls
+from hazardlens.llm import codes, line_rules, lm, mixing, near_dups, pieces, pii, quality_model, suffix_dedup, topk, urls
+from hazardlens.llm.staging import staged
 
 RULES = (
     urls.Rule("org/", "allow"),
@@ -105,6 +108,24 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.word_cross_entropy_difference(marked, "target")
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector as four codebook indexes, its error, that of its label, and a digest of the codebooks."""
+    found = codes.compress(table(spark, folder, "embeddings"), keep=("label",))
+    digest = hashlib.sha256(",".join(map(str, found.codebooks.ravel().tolist())).encode()).hexdigest()
+    # no label is a label too
+    label = [F.col("label").isNull().alias("_none"), F.coalesce(F.col("label").cast("bigint"), F.lit(0)).alias("_label")]
+    rows = staged(found.rows.select("vec_id", "codes", "error", *label))
+    sums = rows.groupBy("_none", "_label").agg(F.sum("error").alias("label_error"))
+    hexed = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return rows.join(sums, ["_none", "_label"]).select(
+        "vec_id",
+        F.array_join(hexed, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
 _ALL = (
     op1_topk_search,
     op2_mixing,
@@ -116,5 +137,6 @@ _ALL = (
     op8_quality_model,
     op9_line_rules,
     op10_cross_entropy,
+    op13_vector_codes,
 )
 QUERIES = {f.__name__: f for f in _ALL}
