@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import codes, line_rules, lm, mixing, near_dups, pieces, pii, quality_model, suffix_dedup, topk, urls
+from hazardlens.llm import codes, line_rules, lm, mixing, near_dups, notices, pieces, pii, quality_model, suffix_dedup, topk, urls
 from hazardlens.llm.staging import staged
 
 RULES = (
@@ -108,6 +108,23 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.word_cross_entropy_difference(marked, "target")
 
 
+def op12_license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    """Which licences every document names, by exact phrases and by notices with a few edits."""
+    found = notices.find_notices(table(spark, folder, "documents").select("doc_id", "text"))
+    exact = F.filter("spans", lambda s: s["kind"] == "phrase")
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(exact).cast("bigint").alias("n_base"),
+        F.array_min(F.transform(exact, lambda s: s["word"])).alias("first_word"),
+        F.array_max(F.transform(exact, lambda s: s["word"])).alias("last_word"),
+        labels(exact).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["likeness"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector as four codebook indexes, its error, that of its label, and a digest of the codebooks."""
     found = codes.compress(table(spark, folder, "embeddings"), keep=("label",))
@@ -137,6 +154,7 @@ _ALL = (
     op8_quality_model,
     op9_line_rules,
     op10_cross_entropy,
+    op12_license_notices,
     op13_vector_codes,
 )
 QUERIES = {f.__name__: f for f in _ALL}
