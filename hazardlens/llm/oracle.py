@@ -212,11 +212,75 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 FROM e JOIN c USING (row)
 """
 
+
+SPACE = r"[\x20\x09-\x0D]"
+
+# states: 0 nothing kept, 1 after a system turn, 2 after a user turn, 3 after an assistant turn
+OP11 = rf"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), c AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS dealt FROM d
+), t AS (
+  SELECT conv_id, turn, CASE WHEN dealt = 4 THEN 'user' ELSE role END AS role,
+    CASE dealt WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE dealt WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS i FROM t
+), f AS (
+  SELECT *, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN regexp_matches(text, '[.!?]{SPACE}*$') THEN 'sound' ELSE 'truncated' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o
+), n AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id
+), ins AS (
+  SELECT * FROM (VALUES (0, 0, 0, '', []), (0, 2, 5, 'I', ['user:']), (0, 3, 10, 'II', ['user:', 'assistant:']),
+    (1, 1, 0, '', []), (1, 2, 5, 'I', ['user:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+    (2, 2, 0, '', []), (2, 3, 5, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 5, 'I', ['user:'])) v(s, m, paid, l, lines)
+), s AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM n
+  UNION ALL
+  SELECT conv_id, i, s, cost, audit, lines FROM (
+    SELECT s.conv_id, f.i, CASE e.l WHEN 'D' THEN ins.m WHEN 'K' THEN CASE f.r WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+        ELSE CASE ins.m WHEN 2 THEN 3 ELSE 2 END END AS s,
+      s.cost + ins.paid + CASE e.l WHEN 'D' THEN 2 WHEN 'K' THEN 0 ELSE 1 END
+        + CASE WHEN e.l <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+      s.audit || ins.l || e.l AS audit,
+      list_concat(s.lines, ins.lines::VARCHAR[], CASE e.l WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+        ELSE [CASE ins.m WHEN 2 THEN 'assistant:' ELSE 'user:' END || f.text] END) AS lines
+    FROM s JOIN f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1 JOIN ins ON ins.s = s.s,
+      (VALUES ('D'), ('K'), ('R')) e(l)
+    WHERE e.l = 'D' OR f.fault IN ('sound', 'truncated') AND (e.l = 'R' OR f.r = 's' AND ins.m = 0
+      OR f.r = 'u' AND ins.m <> 2 OR f.r = 'a' AND ins.m = 2)
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, s ORDER BY cost, audit) = 1
+), e AS (
+  SELECT s.conv_id, s.cost + ins.paid AS cost, s.audit || ins.l AS audit, list_concat(s.lines, ins.lines::VARCHAR[]) AS lines
+  FROM s JOIN n ON n.conv_id IS NOT DISTINCT FROM s.conv_id AND n.n = s.i JOIN ins ON ins.s = s.s WHERE ins.m IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY s.conv_id ORDER BY s.cost + ins.paid, s.audit || ins.l) = 1
+)
+SELECT a.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+  coalesce(n.truncated, 0) AS truncated, coalesce(n.illegal, 0) AS illegal, coalesce(e.cost, 0)::BIGINT AS cost,
+  coalesce(e.audit, '') AS audit, sha256(coalesce(array_to_string(e.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+  LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 ORACLE = {
     "op1_topk_search": OP1,
     "op2_mixing": OP2,
     "op3_url_filter": OP3,
     "op4_minhash_dedup": OP4,
     "op9_line_rules": OP9,
+    "op11_conversation_repair": OP11,
     "op13_vector_codes": OP13,
 }

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.llm import codes, line_rules, lm, mixing, near_dups, notices, pieces, pii, quality_model, suffix_dedup, topk, urls
+from hazardlens.llm import codes, line_rules, lm, mixing, near_dups, notices, pieces, pii, quality_model, suffix_dedup, topk, turns, urls
 from hazardlens.llm.staging import staged
 
 RULES = (
@@ -108,6 +108,20 @@ def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return lm.word_cross_entropy_difference(marked, "target")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired text of every damaged conversation."""
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = turns.summaries(turns.repair(turns.damage(conversations))).withColumnRenamed("conv_id", "_found")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    every = conversations.select("conv_id").distinct()
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_found")), "left").select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     """Which licences every document names, by exact phrases and by notices with a few edits."""
     found = notices.find_notices(table(spark, folder, "documents").select("doc_id", "text"))
@@ -154,6 +168,7 @@ _ALL = (
     op8_quality_model,
     op9_line_rules,
     op10_cross_entropy,
+    op11_conversation_repair,
     op12_license_notices,
     op13_vector_codes,
 )
