@@ -101,11 +101,8 @@ def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-entropy difference of every document; documents labelled good are the target."""
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    good = table(spark, folder, "labels").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    # dealt by id at any size: the labels grow with the documents
-    marked = documents.join(good.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
-    return lm.word_cross_entropy_difference(marked, "target")
+    good = table(spark, folder, "labels").where("quality = 1")
+    return lm.cross_entropy_difference(table(spark, folder, "documents").select("doc_id", "text"), good)
 
 
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,109 +78,94 @@ def test_gradient_fits_attention():
     assert np.allclose(np.add.reduceat(a, begin[:-1]), 1)
 
 
-def brute_losses(rows, symbols):
-    counts = Counter(c for _, t, _ in rows for c in t)
-    known = {c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:symbols]}
-    size = len(known) + 2
+def plain_losses(rows, share, seed=1):
+    """The losses by counting all texts anew without the one that is scored; rows are ``(id, text, target)``."""
 
     def grams(text):
-        s = ["^", "^", *[c if c in known else "?" for c in text], "^"]
+        s = [0, 0, *(ord(c) + 1 for c in text), 0]
         return [tuple(s[i : i + 3]) for i in range(len(s) - 2)]
 
-    def model(texts):
-        levels = [Counter(), Counter(), Counter()]
-        for t in texts:
-            for a, b, c in grams(t):
-                levels[0][(c,)] += 1
-                levels[1][(b, c)] += 1
-                levels[2][(a, b, c)] += 1
-        totals, kinds = Counter(), Counter()
+    size = len({g[2] for _, t, _ in rows for g in grams(t)})
+
+    def loss(training, text):
+        levels = [Counter(g[2 - k :] for t in training for g in grams(t)) for k in range(3)]
+        total = [Counter() for _ in range(3)]
+        kinds = [Counter() for _ in range(3)]
         for k, level in enumerate(levels):
             for g, n in level.items():
-                totals[k, g[:-1]] += n
-                kinds[k, g[:-1]] += 1
-
-        def loss(gram):
+                total[k][g[:-1]] += n
+                kinds[k][g[:-1]] += 1
+        out = 0.0
+        for gram in grams(text):
             p = 1 / size
             for k, level in enumerate(levels):
                 g = gram[2 - k :]
-                t, d = totals[k, g[:-1]], kinds[k, g[:-1]]
-                p = (level[g] + d * p) / (t + d) if t else p
-            return -math.log(p)
-
-        return loss
-
-    target, background = model([t for _, t, m in rows if m]), model([t for _, t, _ in rows])
-    return {
-        i: (len(t), *(sum(map(f, grams(t))) / (len(t) + 1) for f in (target, background))) for i, t, _ in rows
-    }
-
-
-@pytest.mark.parametrize("symbols", [3, 128])
-def test_losses_equal_plain_counts(spark, symbols):
-    rng = random.Random(symbols)
-    rows = [(i, "".join(rng.choice("aab cé🎉") for _ in range(rng.randint(0, 40))), rng.random() < 0.3) for i in range(80)]
-    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, t boolean, n_chars int").repartition(5)
-    got = {r["doc_id"]: r for r in lm.cross_entropy_difference(df, "t", symbols=symbols).collect()}
-    for i, (n, target, background) in brute_losses(rows, symbols).items():
-        assert got[i]["n_chars"] == n
-        assert got[i]["target_loss"] == pytest.approx(target, rel=1e-5)
-        assert got[i]["background_loss"] == pytest.approx(background, rel=1e-5)
-        assert got[i]["difference"] == pytest.approx(target - background, abs=1e-5)
+                if total[k][g[:-1]]:
+                    p = (level[g] + kinds[k][g[:-1]] * p) / (total[k][g[:-1]] + kinds[k][g[:-1]])
+            out -= math.log(p)
+        return out / (len(text) + 1)
+
+    chosen = lm._sampled([t.encode() for _, t, _ in rows], share, seed)
+    target = [(i, t) for i, (_, t, m) in enumerate(rows) if m]
+    background = [(i, t) for i, ((_, t, _), c) in enumerate(zip(rows, chosen)) if c]
+    return [
+        (doc, len(text), *(loss([t for j, t in part if j != i], text) for part in (target, background)))
+        for i, (doc, text, _) in enumerate(rows)
+    ]
+
+
+@pytest.mark.parametrize("alphabet,part", [("aab cé🎉\0", 0.3), ("ab", 0.8), ("".join(map(chr, range(0x4E00, 0x4F40))), 0.5), ("xyz", 0)])
+def test_losses_equal_plain_counts(spark, monkeypatch, alphabet, part):
+    rng = random.Random(len(alphabet))
+    rows = [(i, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))), rng.random() < part) for i in range(50)]
+    rows += [(7, rows[7][1], rows[7][2]), (7, "other", rows[7][2]), (None, "no id", False), (None, rows[3][1], False)]
+    weigh = lambda kept: sum(len(t.encode()) + 1 for _, t, m in rows if kept(m))
+    want = plain_losses(rows, weigh(bool) / weigh(lambda m: True))
+    df = spark.createDataFrame([(i, t, 0, 0.5, b"x") for i, t, _ in rows], "doc_id long, text string, n_chars int, target double, texts binary")
+    targets = spark.createDataFrame([(i,) for i, _, m in rows if m] * 2 + [(None,), (99,)], "doc_id long")
+    got = lm.cross_entropy_difference(df.repartition(5), targets).collect()
+    key = lambda r: (str(r[0]), r[1], round(r[2], 6), round(r[3], 6))
+    for a, b in zip(sorted(want, key=key), sorted((tuple(r) for r in got), key=key), strict=True):
+        assert a[:2] == b[:2]
+        assert b[2:4] == pytest.approx(a[2:], rel=1e-9) and b[4] == pytest.approx(a[2] - a[3], abs=1e-9)
 
 
 def test_nulls_long_texts_and_no_target(spark):
-    df = spark.createDataFrame([(1, None, None), (1, "", True), (None, "ab\0" * 100_000, False)], "doc_id long, text string, t boolean")
-    got = lm.cross_entropy_difference(df, "t").collect()
-    assert sorted(r["n_chars"] for r in got) == [0, 0, 300_000] and all(math.isfinite(r["difference"]) for r in got)
-    assert lm.cross_entropy_difference(df.where("not t"), "t").count() == 1
-    assert lm.cross_entropy_difference(df.limit(0), "t").count() == 0
-
-
-def brute_word_losses(rows):
-    def grams(text):
-        words = ["", *(text or "").split(), ""]
-        return list(zip(words, words[1:]))
-
-    size = len({w for _, t, _ in rows for _, w in grams(t)})
-
-    def model(texts):
-        pairs = Counter(g for t in texts for g in grams(t))
-        single, after, kinds = Counter(), Counter(), Counter()
-        for (a, b), n in pairs.items():
-            single[b] += n
-            after[a] += n
-            kinds[a] += 1
-        total = sum(single.values())
-
-        def loss(gram):
-            p = (single[gram[1]] + len(single) / size) / (total + len(single)) if total else 1 / size
-            a = gram[0]
-            return -math.log((pairs[gram] + kinds[a] * p) / (after[a] + kinds[a]) if after[a] else p)
-
-        return loss
-
-    target, background = model([t for _, t, m in rows if m]), model([t for _, t, _ in rows])
-    return {i: (len(grams(t)) - 1, *(sum(map(f, grams(t))) / len(grams(t)) for f in (target, background))) for i, t, _ in rows}
-
-
-@pytest.mark.parametrize("share", [0, 0.3])
-def test_word_losses_equal_plain_counts(spark, share):
-    rng = random.Random(3)
-    words = ["a", "B", "b", "cé", "🎉", *(chr(0x4E00 + i) * 2 for i in range(400))]
-    rows = [(i, " ".join(rng.choice(words[: rng.choice([4, 405])]) for _ in range(rng.randint(0, 40))), rng.random() < share) for i in range(80)]
-    rows += [(90, None, None), (91, "", True if share else None)]
-    df = spark.createDataFrame([(*r, 0) for r in rows + rows[:1]], "doc_id long, text string, t boolean, n_words int").repartition(5)
-    got = {r["doc_id"]: r for r in lm.word_cross_entropy_difference(df, "t").collect()}
-    assert lm.word_cross_entropy_difference(df, "t").count() == len(rows) + 1
-    want = brute_word_losses(rows + rows[:1])
-    assert got.keys() == want.keys()
-    for i, (n, target, background) in want.items():
-        assert got[i]["n_words"] == n
-        assert got[i]["target_loss"] == pytest.approx(target, rel=1e-9)
-        assert got[i]["background_loss"] == pytest.approx(background, rel=1e-9)
-        assert got[i]["difference"] == pytest.approx(target - background, abs=1e-9)
-    assert lm.word_cross_entropy_difference(df.limit(0), "t").count() == 0
+    df = spark.createDataFrame([(1, None), (1, ""), (None, "ab\0" * 1_000_000), (2, "é" * 9_000_000)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long")
+    got = lm.cross_entropy_difference(df, none).collect()
+    assert sorted(r["n_chars"] for r in got) == [0, 0, 3_000_000, 9_000_000] and all(r["difference"] == 0 for r in got)
+    got = lm.cross_entropy_difference(df, df.select("doc_id")).collect()
+    assert len(got) == 4 and all(math.isfinite(r["difference"]) for r in got)
+    assert lm.cross_entropy_difference(df.limit(0), none).count() == 0
+
+
+def test_slices_and_many_symbols(monkeypatch):
+    """The trigrams of many texts are the same in one go, in slices and with numbers too large for one go."""
+    rng = random.Random(2)
+    texts = ["".join(chr(rng.choice([97, 98, 0x4E00 + rng.randrange(20000)])) for _ in range(rng.randrange(50))) for _ in range(300)]
+    got = lm.grams([t.encode() for t in texts])
+    want = Counter()
+    for i, t in enumerate(texts):
+        s = [0, 0, *(ord(c) + 1 for c in t), 0]
+        want.update((i, s[k] << 42 | s[k + 1] << 21 | s[k + 2]) for k in range(len(s) - 2))
+    assert dict(zip(zip(got.text.tolist(), got.gram.tolist()), got.n.tolist())) == want
+    monkeypatch.setattr(lm, "SLICE_BYTES", 100)
+    stretches = list(lm._slices([t.encode() for t in texts]))
+    assert [i for s in stretches for i in range(s.start, s.stop)] == list(range(300)) and len(stretches) > 50
+
+
+def test_random_flags_tell_nothing(spark):
+    """Training texts are not told from others where there is nothing to tell."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(120)), rng.random() < 0.3) for i in range(300)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    flagged = spark.createDataFrame([(i,) for i, _, m in rows if m], "doc_id long")
+    got = {r["doc_id"]: r["difference"] for r in lm.cross_entropy_difference(df, flagged).collect()}
+    mean = lambda flag: np.mean([got[i] for i, _, m in rows if m == flag])
+    spread = np.std(list(got.values()))
+    assert abs(mean(True) - mean(False)) < spread and spread < 0.1
 
 
 def test_rare_characters_are_told_apart(spark, tmp_path):
