@@ -67,6 +67,13 @@ def as_decimal(c, dtype: str = "decimal(18,6)") -> Column:
     return blank_to_null(text).try_cast(dtype)
 
 
+def beyond_decimal(c, dtype: str = "decimal(18,6)") -> Column:
+    """True where text holds a number that ``as_decimal`` cannot hold, never null."""
+    text = blank_to_null(F.replace(strip(c), F.lit(","), F.lit("")))
+    value = text.try_cast("double")
+    return is_valid(value) & text.try_cast(dtype).isNull()
+
+
 def decimal_text(c) -> Column:
     """Plain digits without trailing zeros or exponent; null gives blank text."""
     text = _col(c).cast("string")

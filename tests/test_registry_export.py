@@ -1,4 +1,5 @@
 from dataclasses import replace
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def reg(spark):
 def test_json_wins_over_index_and_blank_json_does_not(reg):
     row = registry.scope_reference(reg).collect()[0]
     assert (row["plant_name"], row["state"], row["operating_entity_name"]) == ("One", "WA", "Owner")
-    assert (str(row["latitude"]).rstrip("0"), row["fuel_types"], str(row["latest_capex_per_kw"])) == ("47.5", ["WAT"], "2367.974609")
+    assert (row["latitude"], row["fuel_types"], row["latest_capex_per_kw"]) == (Decimal("47.5"), ["WAT"], Decimal("2367.974609"))
     assert row["workspace_id"] is None and row["portfolio_asset_id"] is None
 
 
@@ -171,6 +172,19 @@ def codes(df):
     return {r[0]: (r[1], r[2]) for r in df.select("portfolio_asset_id", pipe_join("errors"), pipe_join("warnings")).collect()}
 
 
+def test_numbers_beyond_the_decimal_reject_the_row(spark, reg, lookups):
+    huge = "1" * 25
+    side = {"portfolio_asset_id": "m1", "asset_value": huge, "revenues": "1e30", "detention_rate": "0.5"}
+    rows = exported(spark, reg, lookups, PLAIN, side)
+    found = [e for errors, _ in codes(rows).values() for e in errors.split("|") if e.startswith("number_")]
+    assert found == ["number_out_of_range:asset_value", "number_out_of_range:revenues"]
+    assert export.accepted(rows).where("portfolio_asset_id = 'm1'").count() == 0
+    # twenty whole digits still fit, and unreadable text stays what it was
+    fits = exported(spark, reg, lookups, PLAIN, {**side, "asset_value": "9" * 20, "revenues": "n/a"})
+    assert not any("number_" in errors for errors, _ in codes(fits).values())
+    assert "9" * 20 in [r[0] for r in export.manifest_rows(fits, PLAIN).select("asset_value").collect()]
+
+
 def test_proxy_value_and_codes(spark, reg, lookups):
     rows = exported(spark, reg, lookups, PLAIN)
     manifest = {r["portfolio_asset_id"]: r.asDict() for r in export.manifest_rows(rows, PLAIN).collect()}
