@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.session import shared_folder
@@ -67,3 +67,10 @@ def staged(df: DataFrame) -> DataFrame:
     path = staging_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_and_measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``staged``, with aggregates over the rows taken by the pass that writes them."""
+    seen = Observation(uuid.uuid4().hex)
+    written = staged(df.observe(seen, *(c.alias(n) for n, c in measures.items())))
+    return written, dict(seen.get)

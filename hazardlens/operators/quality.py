@@ -254,18 +254,46 @@ def latest_import(history: DataFrame, asset: str = "assetName", import_id: str |
 
 
 def import_failures(
-    headers: DataFrame, results: DataFrame, manifest: DataFrame, name: str = "assetName"
+    headers: DataFrame | None, results: DataFrame, manifest: DataFrame, name: str = "assetName"
 ) -> DataFrame:
     """Everything that stops an import, as ``source_file, code, detail``.
 
-    ``headers`` has one row per file: ``source_file``, ``columns`` and ``error``.
+    ``headers`` has one row per file: ``source_file``, ``columns`` and ``error``. Rows as
+    the workbook reader gives them tell of unusable files themselves, in ``_corrupt``.
     """
+    parts = []
+    if "_corrupt" in results.columns:
+        parts.append(unusable_files(results))
+        results = results.where(F.col("_corrupt").isNull())
+    if headers is not None:
+        parts.extend(_header_failures(headers))
+    parts.append(_name_failures(results, manifest, name))
+    out = parts[0]
+    for other in parts[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+def unusable_files(rows: DataFrame) -> DataFrame:
+    """Files with a reason in ``_corrupt``, as ``source_file, code, detail``."""
+    bad = rows.where(F.col("_corrupt").isNotNull())
+    coded = F.regexp_extract("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", 1)
+    code = F.when(coded != "", coded).otherwise("unreadable_file")
+    detail = F.regexp_replace("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", "")
+    return bad.select("source_file", code.alias("code"), detail.alias("detail"))
+
+
+def _header_failures(headers: DataFrame) -> list[DataFrame]:
     unreadable = headers.where(F.col("error").isNotNull()).select(
         "source_file", F.lit("unreadable_file").alias("code"), F.col("error").alias("detail")
     )
     unknown_kind = headers.where(F.col("error").isNull() & kind_column(F.col("columns")).isNull()).select(
         "source_file", F.lit("kind_unknown").alias("code"), F.concat_ws("|", "columns").alias("detail")
     )
+    return [unreadable, unknown_kind]
+
+
+def _name_failures(results: DataFrame, manifest: DataFrame, name: str) -> DataFrame:
     per_asset = results.groupBy("source_file", name).agg(F.count("*").alias("_rows"))
     known = manifest.select(
         F.col("scr_asset_name").alias(name),
@@ -278,19 +306,23 @@ def import_failures(
         .when(F.col("_known").isNull(), "asset_not_in_manifest")
         .when(~uuid_from_asset_name(name).eqNullSafe(F.col("_uuid")), "uuid_differs_from_manifest")
     )
-    names = matched.select("source_file", code.alias("code"), F.coalesce(name, F.lit("")).alias("detail")).where(
+    return matched.select("source_file", code.alias("code"), F.coalesce(name, F.lit("")).alias("detail")).where(
         F.col("code").isNotNull()
     )
-    return unreadable.unionByName(unknown_kind).unionByName(names)
 
 
-def blank_metric_rows(rows: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Rows that name an asset and its axes but leave every metric blank, counted per file."""
+def any_metric(rows: DataFrame, metrics: Sequence[str]) -> Column:
+    """Whether any of the metrics of a row holds a number."""
     filled = F.lit(False)
     for metric in metrics:
         filled = filled | is_valid(float_column(rows, metric))
+    return filled
+
+
+def blank_metric_rows(rows: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("source_file",)) -> DataFrame:
+    """Rows that name an asset and its axes but leave every metric blank, counted per file."""
     identified = ~is_blank("assetName") & ~is_blank("scenario") & ~is_blank("timeHorizon")
-    return rows.where(identified & ~filled).groupBy(*keys).agg(F.count("*").alias("n"))
+    return rows.where(identified & ~any_metric(rows, metrics)).groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 def import_warnings(
@@ -315,7 +347,8 @@ def import_warnings(
         missing = status.where(F.col("metadata_mapping_status") == "missing")
         parts.append(part(missing, f"{col}_not_in_metadata", F.col("term"), F.col("row_count")))
         parts.append(part(unused_terms(rows, col, vocabulary), f"{col}_not_returned", F.col("term"), one))
-    parts.append(part(blank_metric_rows(rows, metrics), "metrics_blank", F.col("source_file"), F.col("n")))
+    if metrics:
+        parts.append(part(blank_metric_rows(rows, metrics), "metrics_blank", F.col("source_file"), F.col("n")))
     absent = missing_columns(rows.columns, optional)
     if absent:
         listed = rows.sparkSession.createDataFrame([(c,) for c in absent], "column string")

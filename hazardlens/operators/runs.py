@@ -24,15 +24,20 @@ def count_messages(exported: DataFrame, col: str) -> DataFrame:
     )
 
 
-def run_totals(exported: DataFrame) -> DataFrame:
-    """One row of counts; selected is always accepted plus rejected."""
+def total_measures() -> dict[str, Column]:
+    """Aggregates that count the rows of a run; selected is always accepted plus rejected."""
     ok = F.size("errors") == 0
-    return exported.agg(
-        F.count("*").alias("selected_rows"),
-        F.count_if(ok).alias("accepted_rows"),
-        F.count_if(~ok).alias("rejected_rows"),
-        F.count_if(F.size("warnings") > 0).alias("rows_with_warnings"),
-    )
+    return {
+        "selected_rows": F.count(F.lit(1)),
+        "accepted_rows": F.count_if(ok),
+        "rejected_rows": F.count_if(~ok),
+        "rows_with_warnings": F.count_if(F.size("warnings") > 0),
+    }
+
+
+def run_totals(exported: DataFrame) -> DataFrame:
+    """One row of counts."""
+    return exported.agg(*(c.alias(n) for n, c in total_measures().items()))
 
 
 def message_counts(exported: DataFrame) -> DataFrame:

@@ -232,15 +232,23 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return first.unionByName(second)
 
 
-def workbook_files(spark: SparkSession, sf: str, rows_per_file: int = 1000) -> DataFrame:
+def workbook_files(spark: SparkSession, sf: str) -> DataFrame:
     """Physical rows packed into workbooks of a bounded number of rows, as ``path, content``."""
+    return pack_workbooks(physical(spark, sf))
+
+
+def pack_workbooks(rows: DataFrame, rows_per_file: int = 1000, blank_every: int = 0) -> DataFrame:
+    """Rows packed into workbooks by ``seq``; with ``blank_every`` a blank row follows every so many."""
     names = PHYSICAL_REQUIRED
-    rows = physical(spark, sf).select("seq", div("seq", rows_per_file).alias("block"), *names)
+    rows = rows.select("seq", div("seq", rows_per_file).alias("block"), *names)
 
     def pack(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        ordered = table.sort_by("seq").select(["seq", *names]).to_pylist()
-        lines = [["seq", *names], *[list(row.values()) for row in ordered]]
+        lines = [["seq", *names]]
+        for n, row in enumerate(table.sort_by("seq").select(["seq", *names]).to_pylist(), 1):
+            lines.append(list(row.values()))
+            if blank_every and n % blank_every == 0:
+                lines.extend([[], ["", ""]])
         return pa.table({"path": [f"block_{block:06d}"], "content": [_workbook(lines)]})
 
     return rows.groupBy("block").applyInArrow(pack, "path string, content binary")

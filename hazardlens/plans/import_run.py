@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.functions.text import is_blank
 from hazardlens.operators import quality
 from hazardlens.operators.joins import lookup_join
-from hazardlens.sinks.writers import write_import
+from hazardlens.sinks.history import History
 
 
 def normalize_import(rows: DataFrame, manifest: DataFrame, import_id: str, imported_at: str) -> DataFrame:
@@ -30,7 +30,7 @@ def normalize_import(rows: DataFrame, manifest: DataFrame, import_id: str, impor
     )
 
 
-def check_import(headers: DataFrame, rows: DataFrame, manifest: DataFrame, folder: str | None = None) -> None:
+def check_import(headers: DataFrame | None, rows: DataFrame, manifest: DataFrame, folder: str | None = None) -> None:
     """Raises when anything would make the import wrong, with the number of findings by code.
 
     With a ``folder`` all findings of this attempt are written there first, one row each.
@@ -59,8 +59,19 @@ def import_manifest(
     return rows.crossJoin(warnings.agg(F.count("*").alias("warning_count")))
 
 
+def import_measures(rows: DataFrame, metrics: Sequence[str]) -> dict[str, Column]:
+    """Aggregates over returned rows that one pass can take: rows, blank names, blank metrics, files that broke off."""
+    identified = ~is_blank("assetName") & ~is_blank("scenario") & ~is_blank("timeHorizon")
+    corrupt = F.col("_corrupt").isNotNull() if "_corrupt" in rows.columns else F.lit(False)
+    return {
+        "rows": F.count_if(~corrupt),
+        "blank_names": F.count_if(~corrupt & is_blank("assetName")),
+        "blank_metrics": F.count_if(~corrupt & identified & ~quality.any_metric(rows, metrics)),
+        "unusable_files": F.count_if(corrupt),
+    }
+
+
 def import_returns(
-    headers: DataFrame,
     rows: DataFrame,
     manifest: DataFrame,
     kind: str,
@@ -71,25 +82,41 @@ def import_returns(
     metrics: Sequence[str],
     optional: Sequence[str] = (),
     readme: DataFrame | None = None,
-) -> None:
-    """Returned rows of one kind to the four import tables below ``folder``.
-
-    Headers and names are checked first and nothing is written but the findings if any
-    of them stops the import. Then come the normalized rows, the import manifest and
-    all warnings: terms of each vocabulary, blank metrics, absent optional columns and,
-    with ``readme``, files whose ReadMe names another asset. A repeated call adds nothing.
+    headers: DataFrame | None = None,
+) -> dict[str, int | None]:
+    """Returned rows of one kind to the history below ``folder``, as one commit.
+
+    ``rows`` are read once, while they are written with the ids of their plants; all that
+    follows reads the written rows, and the counts come from that one pass. If headers,
+    unusable files or names stop the import, the findings are written, the rows are
+    removed and nothing is committed. Else the import manifest and all warnings go beside
+    the rows: terms of each vocabulary, blank metrics, absent optional columns and, with
+    ``readme``, files whose ReadMe names another asset; then all tables appear together.
+    A repeated call adds nothing. Gives the counts (``import_measures``) and the number of
+    the commit, None if all of it was there.
     """
-    check_import(headers, rows, manifest, f"{folder}/import_failures/{import_id}")
-    done = normalize_import(rows, manifest, import_id, imported_at)
-    warnings = quality.import_warnings(rows, vocabularies, metrics, optional)
-    if readme is not None:
-        other = quality.readme_name_mismatches(readme, rows).groupBy("source_file").agg(F.count("*").alias("n"))
-        warnings = warnings.unionByName(
-            other.select(F.lit("readme_name_differs").alias("code"), F.col("source_file").alias("detail"), "n")
-        )
-    summary = import_manifest(done, manifest, kind, warnings)
-    stamped = warnings.withColumn("import_id", F.lit(import_id))
-    write_import(folder, **{kind: done}, summary=summary, warnings=stamped)
+    pending = History(rows.sparkSession, folder).begin()
+    try:
+        done = normalize_import(rows, manifest, import_id, imported_at)
+        measures = import_measures(done, metrics)
+        written, counts = pending.write(f"{kind}_long", done, import_id, measures, hidden=("_corrupt",))
+        check_import(headers, written, manifest, f"{folder}/import_failures/{import_id}")
+        written = written.drop("_corrupt")
+        plain = written.drop("import_id", "imported_at", "scr_run_id", "plant_uuid", "portfolio_asset_id")
+        # blank metrics are listed by file, if there are any
+        warnings = quality.import_warnings(plain, vocabularies, metrics if counts["blank_metrics"] else (), optional)
+        if readme is not None:
+            other = quality.readme_name_mismatches(readme, plain).groupBy("source_file").agg(F.count("*").alias("n"))
+            warnings = warnings.unionByName(
+                other.select(F.lit("readme_name_differs").alias("code"), F.col("source_file").alias("detail"), "n")
+            )
+        _, found = pending.write("import_warnings", warnings, import_id, {"n": F.count(F.lit(1))})
+        summary = import_manifest(written, manifest, kind).withColumn("warning_count", F.lit(found["n"]).cast("bigint"))
+        pending.write("import_manifest", summary, import_id)
+        return {**counts, "warnings": found["n"], "version": pending.publish()}
+    except BaseException:
+        pending.abandon()
+        raise
 
 
 def keep_named(rows: DataFrame, axes: Sequence[str] = ("scenario", "timeHorizon")) -> DataFrame:

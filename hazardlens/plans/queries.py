@@ -28,6 +28,7 @@ from hazardlens.plans import driver_views as v
 from hazardlens.plans import import_run, reports, result_build
 from hazardlens.schemas import MANIFEST_COLUMNS, UPLOAD_KEYS
 from hazardlens.sinks import writers
+from hazardlens.sinks.history import History
 from hazardlens.sources import tables, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,8 +158,13 @@ def driver_trend(spark, sf):
 
 @query
 def build_meta(spark, sf):
+    """Facts about a build of tables that lack some required columns."""
     phys, trans = v.physical(spark, sf), v.transition(spark, sf)
-    return phys.agg(F.count("*").alias("physical_rows")).join(trans.agg(F.count("*").alias("transition_rows")))
+    lacking = phys.drop("climateZone", "ticcsSubClass"), trans.drop("countryCode")
+    phys, trans, counts = result_build.stage_returns(*lacking)
+    meta = result_build.build_meta(phys, trans, "2026-07-01", counts, physical_source="events", transition_source="orders")
+    joined = {c: F.array_join(c, ",") for c in ("physical_missing", "transition_missing")}
+    return meta.withColumns(joined)
 
 
 # -- assets and join-back ------------------------------------------------------------
@@ -857,18 +863,97 @@ def result_set(spark, sf):
     ).join(res.assets.select("asset_name", F.col("manifest.portfolio_id").alias("portfolio_id")), "asset_name", "left")
 
 
-@query
-def import_history(spark, sf):
-    """Two imports of the same rows, one of them run twice, kept side by side."""
-    path = joins.staging_path(spark)
+def _two_imports(spark, sf) -> History:
+    """A history of two imports of the same rows, one of them run twice."""
+    folder = joins.staging_path(spark)
     manifest = _manifest(spark, sf)
     for import_id in ("first", "second", "second"):
         done = import_run.normalize_import(v.physical(spark, sf), manifest, import_id, "2026-07-01")
-        writers.write_import(path, physical=done, summary=import_run.import_manifest(done, manifest, "physical"))
-    rows = spark.read.parquet(f"{path}/physical_long")
+        summary = import_run.import_manifest(done, manifest, "physical")
+        writers.write_import(folder, import_id, physical=done, summary=summary)
+    return History(spark, folder)
+
+
+@query
+def import_history(spark, sf):
+    """Two imports of the same rows, one of them run twice, kept side by side."""
+    rows = _two_imports(spark, sf).read("physical_long")
     return rows.groupBy("import_id", "plant_uuid", "portfolio_asset_id").agg(F.count("*").alias("n"))
 
 
+@query
+def import_history_as_of(spark, sf):
+    """What the history held as of each of its commits."""
+    history = _two_imports(spark, sf)
+    states = [
+        history.read(table, version).withColumns({"version": F.lit(version), "table": F.lit(table)})
+        for version in range(history.version() + 1)
+        for table in ("physical_long", "import_manifest")
+    ]
+    counted = [rows.groupBy("version", "table", "import_id", "source_file").agg(F.count("*").alias("n")) for rows in states]
+    out = counted[0]
+    for other in counted[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+@query
+def import_log(spark, sf):
+    """Each commit's entries, and whether their counts are those of the rows they list."""
+    history = _two_imports(spark, sf)
+    counts = history.read("physical_long").groupBy("import_id").agg(F.count("*").alias("found"))
+    log = history.entries().where("table = 'physical_long'").join(counts, "import_id")
+    return log.select("version", "table", "import_id", "n_rows", (F.col("n_rows") == F.col("found")).alias("agrees"))
+
+
+@query
+def import_returns(spark, sf):
+    """Workbooks imported in one pass over their rows: the counts of that pass beside the tables it led to."""
+    folder = joins.staging_path(spark)
+    named = v.physical(spark, sf).where("assetName <> ''")
+    rows = workbooks.decode_returns(v.pack_workbooks(named), "physical")
+    # every asset is in this manifest under its own name
+    known = named.select("assetName").distinct()
+    names = known.select(
+        F.monotonically_increasing_id().alias("seq"),
+        F.col("assetName").alias("scr_asset_name"),
+        F.lit("run").alias("scr_run_id"),
+        text.uuid_from_asset_name("assetName").alias("plant_uuid"),
+        F.lit("m").alias("portfolio_asset_id"),
+    )
+    counts = import_run.import_returns(
+        rows,
+        assets.dedupe_manifest(names),
+        "physical",
+        "import",
+        "2026-07-01",
+        folder,
+        {"hazard": v.vocabulary(spark, sf)},
+        ["indicatorValue", "adjustedHazardValueImpact"],
+    )
+    history = History(spark, folder)
+    listed = history.read("import_manifest").agg(
+        F.count("*").alias("files"), F.sum("row_count").alias("rows"), F.sum("asset_count").alias("assets")
+    )
+    warned = history.read("import_warnings").groupBy(F.lit("warnings").alias("part"), F.col("code").alias("name"))
+    manifest = listed.select(F.lit("manifest").alias("part"), F.inline(_pairs("files", "rows", "assets")))
+    passed = spark.createDataFrame([("pass", *pair) for pair in counts.items()], "part string, name string, n long")
+    return passed.unionByName(manifest).unionByName(warned.agg(F.count("*").alias("n")))
+
+
+def _pairs(*columns):
+    return F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in columns))
+
+
+@query
+def workbook_blank_rows(spark, sf):
+    """Rows of workbooks in which blank rows stand between the others; they are no rows."""
+    rows = workbooks.decode_returns(v.pack_workbooks(v.physical(spark, sf), blank_every=3), "physical")
+    return workbooks.readable(rows).select(
+        "source_file", F.col("seq").alias("row_in_file"), F.element_at("extra", "seq").cast("bigint").alias("seq"), "indicator"
+    )
+
+
 @query
 def workbook_failures(spark, sf):
     """What is wrong with each returned workbook that cannot be used."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.ordering import ROW_ORDER, file_order
 from hazardlens.operators import assets, physical, quality, transition
+from hazardlens.operators.joins import staged, staged_and_measured
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import PHYSICAL_REQUIRED, TRANSITION_REQUIRED
 
@@ -18,10 +19,13 @@ def build_results(
     transition_rows: DataFrame,
     manifest: DataFrame | None = None,
     order: Sequence[str] = ROW_ORDER,
+    stage: bool = True,
 ) -> Results:
     """Trends, hazards, rankings and evidence of one or many return files.
 
-    Both tables are checked for their required columns before anything is built.
+    Both tables are checked for their required columns before anything is built. Seven
+    tables read them, so each is written once to the shared folder first and workbooks
+    are decoded once; ``stage=False`` leaves that out where the rows are stored already.
     Over several files pass ``order=("source_file", "seq")``. With a manifest, as
     read by ``read_manifest``, every asset carries its context.
     """
@@ -31,6 +35,8 @@ def build_results(
             "transition": (transition_rows.columns, TRANSITION_REQUIRED),
         }
     )
+    if stage:
+        physical_rows, transition_rows = staged(physical_rows), staged(transition_rows)
     found = assets.assets(physical_rows, transition_rows, order)
     if manifest is not None:
         found = assets.join_back(found, manifest)
@@ -47,24 +53,43 @@ def build_results(
     )
 
 
-def build_meta(physical_rows: DataFrame, transition_rows: DataFrame, generated_at: str, **sources: str) -> DataFrame:
-    """One row about the build: all returned rows, before any is dropped, missing columns, sources."""
-    # one row on each side
-    counts = physical_rows.agg(F.count("*").alias("physical_rows")).crossJoin(
-        transition_rows.agg(F.count("*").alias("transition_rows"))
-    )
+def build_meta(
+    physical_rows: DataFrame,
+    transition_rows: DataFrame,
+    generated_at: str,
+    counts: dict[str, int] | None = None,
+    **sources: str,
+) -> DataFrame:
+    """One row about the build: all returned rows, before any is dropped, missing columns, sources.
+
+    ``counts`` are those of ``stage_returns``; without them both tables are counted here.
+    """
 
     def missing(rows, required):
         return F.array(*[F.lit(c) for c in quality.missing_columns(rows.columns, required)]).cast("array<string>")
 
-    return counts.withColumns(
-        {
-            "generated_at": F.lit(generated_at),
-            "physical_missing": missing(physical_rows, PHYSICAL_REQUIRED),
-            "transition_missing": missing(transition_rows, TRANSITION_REQUIRED),
-            **{name: F.lit(value) for name, value in sources.items()},
-        }
-    )
+    known = {
+        "generated_at": F.lit(generated_at),
+        "physical_missing": missing(physical_rows, PHYSICAL_REQUIRED),
+        "transition_missing": missing(transition_rows, TRANSITION_REQUIRED),
+        **{name: F.lit(value) for name, value in sources.items()},
+    }
+    if counts is None:
+        # one row on each side
+        rows = physical_rows.agg(F.count("*").alias("physical_rows")).crossJoin(
+            transition_rows.agg(F.count("*").alias("transition_rows"))
+        )
+    else:
+        pair = (counts["physical_rows"], counts["transition_rows"])
+        rows = physical_rows.sparkSession.createDataFrame([pair], "physical_rows long, transition_rows long")
+    return rows.withColumns(known)
+
+
+def stage_returns(physical_rows: DataFrame, transition_rows: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Both tables written once, and their rows counted on the way; for ``build_results(..., stage=False)``."""
+    phys, counts = staged_and_measured(physical_rows, physical_rows=F.count(F.lit(1)))
+    trans, more = staged_and_measured(transition_rows, transition_rows=F.count(F.lit(1)))
+    return phys, trans, {**counts, **more}
 
 
 def in_report_order(table: DataFrame, name: str) -> DataFrame:

@@ -5,15 +5,14 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators import export, registry, runs
 from hazardlens.operators.export import ExportOptions
-from hazardlens.operators.quality import ImportFailure
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
+from hazardlens.sinks.history import History
 
 # blanks stay blank, outer spaces stay, and inner quotes are doubled as spreadsheet programs do
 CSV_OPTIONS = {
@@ -60,13 +59,17 @@ def write_rejects(exported: DataFrame, path: str, opts: ExportOptions) -> None:
     export.manifest_rows(export.rejected(exported), opts).write.csv(path, **CSV_OPTIONS)
 
 
-def write_run_summary(exported: DataFrame, path: str, opts: ExportOptions, **scope: str | None) -> dict:
+def write_run_summary(
+    exported: DataFrame, path: str, opts: ExportOptions, totals: dict[str, int] | None = None, **scope: str | None
+) -> dict:
     """Options and counts of a run as one JSON object, message counts as a table beside it.
 
+    ``totals`` are counted here unless the pass that wrote the rows has them already.
+
     Messages quote free text, so their number has no bound; they go to ``<path>_messages``.
     """
     spark = exported.sparkSession
-    totals = runs.run_totals(exported).collect()[0].asDict()
+    totals = totals or runs.run_totals(exported).first().asDict()
     options = asdict(opts)
     summary = {"scr_run_id": options.pop("run_id"), **options, **scope, **totals}
     spark.createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.text(path)
@@ -102,55 +105,25 @@ def write_results(results: Results, folder: str, meta: DataFrame | None = None,
         meta.write.format(fmt).save(f"{folder}/meta")
 
 
-def _known_imports(rows: DataFrame, folder: str) -> DataFrame | None:
-    """The history, or None before the first import."""
-    try:
-        return rows.sparkSession.read.schema(rows.schema).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _content(rows: DataFrame) -> DataFrame:
-    """Per import the number of its rows and a sum of their hashes, whatever their order."""
-    names = sorted(c for c in rows.columns if c not in ("import_id", "imported_at"))
-    digest = F.xxhash64(F.to_json(F.struct(*names))).cast("decimal(38,0)")
-    return rows.groupBy("import_id").agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
-
-
-def append_history(rows: DataFrame, folder: str) -> None:
-    """Adds imports to the history; what is there is never touched.
-
-    An import whose id is there already is left out if it holds the same rows, as when a
-    run is repeated, and refused if it holds others.
-    """
-    known = _known_imports(rows, folder)
-    if known is not None:
-        ids = rows.select("import_id").distinct()
-        there = _content(known.join(ids, "import_id", "left_semi"))
-        mine = _content(rows).select("import_id", F.col("n").alias("m"), F.col("digest").alias("d"))
-        other = there.join(mine, "import_id").where("n <> m or not digest <=> d")
-        found = other.select("import_id").take(1)
-        if found:
-            raise ImportFailure(f"import {found[0]['import_id']} is in {folder} with other rows")
-        rows = rows.join(there.select("import_id"), "import_id", "left_anti")
-    rows.write.mode("append").partitionBy("import_id").parquet(folder)
-
-
 def write_import(
     folder: str,
+    import_id: str,
     physical: DataFrame | None = None,
     transition: DataFrame | None = None,
     summary: DataFrame | None = None,
     warnings: DataFrame | None = None,
-) -> None:
-    """Normalized long results, import manifest and warnings; vendor column names stay."""
-    for name, table in (
-        ("physical_long", physical),
-        ("transition_long", transition),
-        ("import_manifest", summary),
-        ("import_warnings", warnings),
-    ):
-        if table is not None:
-            append_history(table, f"{folder}/{name}")
+) -> int | None:
+    """Normalized long results, import manifest and warnings in one commit of the history.
+
+    Vendor column names stay. An import that is there with the same rows adds nothing, as
+    when a run is repeated; one with other rows is refused.
+    """
+    tables = {
+        "physical_long": physical,
+        "transition_long": transition,
+        "import_manifest": summary,
+        "import_warnings": warnings,
+    }
+    given = {name: table for name, table in tables.items() if table is not None}
+    spark = next(iter(given.values())).sparkSession
+    return History(spark, folder).append(import_id, **given)

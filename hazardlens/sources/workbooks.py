@@ -1,18 +1,20 @@
 """Returned workbooks as a DataFrame: one task reads one folder slice, file by file.
 
 Spark lists and distributes the files; the decoder below only turns the cells of one
-sheet into text. A workbook is at most some 20 MB, and Spark packs at most
-``spark.sql.files.maxPartitionBytes`` of them into a task.
+sheet into text, a batch of rows at a time. A workbook is at most some 20 MB, and
+Spark packs at most ``spark.sql.files.maxPartitionBytes`` of them into a task.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlens.functions.numbers import parse_float
-from hazardlens.operators.quality import kind_column
+from hazardlens.operators.quality import kind_column, unusable_files
 from hazardlens.schemas import KINDS
 
 # tasks get the decoder's code along, so executors need no copy of this package
@@ -29,13 +31,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OUTPUT_SHEET = "Output"
 README_SHEET = "ReadMe"
 
+# rows of one record batch, and bytes of a sheet that are parsed at a time
+BATCH_ROWS = 4096
+CHUNK_BYTES = 1 << 16
+
 # fixed values: namespaces of the workbook format
-_SHEET_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_SHEET_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _LINK_ATTRIBUTE = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
+UNREADABLE = (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError, expat.ExpatError)
+
 
 def _sheet_path(book: zipfile.ZipFile, sheet: str) -> str:
-    listed = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(_SHEET_NS + "sheet")
+    listed = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{{{_SHEET_NS}}}sheet")
     link = next((s.get(_LINK_ATTRIBUTE) for s in listed if s.get("name") == sheet), None)
     if link is None:
         raise ValueError(f"no sheet {sheet}")
@@ -46,60 +54,136 @@ def _sheet_path(book: zipfile.ZipFile, sheet: str) -> str:
     raise ValueError(f"sheet {sheet} has no part in the file")
 
 
-def _joined_text(node) -> str:
-    return "".join(t.text or "" for t in node.iter(_SHEET_NS + "t"))
+class _Cursor:
+    """Reads one XML part chunk by chunk and hands out what its elements gave; nothing read is kept."""
+
+    def __init__(self, handlers: dict[str, tuple]):
+        self.done: list = []
+        self.text: list[str] | None = None
+        self._handlers = {f"{_SHEET_NS} {tag}": pair for tag, pair in handlers.items()}
+        self._parser = expat.ParserCreate(namespace_separator=" ")
+        self._parser.buffer_text = True
+        self._parser.StartElementHandler = self._start
+        self._parser.EndElementHandler = self._end
+        self._parser.CharacterDataHandler = self._characters
+
+    def _start(self, tag, attributes):
+        if tag in self._handlers:
+            self._handlers[tag][0](attributes)
+
+    def _end(self, tag):
+        if tag in self._handlers:
+            self._handlers[tag][1]()
+
+    def _characters(self, data):
+        if self.text is not None:
+            self.text.append(data)
+
+    def collect(self, _=None):
+        self.text = []
+
+    def collected(self) -> str:
+        found, self.text = "".join(self.text or ()), None
+        return found
+
+    def read(self, part) -> Iterator:
+        while chunk := part.read(CHUNK_BYTES):
+            self._parser.Parse(chunk, False)
+            yield from self.done
+            self.done.clear()
+        self._parser.Parse(b"", True)
+        yield from self.done
+        self.done.clear()
 
 
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+    """The workbook's table of texts, each the sum of its runs."""
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
-    table = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-    return [_joined_text(item) for item in table.findall(_SHEET_NS + "si")]
+    runs: list[str] = []
+    cursor = _Cursor(
+        {
+            "si": (lambda _: runs.clear(), lambda: cursor.done.append("".join(runs))),
+            "t": (lambda _: cursor.collect(), lambda: runs.append(cursor.collected())),
+        }
+    )
+    with book.open("xl/sharedStrings.xml") as part:
+        return list(cursor.read(part))
 
 
-def _typed(raw: str):
-    """A cell's text as int or float where it reads as one."""
-    looks_decimal = any(mark in raw for mark in ".eE")
+def _number_or_text(raw: str):
+    """A whole number, another number, or the text itself."""
     try:
-        return float(raw) if looks_decimal else int(raw)
+        return int(raw) if not set(raw) & set(".eE") else float(raw)
     except ValueError:
         return raw
 
 
-def _cell(cell, shared: list[str]):
-    kind = cell.get("t")
-    if kind == "inlineStr":
-        return _joined_text(cell)
-    raw = cell.findtext(_SHEET_NS + "v")
-    if not raw:
+def _place(reference: str) -> int | None:
+    """The column of a cell name such as ``AB12``, counted from 0."""
+    found = re.match("([A-Z]+)[0-9]", reference)
+    if found is None:
         return None
-    if kind == "s":
-        return shared[int(raw)] if raw.isdigit() and int(raw) < len(shared) else raw
-    return raw == "1" if kind == "b" else _typed(raw)
+    number = 0
+    for letter in found[1]:
+        number = 26 * number + ord(letter) - 64
+    return number - 1
 
 
-def _column(reference: str) -> int | None:
-    letters = re.match("[A-Z]+(?=[0-9])", reference or "")
-    if letters is None:
-        return None
-    place = 0
-    for letter in letters.group():
-        place = place * 26 + ord(letter) - ord("A") + 1
-    return place - 1
+class _SheetCursor(_Cursor):
+    """Rows of a sheet as lists of cell values."""
+
+    def __init__(self, shared: list[str]):
+        super().__init__(
+            {
+                "row": (self._row, self._row_end),
+                "c": (self._cell, self._cell_end),
+                "v": (self.collect, self._value),
+                "t": (self.collect, self._run),
+            }
+        )
+        self.shared, self.cells = shared, {}
+        self.place, self.kind, self.raw, self.runs = None, None, "", []
+
+    def _row(self, _):
+        self.cells = {}
+
+    def _row_end(self):
+        self.done.append([self.cells.get(i) for i in range(max(self.cells, default=-1) + 1)])
+
+    def _cell(self, attributes):
+        self.place, self.kind = _place(attributes.get("r", "")), attributes.get("t")
+        self.raw, self.runs = "", []
+
+    def _value(self):
+        self.raw = self.collected()
+
+    def _run(self):
+        self.runs.append(self.collected())
+
+    def _cell_end(self):
+        if self.place is not None:
+            self.cells[self.place] = self._converted()
+
+    def _converted(self):
+        raw = self.raw
+        if self.kind == "inlineStr":
+            return "".join(self.runs)
+        if not raw:
+            return None
+        if self.kind == "b":
+            return raw == "1"
+        if self.kind == "s":
+            return self.shared[int(raw)] if raw.isdigit() and int(raw) < len(self.shared) else raw
+        return _number_or_text(raw)
 
 
 def sheet_rows(content: bytes, sheet: str) -> Iterator[list]:
-    """The rows of one sheet as lists of cell values, read without holding the sheet."""
+    """The rows of one sheet as lists of cell values; beside the texts the sheet shares, a chunk is held."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         path, shared = _sheet_path(book, sheet), _shared_strings(book)
         with book.open(path) as part:
-            for _, node in ElementTree.iterparse(part):
-                if node.tag != _SHEET_NS + "row":
-                    continue
-                cells = {_column(c.get("r")): _cell(c, shared) for c in node.findall(_SHEET_NS + "c")}
-                cells.pop(None, None)
-                yield [cells.get(i) for i in range(max(cells, default=-1) + 1)]
-                node.clear()
+            yield from _SheetCursor(shared).read(part)
 
 
 def _text(value) -> str | None:
@@ -122,7 +206,8 @@ def _header(rows: Iterator[list]) -> list[str]:
     return ["" if name is None else str(name) for name in header]
 
 
-def _records(content: bytes, kind: str, mixed: bool) -> tuple[list[str], list[list]]:
+def _records(content: bytes, kind: str, mixed: bool) -> tuple[list[str], Iterator[list]]:
+    """Header and rows of a returned workbook, without rows that are blank all over."""
     rows = sheet_rows(content, OUTPUT_SHEET)
     header = _header(rows)
     found = "physical" if "hazard" in header else "transition" if "subrisk" in header else None
@@ -130,13 +215,13 @@ def _records(content: bytes, kind: str, mixed: bool) -> tuple[list[str], list[li
         raise ValueError("kind_unknown: neither a hazard nor a subrisk column")
     if found != kind:
         if mixed:
-            return header, []
+            return header, iter(())
         raise ValueError(f"wrong_kind: {found} where {kind} was asked for")
     missing = sorted(set(KINDS[kind][2]) - set(header))
     if missing:
         raise ValueError(f"missing_columns: {', '.join(missing)}")
     kept = (row[: len(header)] for row in rows)
-    return header, [row for row in kept if any(v is not None and v != "" for v in row)]
+    return header, (row for row in kept if any(v is not None and v != "" for v in row))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -153,17 +238,7 @@ def returns_decoder(kind: str, mixed: bool = False):
         + [("extra", pa.map_(pa.string(), pa.string()))]
     )
 
-    def one_file(path: str, content: bytes) -> pa.RecordBatch:
-        try:
-            header, rows = _records(content, kind, mixed)
-        except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as error:
-            blank = {name: [None] for name in names}
-            return pa.RecordBatch.from_pydict(
-                {"source_file": [path], "seq": [None], "_corrupt": [str(error)], **blank, "extra": [None]}, schema
-            )
-        # of two headers with one name the later column counts
-        places = {name: i for i, name in enumerate(header)}
-
+    def batch(path: str, places: dict[str, int], first: int, rows: list[list]) -> pa.RecordBatch:
         def column(name, convert):
             i = places.get(name)
             return [convert(row[i]) if i is not None and i < len(row) else None for row in rows]
@@ -175,7 +250,7 @@ def returns_decoder(kind: str, mixed: bool = False):
         return pa.RecordBatch.from_pydict(
             {
                 "source_file": [path] * len(rows),
-                "seq": list(range(len(rows))),
+                "seq": list(range(first, first + len(rows))),
                 "_corrupt": [None] * len(rows),
                 **{name: column(name, convert) for name, convert in converters.items()},
                 "extra": extra,
@@ -183,10 +258,25 @@ def returns_decoder(kind: str, mixed: bool = False):
             schema,
         )
 
+    def one_file(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
+        try:
+            header, rows = _records(content, kind, mixed)
+            # of two headers with one name the later column counts
+            places = {name: i for i, name in enumerate(header)}
+            first = 0
+            while some := list(itertools.islice(rows, BATCH_ROWS)):
+                yield batch(path, places, first, some)
+                first += len(some)
+        except UNREADABLE as error:
+            blank = {name: [None] for name in names}
+            yield pa.RecordBatch.from_pydict(
+                {"source_file": [path], "seq": [None], "_corrupt": [str(error)], **blank, "extra": [None]}, schema
+            )
+
     def decode(batches):
-        for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                yield one_file(path.as_py(), content.as_py())
+        for files in batches:
+            for path, content in zip(files.column("path"), files.column("content"), strict=True):
+                yield from one_file(path.as_py(), content.as_py())
 
     ddl = ["source_file string", "seq bigint", "_corrupt string"]
     ddl += [f"`{name}` string" for name in names] + ["extra map<string,string>"]
@@ -206,7 +296,7 @@ def read_returns(spark: SparkSession, path: str, kind: str, mixed: bool = False)
     ``seq`` counts the rows inside a file, so order over many files is
     ``("source_file", "seq")``. A file that cannot be read, is of the other kind or lacks
     required columns gives one row with the reason in ``_corrupt`` (see ``failures`` and
-    ``readable``); columns the schema does not know are kept in ``extra``.
+    ``readable``), behind the rows before the damage if its sheet breaks off; columns the schema does not know are kept in ``extra``.
     In a ``mixed`` folder files of the other kind, told by their header, are skipped.
     """
     return decode_returns(_files(spark, path), kind, mixed)
@@ -214,11 +304,7 @@ def read_returns(spark: SparkSession, path: str, kind: str, mixed: bool = False)
 
 def failures(rows: DataFrame) -> DataFrame:
     """The files that cannot be used, as ``source_file, code, detail``."""
-    bad = rows.where(F.col("_corrupt").isNotNull())
-    coded = F.regexp_extract("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", 1)
-    code = F.when(coded != "", coded).otherwise("unreadable_file")
-    detail = F.regexp_replace("_corrupt", r"\A(missing_columns|wrong_kind|kind_unknown): ", "")
-    return bad.select("source_file", code.alias("code"), detail.alias("detail"))
+    return unusable_files(rows)
 
 
 def readable(rows: DataFrame) -> DataFrame:
@@ -240,7 +326,7 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
                 header, error = None, None
                 try:
                     header = _header(sheet_rows(content.as_py(), OUTPUT_SHEET))
-                except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as problem:
+                except UNREADABLE as problem:
                     error = str(problem)
                 yield pa.RecordBatch.from_pydict(
                     {"source_file": [name.as_py()], "columns": [header], "error": [error]},
@@ -262,19 +348,22 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, needed: bool = True)
     ddl = "source_file string, row_no bigint, cells array<string>, error string"
     kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.string()]
 
+    def rows(name: str, content: bytes):
+        try:
+            for n, row in enumerate(sheet_rows(content, sheet), 1):
+                yield name, n, [_text(v) for v in row], None
+        except UNREADABLE as problem:
+            if needed:
+                raise
+            yield name, None, None, str(problem)
+
     def decode(batches):
         for batch in batches:
             for name, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                try:
-                    lines = [[_text(v) for v in row] for row in sheet_rows(content.as_py(), sheet)]
-                    rows = [(name.as_py(), n, cells, None) for n, cells in enumerate(lines, 1)]
-                except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as problem:
-                    if needed:
-                        raise
-                    rows = [(name.as_py(), None, None, str(problem))]
-                columns = zip(*rows) if rows else [[]] * len(kinds)
-                arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["source_file", "row_no", "cells", "error"])
+                found = rows(name.as_py(), content.as_py())
+                while some := list(itertools.islice(found, BATCH_ROWS)):
+                    arrays = [pa.array(column, kind) for column, kind in zip(zip(*some), kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["source_file", "row_no", "cells", "error"])
 
     return _files(spark, path).mapInArrow(decode, ddl)
 

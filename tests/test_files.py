@@ -17,8 +17,9 @@ from hazardlens.schemas import (
     UPLOAD_LAYOUT,
 )
 from hazardlens.sinks import writers
+from hazardlens.sinks.history import History
 from hazardlens.sources import tables, workbooks
-from hazardlens.streaming.arrivals import arriving_workbooks, import_arrivals
+from hazardlens.streaming.arrivals import arriving_workbooks, import_arrivals, import_batch
 
 from build import column, sheet, values, workbook
 from build import physical as phys
@@ -274,13 +275,14 @@ def test_import_checks_history_and_rerun(spark, tmp_path):
     for import_id in ("i1", "i2", "i2"):
         done = import_run.normalize_import(rows, manifest, import_id, "2026-07-01")
         summary = import_run.import_manifest(done, manifest, "physical")
-        writers.write_import(folder, physical=done, summary=summary)
+        writers.write_import(folder, import_id, physical=done, summary=summary)
+    history = History(spark, folder)
     with pytest.raises(ImportFailure, match="i2 is in"):
-        writers.append_history(import_run.normalize_import(rows.limit(1), manifest, "i2", "2026-07-02"), f"{folder}/physical_long")
-    kept = spark.read.parquet(f"{folder}/physical_long")
+        history.append("i2", physical_long=import_run.normalize_import(rows.limit(1), manifest, "i2", "2026-07-02"))
+    kept = history.read("physical_long")
     assert values(kept.groupBy("import_id").count()) == [("i1", 2), ("i2", 2)]
     assert values(kept.select("scr_run_id", "portfolio_asset_id").distinct()) == [("run", "m0")]
-    listed = spark.read.parquet(f"{folder}/import_manifest")
+    listed = history.read("import_manifest")
     assert values(listed, "import_id", "row_count", "asset_count", "matched_asset_count", "output_type") == [
         ("i1", 2, 1, 1, "physical"), ("i2", 2, 1, 1, "physical"),
     ]
@@ -294,13 +296,29 @@ def test_arriving_workbooks_become_imports(spark, tmp_path):
     for n in range(2):
         put(inbox, f"{n}.xlsx", output(HEADER, [name, "s", 2025 + n, "Flood", 1.0, None]))
         import_arrivals(arriving_workbooks(spark, str(inbox)), **args).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "h"))
+    history = History(spark, str(tmp_path / "h"))
+    got = history.read("physical_long")
     assert values(got, "timeHorizon", "scr_run_id") == [("2025", "run"), ("2026", "run")]
-    # a new checkpoint delivers both files again, and the old imports stay
+    assert all(i.startswith("physical-") for i in column(got, "import_id"))
+    # a new checkpoint delivers both files again, one under another name, repacked, beside a new one
+    put(inbox, "copy of 1.xlsx", output(HEADER, [name, "s", 2026.0, "Flood", 1.0, None], [None, ""]))
+    put(inbox, "new.xlsx", output(HEADER, [name, "s", 2027, "Flood", 1.0, None]))
     import_arrivals(arriving_workbooks(spark, str(inbox)), **{**args, "checkpoint": str(tmp_path / "c2")}).awaitTermination()
-    again = spark.read.parquet(str(tmp_path / "h"))
-    assert again.count() == 4 and again.select("import_id").distinct().count() == 3
-    assert all(i.startswith("physical-") for i in column(again, "import_id"))
+    assert values(history.read("physical_long"), "timeHorizon") == [("2025",), ("2026",), ("2027",)]
+    arrived = history.read("arrivals").select("repeat", *(F.element_at(F.split(c, "/"), -1).alias(c) for c in ("source_file", "repeat_of")))
+    assert [(f.replace("%20", " "), of) for r, f, of in values(arrived) if r] == [("0.xlsx", "0.xlsx"), ("1.xlsx", "1.xlsx"), ("copy of 1.xlsx", "1.xlsx")]
+    assert arrived.where("not repeat").count() == 3
+
+
+def test_equal_files_in_one_import(spark, tmp_path):
+    name = "is_p_" + "d" * 32
+    books = [("b", output(HEADER, [name, "s", 2025])), ("a", output(HEADER, [name, "s", 2025])), ("c", output(HEADER, [name, "s", 2026]))]
+    files = spark.createDataFrame([(n, bytearray(c)) for n, c in books], "path string, content binary")
+    history = History(spark, str(tmp_path))
+    for _ in range(2):  # again as after a failure: the import is known
+        import_batch(files, "physical", manifest_for(spark, name), history, "i", "2026-07-01")
+    assert values(history.read("arrivals"), "source_file", "repeat", "repeat_of") == [("a", False, None), ("b", True, "a"), ("c", False, None)]
+    assert values(history.read("physical_long"), "source_file") == [("a",), ("c",)] and history.version() == 0
 
 
 def test_numbering_uses_the_shared_folder(spark):
@@ -345,15 +363,16 @@ def test_import_package(spark, tmp_path):
     terms = spark.createDataFrame([("FLOOD",), ("HEAT",)], "term string")
     folder = str(tmp_path / "imports")
     args = (manifest, "physical", "i1", "2026-07-01", folder, {"hazard": terms}, ["indicatorValue"])
-    for _ in range(2):
-        import_run.import_returns(headers, rows, *args, readme=readme)
-    read = {n: spark.read.parquet(f"{folder}/{n}") for n in ("physical_long", "import_manifest", "import_warnings", "import_failures/i1")}
-    assert read["physical_long"].count() == 2 and read["import_failures/i1"].count() == 0
+    done = [import_run.import_returns(rows, *args, readme=readme, headers=headers) for _ in range(2)]
+    assert done[0] == {"rows": 2, "blank_names": 0, "blank_metrics": 2, "unusable_files": 0, "warnings": 4, "version": 0}
+    assert done[1] == {**done[0], "version": None}
+    read = {n: History(spark, folder).read(n) for n in ("physical_long", "import_manifest", "import_warnings")}
+    assert read["physical_long"].count() == 2 and spark.read.parquet(f"{folder}/import_failures/i1").count() == 0
     codes = column(read["import_warnings"], "code")
     assert {"hazard_not_in_metadata", "hazard_not_returned", "readme_name_differs"} <= set(codes)
     assert values(read["import_manifest"], "import_id", "row_count", "warning_count") == [("i1", 2, len(codes))]
     with pytest.raises(ImportFailure, match="1 x asset_not_in_manifest"):
-        import_run.import_returns(headers, phys(spark, {"assetName": "other"}), *args)
+        import_run.import_returns(phys(spark, {"assetName": "other"}), *args, headers=headers)
     assert spark.read.parquet(f"{folder}/import_failures/i1").count() == 1
 
 
