@@ -1241,6 +1241,17 @@ put(
       AND w.r = 1
     LEFT JOIN mani m ON m.scr_asset_name = h.asset_name WHERE h.scenario = 'ssp5-8.5'""",
 )
+put(
+    "result_set_incremental",
+    f"""SELECT h.*, w.worst_1, w.worst_2, w.worst_3, m.portfolio_id
+    FROM haz h JOIN (
+      SELECT asset_name, scenario, horizon, hazard, {", ".join(f"max(indicator) FILTER (r = {i}) AS worst_{i}" for i in (1, 2, 3))}
+      FROM (SELECT *, row_number() OVER (PARTITION BY asset_name, scenario, horizon, hazard
+        ORDER BY {score('rating')} DESC, value DESC NULLS LAST, seq) AS r FROM inds) GROUP BY ALL) w
+    USING (asset_name, scenario, horizon, hazard) LEFT JOIN mani m ON m.scr_asset_name = h.asset_name""",
+)
+put("trends_incremental", "SELECT * FROM ptrends")
+put("rankings_incremental", "SELECT * FROM ranks")
 put(
     "import_history",
     """SELECT import_id, m.plant_uuid, m.portfolio_asset_id, count(*) AS n
