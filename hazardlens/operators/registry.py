@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -236,7 +236,12 @@ def resolve_workspace(workspace: DataFrame, slug: str) -> str:
 
 def list_portfolios(portfolio: DataFrame, workspace_id: str) -> DataFrame:
     """Live portfolios of a workspace, newest first."""
-    return live(portfolio).where(F.col("workspace_id") == workspace_id).orderBy(F.col("created_at").desc())
+    return live(portfolio).where(F.col("workspace_id") == workspace_id).orderBy(*portfolio_order())
+
+
+def portfolio_order() -> list[Column]:
+    """Newest first; portfolios of one moment by id."""
+    return [F.col("created_at").desc(), F.col("id")]
 
 
 def resolve_portfolio(portfolio: DataFrame, workspace_id: str, name: str) -> str:

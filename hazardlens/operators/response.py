@@ -48,6 +48,14 @@ def static_hazard(hazards: DataFrame, col: str = "adjusted_hazard_value_impact")
     )
 
 
+def with_static_flag(hazards: DataFrame, col: str = "adjusted_hazard_value_impact") -> DataFrame:
+    """The rows with ``is_static`` of their asset's hazard (``static_hazard``), read once."""
+    every = Window.partitionBy("asset_name", "hazard")
+    text = twelve_digits(col)
+    several, low, high = F.count(text).over(every) > 1, F.min(text).over(every), F.max(text).over(every)
+    return hazards.withColumn("is_static", several & F.coalesce(low == high, F.lit(False)))
+
+
 def is_flat(table: DataFrame, keys: Sequence[str], col: str, tolerance: float = 1e-9) -> DataFrame:
     """Series with fewer than two values, or hardly any spread between them."""
     value = F.when(is_valid(col), F.col(col))
@@ -86,31 +94,33 @@ def response_points(indicators: DataFrame, hazards: DataFrame) -> DataFrame:
     return lookup_join(x, y, [*KEYS, "hazard"], "inner")
 
 
-def response_series(points: DataFrame, k: int = 4, min_points: int = 3) -> DataFrame:
-    """The ``k`` most varied series per asset, scenario and hazard."""
-    thin = points.groupBy(
-        *SERIES, "metric", "horizon", twelve_digits("x").alias("_x"), twelve_digits("y").alias("_y")
-    ).agg(F.count("*").alias("_n"))
-    stats = (
-        thin.groupBy(*SERIES, "metric")
-        .agg(
-            F.sum("_n").alias("n_points"),
-            F.count_distinct("_x").alias("distinct_x"),
-            F.count_distinct("_y").alias("distinct_y"),
-        )
-        .where((F.col("n_points") >= min_points) & (F.col("distinct_x") > 1))
-    )
-    rank = Window.partitionBy("asset_name", "scenario", "hazard").orderBy(
-        F.col("distinct_y").desc(), F.col("distinct_x").desc(), "indicator", "unit"
-    )
-    return stats.withColumn("series_rank", F.row_number().over(rank)).where(F.col("series_rank") <= k)
-
+def magnitude_response(indicators: DataFrame, hazards: DataFrame, k: int = 4, min_points: int = 3) -> DataFrame:
+    """The points of the ``k`` most varied series per asset, scenario and hazard, one row each.
 
-def magnitude_response(indicators: DataFrame, hazards: DataFrame, k: int = 4) -> DataFrame:
-    """The points of the most varied series, one row each; read them by x, then horizon.
-
-    This is a derived view over returned rows, not a damage curve of the vendor.
+    Read them by x, then horizon. A series needs ``min_points`` points and two magnitudes.
+    Its numbers of different values are the last of their dense ranks, so points and
+    series come from one pass. This is a derived view over returned rows, not a damage
+    curve of the vendor.
     """
-    points = response_points(indicators, hazards)
-    kept = response_series(points, k).drop("metric")
-    return lookup_join(points, kept, SERIES, "inner")
+    group = ["asset_name", "scenario", "hazard"]
+    # dealt by the group once; the windows over its series need no other order of rows than they sort
+    points = response_points(indicators, hazards).repartition(*group)
+    series = Window.partitionBy(*SERIES)
+    ranked = points.withColumns(
+        {
+            "_x": F.dense_rank().over(series.orderBy(twelve_digits("x"))),
+            "_y": F.dense_rank().over(series.orderBy(twelve_digits("y"))),
+        }
+    )
+    measured = ranked.withColumns(
+        {
+            "n_points": F.count("*").over(series),
+            "distinct_x": F.max("_x").over(series).cast("bigint"),
+            "distinct_y": F.max("_y").over(series).cast("bigint"),
+        }
+    ).where((F.col("n_points") >= min_points) & (F.col("distinct_x") > 1))
+    order = Window.partitionBy(*group).orderBy(F.col("distinct_y").desc(), F.col("distinct_x").desc(), "indicator", "unit")
+    # the rows of a series share its rank
+    kept = measured.withColumn("series_rank", F.dense_rank().over(order)).where(F.col("series_rank") <= k)
+    rest = [c for c in points.columns if c not in SERIES]
+    return kept.select(*SERIES, *rest, "n_points", "distinct_x", "distinct_y", "series_rank")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.ordering import ROW_ORDER, last_row
 from hazardlens.functions.text import is_blank
-from hazardlens.operators.joins import lookup_join
 from hazardlens.schemas import SIDECAR_KEYS
 
 
@@ -32,18 +31,15 @@ def resolve_sidecar(assets: DataFrame, sidecar_index: DataFrame) -> DataFrame:
     """Assets with the sidecar row of the first of their keys that has one.
 
     An asset tries its plant uuid, its generated name, its portfolio membership and
-    its index id, in that order. ``side`` is null where nothing matches. The index is
-    built once and looked up by each key.
+    its index id, in that order. ``side`` is null where nothing matches. The keys go to
+    the index stacked, with their priority and nothing else of the asset, in one join;
+    what is found comes back by the four keys together.
     """
-    keys = {
-        "_k0": F.col("plant_uuid"),
-        "_k1": F.col("scr_asset_name"),
-        "_k2": F.col("portfolio_asset_id"),
-        "_k3": F.col("eia_plant_id").cast("string"),
-    }
-    found = assets.withColumns(keys)
-    for i, key in enumerate(keys):
-        table = sidecar_index.select(F.col("_key").alias(key), F.col("side").alias(f"_s{i}"))
-        found = lookup_join(found, table, [key], spread="plant_uuid")
-    sides = [f"_s{i}" for i in range(len(keys))]
-    return found.withColumn("side", F.coalesce(*sides)).drop(*keys, *sides)
+    keys = [F.col("plant_uuid"), F.col("scr_asset_name"), F.col("portfolio_asset_id"), F.col("eia_plant_id").cast("string")]
+    # the keys as one text that is never null, so that rows with some keys missing match themselves
+    named = assets.withColumn("_keys", F.to_json(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys)))))
+    tried = F.array(*(F.struct(k.alias("_key"), F.lit(i).alias("_priority")) for i, k in enumerate(keys)))
+    stacked = named.select("_keys", F.explode(F.filter(tried, lambda t: t["_key"].isNotNull())).alias("_try"))
+    found = stacked.select("_keys", "_try.*").join(sidecar_index, "_key").groupBy("_keys")
+    best = found.agg(F.min_by("side", "_priority").alias("side"))
+    return named.join(best, "_keys", "left").drop("_keys")

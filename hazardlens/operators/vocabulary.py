@@ -88,3 +88,37 @@ def unused_terms(results: DataFrame, col: str, vocabulary: DataFrame, term: str
     """Vocabulary terms that did not come back; not an error, a return may be a subset."""
     returned = results.where(~is_blank(col)).select(canonical(col).alias("_key")).distinct()
     return vocabulary.withColumn("_key", canonical(term)).join(returned, "_key", "left_anti").drop("_key")
+
+
+def _deletions(text: Column) -> Column:
+    """The text with any one of its characters left out."""
+    places = F.sequence(F.lit(1), F.length(text))
+    cut = F.transform(places, lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+    return F.when(F.length(text) > 0, cut).otherwise(F.array().cast("array<string>"))
+
+
+def _neighbourhood(text: Column) -> Column:
+    """The text, and it without any one or two characters; any two texts within two edits share an entry."""
+    one = F.array_distinct(_deletions(text))
+    return F.array_distinct(F.concat(F.array(text), one, F.flatten(F.transform(one, _deletions))))
+
+
+def with_suggestions(terms: DataFrame, vocabulary: DataFrame, col: str = "term", term: str = "term") -> DataFrame:
+    """Adds ``suggestion``, the nearest known term within two edits, and ``distance``; null where there is none.
+
+    Terms are compared as ``canonical`` reads them; of equally near ones the first by
+    name counts. Either side is indexed by the hashes of what is left when up to two
+    characters go, so only terms that share such a rest are compared. The index of a
+    term grows with the square of its length; terms are names of some words.
+    """
+
+    def indexed(rows, key):
+        return rows.withColumn("_rest", F.explode(F.transform(_neighbourhood(F.col(key)), lambda t: F.xxhash64(t))))
+
+    known = vocabulary.select(canonical(term).alias("_known"), F.col(term).alias("_term")).where("_known <> ''").distinct()
+    asked = terms.select(canonical(col).alias("_asked")).where("_asked <> ''").distinct()
+    pairs = indexed(asked, "_asked").join(indexed(known, "_known"), "_rest").select("_asked", "_known", "_term").distinct()
+    near = pairs.withColumn("_distance", F.levenshtein("_asked", "_known")).where("_distance <= 2")
+    best = near.groupBy("_asked").agg(F.min(F.struct("_distance", "_term")).alias("_best"))
+    joined = terms.withColumn("_asked", canonical(col)).join(best, "_asked", "left")
+    return joined.select(*terms.columns, F.col("_best._term").alias("suggestion"), F.col("_best._distance").alias("distance"))

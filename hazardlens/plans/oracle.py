@@ -1311,3 +1311,115 @@ put(
     """SELECT seq, seq % 1000 AS row_in_file, 'block_' || lpad((seq // 1000)::VARCHAR, 6, '0') AS source_file,
       "assetName", scenario, "timeHorizon", hazard, indicator, "indicatorRating", "indicatorValue" FROM phys""",
 )
+
+# -- orders, names and files ---------------------------------------------------------------
+
+
+def position(order: str) -> str:
+    return f"row_number() OVER (ORDER BY {order}) AS position"
+
+
+PLACES = "asset_name, scenario, horizon"
+INDICATOR_ORDER = PLACES + ", coalesce(hazard, ''), coalesce(indicator, ''), seq"
+SUBRISK_ORDER = PLACES + ", coalesce(subrisk, ''), coalesce(indicator, ''), seq"
+EXPORT_ORDER = "coalesce(slug, ''), coalesce(name, ''), plant_slug, plant_uuid, coalesce(portfolio_asset_id, '')"
+put(
+    "ordered_scope",
+    f"""SELECT plant_uuid, portfolio_asset_id, {position(EXPORT_ORDER)}
+    FROM (SELECT r.plant_uuid, r.plant_slug, w.slug, f.name, pa.id AS portfolio_asset_id FROM rec r LEFT JOIN ws w ON w.id = r.home
+      LEFT JOIN pfa pa ON pa.plant_uuid = r.plant_uuid LEFT JOIN pf f ON f.id = pa.portfolio_id
+      WHERE r.plant_uuid IN (SELECT {uuid('o_custkey')} FROM orders))""",
+)
+put("ordered_assets", f"SELECT asset_name, {position('asset_name')} FROM firsts")
+put(
+    "ordered_trends",
+    f"""SELECT {PLACES}, 'physical_trends' AS "table", {position(PLACES)} FROM ptrends
+    UNION ALL SELECT {PLACES}, 'transition_trends', {position(PLACES)} FROM ttrends""",
+)
+put("ordered_hazards", f"SELECT {PLACES}, hazard, {position(PLACES + ', hazard')} FROM haz")
+put("ordered_indicators", f"SELECT seq, {position(INDICATOR_ORDER)} FROM inds")
+put("indicator_page", f"SELECT * FROM (SELECT seq, {position(INDICATOR_ORDER)} FROM inds) WHERE position BETWEEN 101 AND 200")
+put("ordered_subrisks", f"SELECT seq, {position(SUBRISK_ORDER)} FROM subs")
+put("ordered_rankings", f"SELECT asset_name, scenario, {position('asset_name, peak_impact DESC, scenario')} FROM ranks")
+put(
+    "ordered_points",
+    f"""SELECT p.seq, {position("p.asset_name, p.scenario, p.hazard, p.indicator, p.unit, p.x, p.horizon, p.seq")}
+    FROM {POINTS} p JOIN (
+      SELECT *, row_number() OVER (PARTITION BY asset_name, scenario, hazard ORDER BY distinct_y DESC, distinct_x DESC, indicator, unit) AS r
+      FROM (SELECT asset_name, scenario, hazard, indicator, unit, count(*) AS n,
+          count(DISTINCT printf('%.11e', x)) AS distinct_x, count(DISTINCT printf('%.11e', y)) AS distinct_y
+        FROM {POINTS} GROUP BY ALL) WHERE n >= 3 AND distinct_x > 1) s
+    USING (asset_name, scenario, hazard, indicator, unit) WHERE s.r <= 2""",
+)
+put("ordered_portfolios", f"SELECT workspace_id, id AS portfolio_id, {position('workspace_id, created_at DESC, id')} FROM pf")
+put(
+    "lookup_files",
+    """SELECT 'type' AS lookup, asset_type AS "key", sector AS "value" FROM types
+    UNION ALL SELECT 'country', country, iso3 FROM countries""",
+)
+put("vocabulary_file", "SELECT DISTINCT p_brand AS term FROM part WHERE p_partkey % 9 <> 0")
+put(
+    "resolved_names",
+    """SELECT 'workspace' AS kind, a.slug AS asked, coalesce(w.id, 'no') AS outcome
+    FROM (VALUES ('africa'), ('middle east'), ('mars')) a(slug) LEFT JOIN ws w ON w.slug = a.slug AND w.is_live
+    UNION ALL SELECT 'portfolio', a.ws || '/' || a.pf, CASE WHEN a.pf = 'pf_2' THEN 'several' ELSE coalesce(f.id, 'no') END
+    FROM (VALUES ('ws_1', 'pf_1'), ('ws_2', 'pf_2'), ('ws_0', 'pf_10'), ('ws_3', 'pf_1')) a(ws, pf)
+    LEFT JOIN pf f ON f.id = a.pf AND f.workspace_id = a.ws""",
+)
+put(
+    "error_counts_strict",
+    f"""SELECT message, count(*) AS n FROM (
+      SELECT unnest(string_split({STRICT_ERRORS.replace("'missing_asset_value'", "'missing_asset_value_strict'")}, '|')) AS message
+    FROM {strict}) WHERE message <> '' GROUP BY 1""",
+)
+put(
+    "portfolio_top_subrisks",
+    """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY portfolio_id
+      ORDER BY max_value DESC NULLS LAST, peak_subrisk)::INTEGER AS position FROM (
+      SELECT portfolio_id, peak_subrisk, max(peak_impact) AS max_value, count(DISTINCT asset_name) AS n_assets
+      FROM ranks JOIN mani ON scr_asset_name = asset_name WHERE peak_subrisk <> '' GROUP BY ALL))
+    WHERE position <= 5""",
+)
+put(
+    "vocabulary_suggestions",
+    """SELECT t.term, t.row_count, CASE WHEN lower(t.term) IN (SELECT lower(term) FROM vocab) THEN 'mapped' ELSE 'missing' END
+        AS metadata_mapping_status, arg_min(k.term, struct_pack(d := k.d, t := k.term)) AS suggestion, min(k.d)::INTEGER AS distance
+    FROM (SELECT term, count(*) AS row_count FROM (SELECT CASE seq % 6 WHEN 1 THEN hazard || 's' WHEN 2 THEN substr(hazard, 2)
+          WHEN 3 THEN 'x' || hazard || 'yy' WHEN 4 THEN reverse(hazard) WHEN 5 THEN substr(hazard, 1, 1) || 'zz' || substr(hazard, 4)
+          ELSE hazard END AS term FROM phys WHERE hazard <> '') GROUP BY 1) t
+    LEFT JOIN (SELECT a.term AS asked, v.term, levenshtein(lower(a.term), lower(v.term)) AS d
+      FROM (SELECT DISTINCT CASE seq % 6 WHEN 1 THEN hazard || 's' WHEN 2 THEN substr(hazard, 2)
+          WHEN 3 THEN 'x' || hazard || 'yy' WHEN 4 THEN reverse(hazard) WHEN 5 THEN substr(hazard, 1, 1) || 'zz' || substr(hazard, 4)
+          ELSE hazard END AS term FROM phys WHERE hazard <> '') a, vocab v) k ON k.asked = t.term AND k.d <= 2
+    GROUP BY ALL""",
+)
+
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split("assetName", ''), lambda c: ord(c)::BIGINT)),
+  lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+VIEWS["sparse"] = f"""
+    SELECT * EXCLUDE ("assetId"), CASE WHEN number = 2 THEN "assetId" || 'x' ELSE "assetId" END AS "assetId",
+      epoch(['2026-07-01', '2026-07-11', '2026-07-11', '2026-07-21', '2026-09-19'][number + 1]::TIMESTAMP)::BIGINT AS moment
+    FROM (SELECT *, (seq // 50) % 5 AS number FROM phys WHERE "assetName" <> '') WHERE {CRC} % 4 <> number OR number = 4"""
+VIEWS["told"] = """
+    SELECT "assetName" AS asset_name, moment, arg_min(ROW("assetId", "climateZone", "geolocationCoordinates", "countryCode", "ticcsSubClass", "ticcsSubClassName"), seq) AS context,
+      arg_min("assetId", seq) AS scr_asset_id, arg_min("climateZone", seq) AS climate_zone, number
+    FROM sparse GROUP BY "assetName", moment, number
+    QUALIFY number = max(number) OVER (PARTITION BY moment)"""
+VIEWS["runs"] = """
+    SELECT t.*, u.until, CASE WHEN lag(u.until) OVER w = t.moment AND lag(t.context) OVER w = t.context THEN 0 ELSE 1 END AS starts
+    FROM told t JOIN (SELECT moment, lead(moment) OVER (ORDER BY moment) AS until FROM (SELECT DISTINCT moment FROM sparse)) u ON u.moment = t.moment
+    WINDOW w AS (PARTITION BY t.asset_name ORDER BY t.moment)"""
+VIEWS["held"] = """
+    SELECT asset_name, arg_min(scr_asset_id, moment) AS scr_asset_id, arg_min(climate_zone, moment) AS climate_zone,
+      'import_' || arg_min(number, moment) AS import_id, min(moment) AS valid_from,
+      CASE WHEN count(*) = count(until) THEN max(until) END AS valid_to
+    FROM (SELECT *, sum(starts) OVER (PARTITION BY asset_name ORDER BY moment) AS run FROM runs) GROUP BY asset_name, run"""
+put("asset_context_intervals", "SELECT * FROM held")
+put(
+    "asset_context_as_of",
+    f"""SELECT a.o_orderkey, a.asset_name, h.scr_asset_id, h.import_id, h.valid_from
+    FROM (SELECT o_orderkey, {returned_name('(o_custkey % 40)')} AS asset_name,
+      epoch('2026-06-28'::TIMESTAMP)::BIGINT + o_orderkey % 130 * 86400 AS moment FROM orders) a
+    LEFT JOIN held h ON h.asset_name = a.asset_name AND h.valid_from <= a.moment AND (h.valid_to IS NULL OR a.moment < h.valid_to)""",
+)

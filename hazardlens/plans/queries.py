@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from hazardlens.operators import (
     series,
     sidecar,
     transition,
+    validity,
     vocabulary,
 )
 from hazardlens.plans import driver_views as v
@@ -1022,6 +1024,206 @@ def workbook_rows(spark, sf):
     )
 
 
+# -- orders that files keep ----------------------------------------------------------------
+
+
+def _paged(spark, table, order, *columns):
+    """The table written in its order and read back, each row with its position."""
+    path = joins.staging_path(spark)
+    writers.write_ordered(table, path, order)
+    return tables.read_page(spark, path).select(*columns, "position")
+
+
+def _ordered(spark, table, name, *columns):
+    return _paged(spark, table, result_build.report_order(table, name), *columns)
+
+
+@query
+def ordered_scope(spark, sf):
+    ids = v.table(spark, sf, "orders").select(v.plant_uuid(F.col("o_custkey")).alias("id"))
+    scope = registry.scope_plants(v.registry(spark, sf), ids)
+    return _paged(spark, scope, registry.export_order(), "plant_uuid", "portfolio_asset_id")
+
+
+@query
+def ordered_assets(spark, sf):
+    found = assets.assets(v.physical(spark, sf), v.transition(spark, sf))
+    return _ordered(spark, found, "assets", "asset_name")
+
+
+@query
+def ordered_trends(spark, sf):
+    both = {
+        "physical_trends": physical.physical_trends(v.physical(spark, sf)),
+        "transition_trends": transition.transition_trends(v.transition(spark, sf)),
+    }
+    parts = [_ordered(spark, t, n, *axes.KEYS).withColumn("table", F.lit(n)) for n, t in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def ordered_hazards(spark, sf):
+    return _ordered(spark, physical.hazard_rollup(v.physical(spark, sf)), "physical_hazards", *physical.HAZARD_KEYS)
+
+
+@query
+def ordered_indicators(spark, sf):
+    return _ordered(spark, axes.indicator_rows(v.physical(spark, sf)), "physical_indicators", "seq")
+
+
+@query
+def indicator_page(spark, sf):
+    """The second hundred indicators in report order, straight from the files."""
+    rows = axes.indicator_rows(v.physical(spark, sf))
+    path = joins.staging_path(spark)
+    writers.write_ordered(rows, path, result_build.report_order(rows, "physical_indicators"))
+    return tables.read_page(spark, path, 101, 100).select("seq", "position")
+
+
+@query
+def ordered_subrisks(spark, sf):
+    return _ordered(spark, axes.subrisk_rows(v.transition(spark, sf)), "transition_subrisks", "seq")
+
+
+@query
+def ordered_rankings(spark, sf):
+    ranked = transition.scenario_rankings(v.transition(spark, sf))
+    return _ordered(spark, ranked, "transition_scenario_rankings", "asset_name", "scenario")
+
+
+@query
+def ordered_points(spark, sf):
+    phys = v.physical(spark, sf)
+    points = response.magnitude_response(axes.indicator_rows(phys), physical.hazard_rollup(phys), k=2)
+    return _ordered(spark, points, "response_points", "seq")
+
+
+@query
+def ordered_portfolios(spark, sf):
+    """Live portfolios of every workspace, newest first."""
+    listed = registry.live(v.registry(spark, sf).portfolio)
+    order = [F.col("workspace_id"), *registry.portfolio_order()]
+    return _paged(spark, listed, order, "workspace_id", "id").withColumnRenamed("id", "portfolio_id")
+
+
+# -- files and names ---------------------------------------------------------------------
+
+
+@query
+def lookup_files(spark, sf):
+    """Both lookups through CSV files in which keys stand twice; the later row counts."""
+    path = joins.staging_path(spark)
+    types, countries = v.asset_types(spark, sf), v.country_codes(spark, sf)
+    older = types.withColumn("sector", F.lit('old, "quoted"'))
+    older.unionByName(types).coalesce(1).write.csv(f"{path}/types", **writers.CSV_OPTIONS)
+    countries.write.csv(f"{path}/countries", **writers.CSV_OPTIONS)
+    found = {
+        "type": tables.read_lookup_csv(spark, f"{path}/types", "asset_type").select("asset_type", "sector"),
+        "country": tables.read_lookup_csv(spark, f"{path}/countries", "country").select("country", "iso3"),
+    }
+    parts = [rows.toDF("key", "value").withColumn("lookup", F.lit(name)) for name, rows in found.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def vocabulary_file(spark, sf):
+    """Vocabulary terms through a CSV with blanks and repeats."""
+    path = joins.staging_path(spark)
+    term = F.when(F.col("p_partkey") % 9 == 0, "").otherwise(F.col("p_brand"))
+    v.table(spark, sf, "part").select(term.alias("Term name"), "p_name").write.csv(path, **writers.CSV_OPTIONS)
+    return tables.read_vocabulary(spark, path, "Term name")
+
+
+@query
+def resolved_names(spark, sf):
+    """Workspaces by slug and portfolios by name, or why there is none."""
+    reg = v.registry(spark, sf)
+    # the portfolio pf_2 stands twice in its workspace
+    twice = reg.portfolio.where("id = 'pf_2'").withColumn("id", F.lit("pf_2b"))
+    portfolios = reg.portfolio.unionByName(twice)
+    names = {r["id"]: r["name"] for r in reg.portfolio.where("id in ('pf_1', 'pf_2', 'pf_10')").collect()}
+
+    def outcome(find, *args):
+        try:
+            return find(*args)
+        except LookupError as error:
+            return str(error).split(" ")[0]
+
+    asked = [("workspace", slug, outcome(registry.resolve_workspace, reg.workspace, slug)) for slug in ("africa", "middle east", "mars")]
+    for key, workspace in (("pf_1", "ws_1"), ("pf_2", "ws_2"), ("pf_10", "ws_0"), ("pf_1", "ws_3")):
+        found = outcome(registry.resolve_portfolio, portfolios, workspace, names[key])
+        asked.append(("portfolio", f"{workspace}/{key}", found))
+    return spark.createDataFrame(asked, "kind string, asked string, outcome string")
+
+
+@query
+def error_counts_strict(spark, sf):
+    """Errors of a strict run that does not ask for asset values by itself."""
+    return runs.count_messages(_exported(spark, sf, replace(STRICT, require_asset_value=False)), "errors")
+
+
+@query
+def portfolio_top_subrisks(spark, sf):
+    """Top transition drivers of each portfolio, from the portfolio report."""
+    report = reports.portfolio_report(_results(spark, sf), _manifest(spark, sf), "ssp5-8.5", 2100, PHYSICAL_SCENARIOS)
+    return report["top_subrisks"]
+
+
+@query
+def vocabulary_suggestions(spark, sf):
+    """The nearest known term of misspelled hazards."""
+    rows = v.physical(spark, sf).where("hazard <> ''")
+    n, hazard = F.col("seq") % 6, F.col("hazard")
+    spelled = (
+        F.when(n == 1, F.concat(hazard, F.lit("s")))
+        .when(n == 2, F.substring(hazard, F.lit(2), F.length(hazard)))
+        .when(n == 3, F.concat(F.lit("x"), hazard, F.lit("yy")))
+        .when(n == 4, F.reverse(hazard))
+        .when(n == 5, F.concat(F.substring(hazard, 1, 1), F.lit("zz"), F.substring(hazard, F.lit(4), F.length(hazard))))
+        .otherwise(hazard)
+    )
+    known = v.vocabulary(spark, sf)
+    return vocabulary.with_suggestions(vocabulary.vocabulary_status(rows.select(spelled.alias("hazard")), "hazard", known), known)
+
+
+# -- identity over time ----------------------------------------------------------------------
+
+
+def _sparse_history(spark, sf):
+    """Imports of some assets each; two come on one day, and the last one is long after the others."""
+    number = v.div("seq", 50) % 5
+    days = F.array(*(F.lit(d) for d in ("2026-07-01", "2026-07-11", "2026-07-11", "2026-07-21", "2026-09-19")))
+    stamped = v.physical(spark, sf).withColumns(
+        {
+            "import_id": F.concat(F.lit("import_"), number.cast("string")),
+            "imported_at": F.element_at(days, (number + 1).cast("int")),
+            "assetId": F.when(number == 2, F.concat("assetId", F.lit("x"))).otherwise(F.col("assetId")),
+        }
+    )
+    asset = F.pmod(F.crc32("assetName"), F.lit(4))
+    return stamped.where((asset != number) | (number == 4))
+
+
+@query
+def asset_context_intervals(spark, sf):
+    """When which context of an asset held."""
+    return validity.context_intervals(_sparse_history(spark, sf), ["seq"]).select(
+        "asset_name", "scr_asset_id", "climate_zone", "import_id", "valid_from", "valid_to"
+    )
+
+
+@query
+def asset_context_as_of(spark, sf):
+    """The context of an asset for every order, as known on the day it is asked for."""
+    asked = v.table(spark, sf, "orders").select(
+        "o_orderkey",
+        v.returned_name(F.col("o_custkey") % 40).alias("asset_name"),
+        (F.unix_timestamp(F.lit("2026-06-28").cast("timestamp")) + F.col("o_orderkey") % 130 * validity.DAY).alias("at"),
+    )
+    intervals = validity.context_intervals(_sparse_history(spark, sf), ["seq"])
+    return validity.as_of(asked, intervals, "at").select("o_orderkey", "asset_name", "scr_asset_id", "import_id", "valid_from")
+
+
 # -- functions -------------------------------------------------------------------------
 
 

@@ -98,10 +98,10 @@ def physical_trend_series(
 
 def hazard_ranking(hazards: DataFrame) -> DataFrame:
     """Hazards of every view in order, with bar share, band and the static flag."""
-    static = response.static_hazard(hazards).select("asset_name", "hazard", "is_static")
-    ranked = series.rank_position(hazards, KEYS, hazard_order())
+    flagged = response.with_static_flag(hazards)
+    ranked = series.rank_position(flagged, KEYS, hazard_order())
     shared = series.bar_share(ranked, KEYS, "adjusted_hazard_value_impact")
-    return shared.join(static, ["asset_name", "hazard"], "left").withColumns(
+    return shared.withColumns(
         {"band": rating_band("hazard_rating"), "label": impact_label("adjusted_hazard_value_impact")}
     )
 

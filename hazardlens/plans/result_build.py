@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.functions.ordering import ROW_ORDER, file_order
-from hazardlens.operators import assets, physical, quality, transition
+from hazardlens.operators import assets, physical, quality, response, transition
 from hazardlens.operators.joins import staged, staged_and_measured
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import PHYSICAL_REQUIRED, TRANSITION_REQUIRED
@@ -92,17 +92,28 @@ def stage_returns(physical_rows: DataFrame, transition_rows: DataFrame) -> tuple
     return phys, trans, {**counts, **more}
 
 
-def in_report_order(table: DataFrame, name: str) -> DataFrame:
-    """The order a reader expects of each result table; only worth its sort on the way out."""
+def report_order(table: DataFrame, name: str) -> list[Column]:
+    """The order a reader expects of each result table, as sort keys; it is total."""
     blank = F.lit("")
-    keys = ["asset_name", "scenario", "horizon"]
+    keys = [F.col(c) for c in ("asset_name", "scenario", "horizon")]
+    place = [F.col(c) for c in file_order(table)]
+
+    def text(c):
+        return F.coalesce(F.col(c), blank)
+
     orders = {
-        "assets": ["asset_name"],
-        "physical_trends": keys,
-        "physical_hazards": [*keys, "hazard"],
-        "physical_indicators": [*keys, F.coalesce("hazard", blank), F.coalesce("indicator", blank), *file_order(table)],
-        "transition_trends": keys,
-        "transition_subrisks": [*keys, F.coalesce("subrisk", blank), F.coalesce("indicator", blank), *file_order(table)],
-        "transition_scenario_rankings": ["asset_name", F.col("peak_impact").desc(), "scenario"],
+        "assets": lambda: keys[:1],
+        "physical_trends": lambda: keys,
+        "physical_hazards": lambda: [*keys, F.col("hazard")],
+        "physical_indicators": lambda: [*keys, text("hazard"), text("indicator"), *place],
+        "transition_trends": lambda: keys,
+        "transition_subrisks": lambda: [*keys, text("subrisk"), text("indicator"), *place],
+        "transition_scenario_rankings": lambda: [keys[0], F.col("peak_impact").desc(), keys[1]],
+        "response_points": lambda: [*(F.col(c) for c in response.SERIES), F.col("x"), keys[2], *place],
     }
-    return table.orderBy(*orders[name])
+    return orders[name]()
+
+
+def in_report_order(table: DataFrame, name: str) -> DataFrame:
+    """The table sorted as its readers expect; only worth its sort on the way out."""
+    return table.orderBy(*report_order(table, name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import asdict
 
 from pyspark.sql import Column, DataFrame
@@ -105,6 +106,17 @@ def write_results(results: Results, folder: str, meta: DataFrame | None = None,
         meta.write.format(fmt).save(f"{folder}/meta")
 
 
+def write_ordered(table: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """The table in a total order that its files keep: each row with its ``position`` from 1.
+
+    Rows are sorted by ranges and numbered without a one-task window (``runs.numbered``);
+    each file holds a stretch of positions in order, so a page is found by the lowest and
+    highest position that Parquet keeps per row group (``read_page``).
+    """
+    rows = runs.numbered(table, order).withColumnRenamed("row_number", "position")
+    rows.repartitionByRange("position").sortWithinPartitions("position").write.parquet(path)
+
+
 def write_import(
     folder: str,
     import_id: str,

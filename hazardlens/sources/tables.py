@@ -255,3 +255,12 @@ def read_results(spark: SparkSession, folder: str) -> Results:
         load("transition_trends"),
         load("transition_subrisks"),
     )
+
+
+def read_page(spark: SparkSession, path: str, first: int = 1, rows: int | None = None) -> DataFrame:
+    """Rows of an ordered table from position ``first`` on; what lies outside is not read.
+
+    The order is that of ``position``. Without ``rows`` everything from there on comes.
+    """
+    table = spark.read.parquet(path).where(F.col("position") >= first)
+    return table if rows is None else table.where(F.col("position") < first + rows)
