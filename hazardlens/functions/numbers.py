@@ -69,9 +69,10 @@ def as_decimal(c, dtype: str = "decimal(18,6)") -> Column:
 
 def beyond_decimal(c, dtype: str = "decimal(18,6)") -> Column:
     """True where text holds a number that ``as_decimal`` cannot hold, never null."""
-    text = blank_to_null(F.replace(strip(c), F.lit(","), F.lit("")))
-    value = text.try_cast("double")
-    return is_valid(value) & text.try_cast(dtype).isNull()
+    text = F.replace(strip(c), F.lit(","), F.lit(""))
+    # NaN is above all numbers, and no number
+    found = text.try_cast("double") < float("nan")
+    return F.coalesce(found, F.lit(False)) & as_decimal(c, dtype).isNull()
 
 
 def decimal_text(c) -> Column:

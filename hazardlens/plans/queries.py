@@ -31,7 +31,7 @@ from hazardlens.plans import import_run, incremental, reports, result_build
 from hazardlens.schemas import MANIFEST_COLUMNS, UPLOAD_KEYS
 from hazardlens.sinks import writers
 from hazardlens.sinks.history import History
-from hazardlens.sources import tables, workbooks
+from hazardlens.sources import quoted, tables, workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1186,6 +1186,18 @@ def vocabulary_suggestions(spark, sf):
     return vocabulary.with_suggestions(vocabulary.vocabulary_status(rows.select(spelled.alias("hazard")), "hazard", known), known)
 
 
+@query
+def quoted_lines(spark, sf):
+    """Rows through CSV files whose values hold line breaks, quotes and commas, read in small blocks."""
+    path = joins.staging_path(spark)
+    n = F.col("o_orderkey")
+    note = F.when(n % 3 == 0, F.concat(F.lit('two "lines",\n'), "o_orderpriority")).when(n % 5 == 0, '"').otherwise(F.col("o_orderstatus"))
+    orders = v.table(spark, sf, "orders").select(n.alias("key"), note.alias("note"), (n % 7).alias("rest"))
+    orders.repartition(2, "key").write.csv(path, **writers.CSV_OPTIONS)
+    rows = quoted.read_csv(spark, path)
+    return rows.select(F.col("key").cast("bigint").alias("key"), "note", F.col("rest").cast("bigint").alias("rest"))
+
+
 # -- identity over time ----------------------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ from hazardlens.operators.quality import detect_kind, require_columns
 from hazardlens.operators.registry import Registry
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import KINDS, SIDECAR_ALIASES, SIDECAR_FIELDS
+from hazardlens.sources import quoted
 from hazardlens.sources.workbooks import read_sheet
 
 REGISTRY_TABLES = (
@@ -27,8 +28,6 @@ REGISTRY_TABLES = (
     "portfolio",
     "portfolio_asset",
 )
-# manifest, sidecar and lookups are small, and their values may hold line breaks
-_CSV = {"quote": '"', "escape": '"', "multiLine": True}
 _PLACE_BITS = (1 << 33) - 1
 
 
@@ -83,11 +82,12 @@ def read_long(
 
     Files of one call share one header: a CSV file with another one is an error and
     not a silent shift of columns. Large CSV files are split over tasks, which
-    values with line breaks rule out; ``multi_line`` reads those.
+    values with line breaks do not rule out, but make dearer; ``multi_line`` reads those.
     """
-    if fmt == "csv":
-        options = {**_CSV, "multiLine": multi_line}
-        raw = spark.read.csv(path, header=True, enforceSchema=False, **options)
+    if fmt == "csv" and multi_line:
+        raw = quoted.read_csv(spark, path)
+    elif fmt == "csv":
+        raw = spark.read.csv(path, header=True, enforceSchema=False, **quoted.OPTIONS)
     else:
         raw = spark.read.parquet(path)
     placed = raw if {"source_file", "seq"} <= set(raw.columns) else _with_place(raw, fmt == "parquet")
@@ -96,8 +96,7 @@ def read_long(
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row per asset name with its context as a struct; the last row of a name counts."""
-    raw = spark.read.csv(path, header=True, enforceSchema=False, **_CSV)
-    return dedupe_manifest(_with_place(raw, parquet=False), ["source_file", "seq"])
+    return dedupe_manifest(quoted.read_csv(spark, path), ["source_file", "seq"])
 
 
 def sidecar_columns(header: Sequence[str]) -> list[str]:
@@ -112,14 +111,16 @@ def read_sidecar(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
     Every file has its own header, which may order and spell its columns as it likes.
     Where two headers mean the same field the later column counts, even when blank.
     Columns that no file knows are absent, those that one file lacks are blank. Files
-    without line breaks inside values can be split over tasks with ``multi_line=False``.
+    are split over tasks; without line breaks inside values ``multi_line=False`` is cheaper.
     """
     # no line has more columns than commas, whatever is quoted
     commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
     width = (spark.read.text(path).agg(F.max(commas)).first()[0] or 0) + 1
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    options = {**_CSV, "multiLine": multi_line}
-    lines = _with_place(spark.read.csv(path, header=False, schema=schema, **options), parquet=False)
+    if multi_line:
+        lines = quoted.cells(quoted.records(spark, path), schema.names)
+    else:
+        lines = _with_place(spark.read.csv(path, header=False, schema=schema, **quoted.OPTIONS), parquet=False)
     cells = lines.select("source_file", "seq", F.array(*[f"c{i}" for i in range(width)]).alias("cells"))
     first = cells.groupBy("source_file").agg(F.min_by("cells", "seq").alias("header"), F.min("seq").alias("head"))
     spelled = first.select(F.explode("header").alias("h")).where("h is not null").distinct()
@@ -224,8 +225,7 @@ def read_country_codes(spark: SparkSession, path: str, sheet: str = "Country cod
 
 def read_lookup_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Either lookup from a CSV with its columns already named."""
-    raw = spark.read.csv(path, header=True, enforceSchema=False, **_CSV)
-    rows = _with_place(raw, parquet=False).where(~is_blank(key)).drop("source_file")
+    rows = quoted.read_csv(spark, path).where(~is_blank(key)).drop("source_file")
     return _last_per_key(rows.fillna(""), key, "seq")
 
 
@@ -236,7 +236,7 @@ def _last_per_key(rows: DataFrame, key: str, place: str) -> DataFrame:
 
 def read_vocabulary(spark: SparkSession, path: str, column: str) -> DataFrame:
     """One column of a vocabulary CSV as distinct terms."""
-    raw = spark.read.csv(path, header=True, enforceSchema=False, **_CSV)
+    raw = quoted.read_csv(spark, path)
     return raw.select(blank_to_null(column).alias("term")).where(F.col("term").isNotNull()).distinct()
 
 
