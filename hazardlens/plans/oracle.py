@@ -1359,8 +1359,8 @@ put(
 )
 put(
     "quoted_lines",
-    """SELECT o_orderkey AS "key", CASE WHEN o_orderkey % 3 = 0 THEN 'two "lines",' || chr(10) || o_orderpriority
-      WHEN o_orderkey % 5 = 0 THEN '"' ELSE o_orderstatus END AS note, o_orderkey % 7 AS rest FROM orders""",
+    """SELECT o_orderkey AS "key", CASE WHEN o_orderkey % 3 = 0 THEN 'two "lines",' || chr(10) || o_custkey
+      WHEN o_orderkey % 5 = 0 THEN '"' ELSE o_custkey::VARCHAR END AS note, o_orderkey % 7 AS rest FROM orders""",
 )
 put("vocabulary_file", "SELECT DISTINCT p_brand AS term FROM part WHERE p_partkey % 9 <> 0")
 put(

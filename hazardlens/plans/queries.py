@@ -969,7 +969,7 @@ def result_set_incremental(spark, sf):
         *physical.HAZARD_KEYS,
         *physical.HAZARD_METRICS,
         "hazard_rating",
-        *(F.col("worst_indicators")[i]["indicator"].alias(f"worst_{i + 1}") for i in range(3)),
+        *(F.get("worst_indicators", F.lit(i))["indicator"].alias(f"worst_{i + 1}") for i in range(3)),
         *(F.col(f"indicator_rating_counts.{x}").alias(f"rating_{x}") for x in ratings.LETTERS),
     ).join(res.assets.select("asset_name", F.col("manifest.portfolio_id").alias("portfolio_id")), "asset_name", "left")
 
@@ -1191,7 +1191,8 @@ def quoted_lines(spark, sf):
     """Rows through CSV files whose values hold line breaks, quotes and commas, read in small blocks."""
     path = joins.staging_path(spark)
     n = F.col("o_orderkey")
-    note = F.when(n % 3 == 0, F.concat(F.lit('two "lines",\n'), "o_orderpriority")).when(n % 5 == 0, '"').otherwise(F.col("o_orderstatus"))
+    customer = F.col("o_custkey").cast("string")
+    note = F.when(n % 3 == 0, F.concat(F.lit('two "lines",\n'), customer)).when(n % 5 == 0, '"').otherwise(customer)
     orders = v.table(spark, sf, "orders").select(n.alias("key"), note.alias("note"), (n % 7).alias("rest"))
     orders.repartition(2, "key").write.csv(path, **writers.CSV_OPTIONS)
     rows = quoted.read_csv(spark, path)
