@@ -547,6 +547,11 @@ put(
     WHERE asset_name = (SELECT min(asset_name) FROM firsts)""",
 )
 put("slice_view", "SELECT * FROM ptrends WHERE scenario = 'ssp5-8.5' AND horizon = 2100")
+put("slice_from_files", "SELECT * FROM ptrends WHERE scenario = 'ssp5-8.5' AND horizon = 2100")
+put(
+    "slice_horizon_range",
+    "SELECT seq, asset_name, scenario, horizon, rating FROM inds WHERE horizon BETWEEN 2050 AND 2075",
+)
 put("rated_indicators", "SELECT seq, rating FROM inds WHERE rating IS NOT NULL")
 put(
     "quantified_subrisks",

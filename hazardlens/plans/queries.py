@@ -29,7 +29,7 @@ from hazardlens.operators import (
 from hazardlens.plans import driver_views as v
 from hazardlens.plans import import_run, incremental, reports, result_build
 from hazardlens.schemas import MANIFEST_COLUMNS, UPLOAD_KEYS
-from hazardlens.sinks import writers
+from hazardlens.sinks import clustered, writers
 from hazardlens.sinks.history import History
 from hazardlens.sources import quoted, tables, workbooks
 
@@ -244,6 +244,24 @@ def slice_view(spark, sf):
     return axes.slice_view(trends, "ssp5-8.5", 2100)
 
 
+@query
+def slice_from_files(spark, sf):
+    """One scenario and horizon of a result set laid along a curve, with few files opened."""
+    path = joins.staging_path(spark)
+    writers.write_clustered_results(_results(spark, sf), path, file_rows=4096)
+    return tables.read_results_slice(spark, path, "ssp5-8.5", 2100).trends
+
+
+@query
+def slice_horizon_range(spark, sf):
+    """Evidence of a range of horizons, whatever the scenario."""
+    path = joins.staging_path(spark)
+    rows = axes.indicator_rows(v.physical(spark, sf))
+    clustered.write_clustered(rows, path, ["scenario", "horizon", "asset_name"], file_rows=4096)
+    picked = clustered.read_slice(spark, path, {"horizon": (2050, 2075)})
+    return picked.select("seq", *axes.KEYS, "rating")
+
+
 @query
 def rated_indicators(spark, sf):
     return axes.rated(axes.indicator_rows(v.physical(spark, sf))).select("seq", "rating")

@@ -13,6 +13,7 @@ from hazardlens.operators import export, registry, runs
 from hazardlens.operators.export import ExportOptions
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
+from hazardlens.sinks import clustered
 from hazardlens.sinks.history import History
 
 # blanks stay blank, outer spaces stay, and inner quotes are doubled as spreadsheet programs do
@@ -106,6 +107,18 @@ def write_results(results: Results, folder: str, meta: DataFrame | None = None,
         meta.write.format(fmt).save(f"{folder}/meta")
 
 
+def write_clustered_results(results: Results, folder: str, file_rows: int = clustered.FILE_ROWS) -> None:
+    """One table per section along a curve over scenario, horizon and asset, with an index of its files.
+
+    For readers that slice by any of the three (``read_results_slice``); ``write_results``
+    serves those that always name the scenario.
+    """
+    for field, name in RESULT_TABLES.items():
+        table = getattr(results, field)
+        keys = [c for c in ("scenario", "horizon", "asset_name") if c in table.columns]
+        clustered.write_clustered(table, f"{folder}/{name}", keys, file_rows)
+
+
 def write_ordered(table: DataFrame, path: str, order: Sequence[Column]) -> None:
     """The table in a total order that its files keep: each row with its ``position`` from 1.
 

@@ -16,6 +16,7 @@ from hazardlens.operators.quality import detect_kind, require_columns
 from hazardlens.operators.registry import Registry
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import KINDS, SIDECAR_ALIASES, SIDECAR_FIELDS
+from hazardlens.sinks import clustered
 from hazardlens.sources import quoted
 from hazardlens.sources.workbooks import read_sheet
 
@@ -257,6 +258,37 @@ def read_results(spark: SparkSession, folder: str) -> Results:
     )
 
 
+def read_results_slice(
+    spark: SparkSession,
+    folder: str,
+    scenario: str | None = None,
+    horizon: int | tuple[int | None, int | None] | None = None,
+    asset_name: str | None = None,
+) -> Results:
+    """A clustered result set cut to a scenario, horizon or range of them, and asset.
+
+    Each table reads only the files that the slice needs; a condition on a column that a
+    table lacks is left out there.
+    """
+    asked = {"scenario": scenario, "horizon": horizon, "asset_name": asset_name}
+
+    def load(name):
+        path = f"{folder}/{name}"
+        known = clustered.indexed_columns(spark, path)
+        wanted = {c: value for c, value in asked.items() if value is not None and c in known}
+        return clustered.read_slice(spark, path, wanted)
+
+    return Results(
+        load("assets"),
+        load("physical_trends"),
+        load("physical_hazards"),
+        load("physical_indicators"),
+        load("transition_scenario_rankings"),
+        load("transition_trends"),
+        load("transition_subrisks"),
+    )
+
+
 def read_page(spark: SparkSession, path: str, first: int = 1, rows: int | None = None) -> DataFrame:
     """Rows of an ordered table from position ``first`` on; what lies outside is not read.
 
