@@ -30,11 +30,13 @@ MARKS = 1 << 18
 @dataclass(frozen=True)
 class Bootstrap:
     """``support``: distinct instances a context must have; ``confidence``: the score that contexts
-    and instances need; ``rounds``: how often new contexts are sought, by default until there are
-    none; ``shortest``: characters an identifier has at least."""
+    and instances need; ``outside``: what a place of an instance outside trusted contexts counts
+    against it; ``rounds``: how often new contexts are sought, by default until there are none;
+    ``shortest``: characters an identifier has at least."""
 
     support: int = 3
     confidence: float = 0.6
+    outside: float = 0.25
     rounds: int | None = None
     shortest: int = 4
 
@@ -195,41 +197,82 @@ def _behind(rows: DataFrame, text: str, patterns: DataFrame, shortest: int) -> D
     return _placed(slots, rows, text, shortest).select("_row", "start", "end", "value", "context")
 
 
-def _edges_of(rows: DataFrame, text: str, values: DataFrame, shortest: int) -> DataFrame:
-    """``context, value, n`` of every place where one of the ``values`` stands as a word."""
-    bare = F.regexp_replace("word", r"\A[^\p{L}\p{N}]++|[^\p{L}\p{N}]++\z", "")
-    slots = _slots(rows, text).withColumn("bare", bare)
+def _bare(word: str) -> Column:
+    return F.regexp_replace(word, r"\A[^\p{L}\p{N}]++|[^\p{L}\p{N}]++\z", "")
+
+
+def _edges_of(rows: DataFrame, text: str, values: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame]:
+    """All places where one of the ``values`` stands as a word, with its neighbours; and ``context, value, n`` of them."""
+    slots = _slots(rows, text).withColumn("bare", _bare("word"))
     slots = staged(_marked(slots, values.select(F.lower("value").alias("bare")), "bare").drop("bare", "word"))
-    there = _placed(slots, rows, text, shortest).join(values, "value")
+    there = staged(_placed(slots, rows, text, shortest).join(values, "value"))
     found = there.select("value", F.explode(_contexts()).alias("context")).where("context is not null")
-    return found.groupBy("context", "value").agg(F.count("*").alias("n"))
+    return there, found.groupBy("context", "value").agg(F.count("*").alias("n"))
+
+
+def _places(rows: DataFrame, text: str, values: DataFrame) -> DataFrame:
+    """``low, places``: how often each of the ``values``, in lower case, stands as a word in all texts."""
+    asked = values.select(F.lower("value").alias("low")).distinct()
+    words = _slots(rows, text).select(_bare("word").alias("low"))
+    return _marked(words, asked, "low").groupBy("low").agg(F.count("*").alias("places")).join(asked, "low")
 
 
 def _with(before: DataFrame | None, more: DataFrame) -> DataFrame:
     return staged(more if before is None else before.unionByName(more))
 
 
-def bootstrap(rows: DataFrame, text: str, rules: Bootstrap) -> DataFrame | None:
+def _instance_scores(found: DataFrame, trusted: DataFrame, places: DataFrame, rules: Bootstrap) -> DataFrame:
+    """``value, score`` of the instances found in the ``trusted`` contexts."""
+    met = found.join(trusted, "context")
+    missed = F.exp(F.sum(F.log(F.greatest(1 - F.col("strength"), F.lit(1e-9)))))
+    # one context alone gives its strength as it is
+    right = F.greatest(F.max("strength"), 1 - missed).alias("right")
+    chance = met.select("value", "context", "strength").distinct().groupBy("value").agg(right)
+    inside = met.select(F.lower("value").alias("low"), "_row", "start").distinct()
+    share = inside.groupBy("low").agg(F.count("*").alias("inside")).join(places, "low")
+    against = rules.outside * F.greatest(F.col("places") - F.col("inside"), F.lit(0))
+    share = share.select("low", (F.col("inside") / (F.col("inside") + against)).alias("share"))
+    scored = chance.withColumn("low", F.lower("value")).join(share, "low")
+    return scored.select("value", (F.col("right") * F.col("share")).alias("score"))
+
+
+def bootstrap(rows: DataFrame, text: str, rules: Bootstrap, given: DataFrame | None = None) -> DataFrame | None:
     """``_row, start, end, value, context`` of the discovered identifiers, or None without any.
 
-    ``rows`` has ``_row``, the text and its fixed spans, the seeds (``base``). Seeds
-    score 1. A context scores the mean over everything that stands in it anywhere, other
-    words counting 0; an instance scores the chance that at least one of its contexts is
-    right. Contexts are trusted that have ``support`` distinct instances of some score
-    and reach ``confidence``. Every word in a trusted context is discovered, and all
-    places where it stands lead to further contexts, until no new one is trusted.
+    ``rows`` has ``_row``, the text and its fixed spans (``base``), which are the seeds
+    beside the ``given`` values. Seeds score 1. A context scores the mean over everything
+    that stands in it anywhere, other words counting 0. An instance scores the chance
+    that at least one of its contexts is right, times the share of its places that speak
+    for it: a place in a trusted context counts 1 for it, one elsewhere ``outside``
+    against it, whatever its case. So an everyday word that happens to stand behind a
+    cue is not an identifier.
+
+    Contexts are trusted that have ``support`` distinct instances and reach
+    ``confidence``. Every word in a trusted context is an instance, and all places where
+    it stands lead to further contexts, until no new one is trusted. In the end only
+    instances that reach ``confidence`` themselves are kept, at their places in trusted
+    contexts, and given values wherever they stand (with context ``''``).
 
     Contexts too weak to be trusted give no score, so only words in trusted ones are
     ever looked at; of the others only totals are counted.
     """
-    edges = staged(_seed_edges(rows, text))
-    seeds = staged(edges.select("value").distinct().withColumn("score", F.lit(1.0)))
-    scores, sizes, trusted, found, known = seeds, None, None, None, seeds.select("value")
-    done = 0
+    edges = _seed_edges(rows, text)
+    listed = None
+    if given is not None:
+        given = staged(given.select("value").where("value is not null").distinct())
+        there, more = _edges_of(rows, text, given, 1)
+        listed = there.select("_row", "start", "end", "value", F.lit("").alias("context"))
+        edges = edges.unionByName(more).groupBy("context", "value").agg(F.sum("n").alias("n"))
+    edges = staged(edges)
+    seeds = edges.select("value") if given is None else edges.select("value").unionByName(given)
+    seeds = staged(seeds.distinct().withColumn("score", F.lit(1.0)))
+    scores, sizes, seen, found, places, known = seeds, None, None, None, None, seeds.select("value")
+    trusted, done = None, 0
     while rules.rounds is None or done < rules.rounds:
         done += 1
         mass = edges.join(scores, "value").groupBy("context")
-        mass = mass.agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.sum("n").alias("n"), F.count("*").alias("support"))
+        sure = F.count_if(F.col("score") >= rules.confidence)
+        mass = mass.agg(F.sum(F.col("n") * F.col("score")).alias("mass"), F.sum("n").alias("n"), sure.alias("support"))
         mass = staged(mass.where(F.col("support") >= rules.support))
         asked = staged(mass.select("context") if sizes is None else mass.select("context").join(sizes, "context", "left_anti"))
         if not asked.isEmpty():
@@ -238,22 +281,31 @@ def bootstrap(rows: DataFrame, text: str, rules: Bootstrap) -> DataFrame | None:
             break
         strength = (F.col("mass") / F.greatest("total", "n")).alias("strength")
         patterns = staged(mass.join(sizes, "context").select("context", strength).where(F.col("strength") >= rules.confidence))
-        new = patterns if trusted is None else staged(patterns.join(trusted.select("context"), "context", "left_anti"))
+        # a context may lose its trust and win it again; its places are known then
+        new = patterns.select("context") if seen is None else patterns.select("context").join(seen, "context", "left_anti")
+        new = staged(new)
         if new.isEmpty():
             break
-        trusted = patterns
+        trusted, seen = patterns, _with(seen, new)
         found = _with(found, _behind(rows, text, new, rules.shortest))
-        met = found.select("context", "value").distinct().join(trusted, "context")
-        missed = F.exp(F.sum(F.log(F.greatest(1 - F.col("strength"), F.lit(1e-9)))))
-        others = met.groupBy("value").agg((1 - missed).alias("score")).join(seeds, "value", "left_anti")
+        fresh = staged(found.select("value").distinct().join(known, "value", "left_anti"))
+        if not fresh.isEmpty():
+            lows = fresh.select(F.lower("value").alias("value")).distinct()
+            lows = lows if places is None else lows.join(places.select(F.col("low").alias("value")), "value", "left_anti")
+            places = _with(places, _places(rows, text, lows))
+            edges = _with(edges, _edges_of(rows, text, fresh, rules.shortest)[1])
+            known = staged(known.unionByName(fresh))
+        if places is None:
+            break
         # seeds keep their score
+        others = _instance_scores(found, trusted, places, rules).join(seeds, "value", "left_anti")
         scores = staged(seeds.unionByName(others))
-        fresh = staged(scores.select("value").join(known, "value", "left_anti"))
-        if fresh.isEmpty():
-            break
-        known = scores.select("value")
-        edges = _with(edges, _edges_of(rows, text, fresh, rules.shortest))
-    return found
+    if found is None or places is None:
+        return listed
+    sure = scores.where(F.col("score") >= rules.confidence).join(seeds, "value", "left_anti")
+    kept = found.join(trusted.select("context"), "context", "left_semi").join(sure, "value", "left_semi")
+    kept = kept.select("_row", "start", "end", "value", "context")
+    return kept if listed is None else kept.unionByName(listed)
 
 
 def _joined(spans: Column) -> Column:
@@ -263,14 +315,18 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def find_spans(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) -> DataFrame:
+def find_spans(
+    df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap(), seeds: DataFrame | None = None
+) -> DataFrame:
     """``df`` with ``spans`` (start, kind, end, value; sorted) and ``base``, those of the fixed kinds.
 
     Fixed kinds are matched in every text and are the seeds. One to three whole words
     before or behind, text ends included, are contexts. Contexts that seeds share are
-    scored on the graph of contexts and instances (``bootstrap``), and every word in a
-    trusted context becomes a span of kind ``id``, unless it overlaps a fixed one. In
-    spans ``kind`` is the place in ``KINDS``.
+    scored on the graph of contexts and instances (``bootstrap``), and a word in a trusted
+    context becomes a span of kind ``id`` if it does not mostly stand elsewhere and
+    overlaps no fixed span. ``seeds`` (``value``) names single words known as identifiers;
+    they are spans of kind ``id`` wherever they stand, and lead to contexts as the fixed
+    kinds do. In spans ``kind`` is the place in ``KINDS``.
 
     Null and empty texts have no spans. Every row is judged by itself, also if its id or
     the whole row is repeated. Input columns with the names of the results are
@@ -279,7 +335,7 @@ def find_spans(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()
     whole = F.coalesce(F.col(text), F.lit(""))
     # written before it is used twice, so the row numbers stay as they are
     rows = staged(df.withColumns({"base": base_spans(whole), "_row": F.monotonically_increasing_id()}))
-    found = bootstrap(rows, text, rules)
+    found = bootstrap(rows, text, rules, seeds)
     if found is None:
         return rows.withColumn("spans", F.col("base")).drop("_row")
     span = F.struct("start", F.lit(KINDS.index("id")).alias("kind"), "end", "value")
@@ -298,14 +354,16 @@ def summary(spans: DataFrame, id: str = "doc_id") -> DataFrame:
     return spans.select(id, *map(number, KINDS[:4]), digest, _joined(F.col("spans")).alias("spans"))
 
 
-def redact(df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap()) -> DataFrame:
+def redact(
+    df: DataFrame, text: str = "text", rules: Bootstrap = Bootstrap(), seeds: DataFrame | None = None
+) -> DataFrame:
     """``df`` with every span of its texts replaced by its kind in angle brackets.
 
     Where spans overlap, the text from the first start to the last end goes under the
     kind of the first. Null texts stay null; otherwise as ``find_spans``.
     """
     whole = df.select(F.struct("*").alias("_whole"), F.col(text).alias("_text"))
-    found = find_spans(whole, "_text", rules)
+    found = find_spans(whole, "_text", rules, seeds)
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

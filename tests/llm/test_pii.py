@@ -1,6 +1,7 @@
 """Personal data against plain Python, and contexts that lead to new identifiers."""
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -117,6 +118,116 @@ def test_discovered_identifiers_lead_to_new_contexts(spark):
     assert ids(one[9], texts[9]) == {"badge0xx"} and ids(one[17], texts[17]) == set()
 
 
+def test_an_everyday_word_behind_a_cue_stays(spark):
+    texts = [f"please contact u{i}@mail.org now" for i in range(30)]
+    texts += ["should contact today please"] * 8 + [f"{i} it rains today {i}" for i in range(50)] + ["they contact QX-7781 at noon"]
+    got = run(spark, texts)
+    assert all(ids(got[i], texts[i]) == set() for i in range(88)) and ids(got[88], texts[88]) == {"QX-7781"}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert clean[30] == texts[30] and clean[88] == "they contact <id> at noon"
+    # places in another case count too
+    texts = texts[:30] + ["should contact today please"] * 8 + ["Today it rains"] * 50
+    got = run(spark, texts)
+    assert all(ids(got[i], texts[i]) == set() for i in range(88))
+
+
+def test_given_seeds_lead_to_more_of_their_kind(spark):
+    tokens = ["k9fA3x77", "zzQ81pLm", "tR55vvOw", "mmN204ba", "pppQ99aa"]
+    texts = [f'{i}a token = "{t}" {i}b' for i, t in enumerate(tokens)] + ["also k9fA3x77."] + ["nothing = here"] * 4
+    known = spark.createDataFrame([(t,) for t in [*tokens[:4], tokens[0], None, "absent"]], "value string")
+    got = run(spark, texts, seeds=known)
+    assert [ids(got[i], t) for i, t in enumerate(texts)] == [{t} for t in tokens] + [{"k9fA3x77"}] + [set()] * 4
+    assert all(row["spans"] == "" for row in run(spark, texts).values())
+    # none of the given ones is there
+    assert all(row["spans"] == "" for row in run(spark, texts, seeds=known.where("value = 'absent'")).values())
+
+
+def contexts_of(words, i):
+    """The six contexts of the i-th word; a text's edge counts as one word, but not alone."""
+    found = []
+    for mark, near in (("<", [*words[:i]][::-1]), (">", words[i + 1 :])):
+        near = [*near, " "]
+        for n in (1, 2, 3):
+            if len(near) >= n and near[:n] != [" "]:
+                side = near[:n][::-1] if mark == "<" else near[:n]
+                found.append(mark + " ".join(side))
+    return found
+
+
+def plain_bootstrap(texts, support=3, confidence=0.6, outside=0.25, shortest=4):
+    """The discovered spans, straight from the definition; fixed spans must be whole words here."""
+    slots, total, places = [], {}, {}
+    for row, text in enumerate(texts):
+        base = [(int(a), int(b)) for _, a, b in (s.split(":") for s in brute(text).split(",") if s)]
+        words = [(m.start(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        lowered = [w.lower() for _, w in words]
+        for i, (at, word) in enumerate(words):
+            around = contexts_of(lowered, i)
+            for c in around:
+                total[c] = total.get(c, 0) + 1
+            lead = len(re.match(r"[\W_]*", word)[0])
+            value = re.sub(r"[\W_]+\Z", "", word[lead:])
+            places[value.lower()] = places.get(value.lower(), 0) + 1
+            seed = next((text[a:b] for a, b in base if a <= at < b), None)
+            slots.append((row, at + lead, value, seed, around))
+    score, found, trusted = {s: 1.0 for _, _, _, s, _ in slots if s}, set(), {}
+    fixed = set(score)
+    while True:
+        mass, instances = {}, {}
+        for _, _, value, seed, around in slots:
+            instance = seed or value
+            for c in around if instance in score else []:
+                mass[c] = mass.get(c, 0) + score[instance]
+                instances.setdefault(c, set()).add(instance)
+        patterns = {
+            c: m / total[c]
+            for c, m in mass.items()
+            if sum(score[v] >= confidence for v in instances[c]) >= support and m / total[c] >= confidence
+        }
+        new = set(patterns) - found
+        if not new:
+            break
+        trusted, found = patterns, found | set(patterns)
+        met = [(r, a, v, set(around) & set(trusted)) for r, a, v, seed, around in slots if not seed and len(v) >= shortest]
+        met = [m for m in met if m[3]]
+        score = dict.fromkeys(fixed, 1.0)
+        for value in {m[2] for m in met} - fixed:
+            missed, inside = 1.0, sum(m[2].lower() == value.lower() for m in met)
+            for c in set().union(*(m[3] for m in met if m[2] == value)):
+                missed *= max(1 - trusted[c], 1e-9)
+            score[value] = (1 - missed) * inside / (inside + outside * (places[value.lower()] - inside))
+    sure = {v for v, s in score.items() if s >= confidence - 1e-12} - fixed
+    return {(r, a, v) for r, a, v, seed, around in slots if not seed and v in sure and set(around) & set(trusted)}
+
+
+def test_discovery_equals_a_plain_bootstrap(spark):
+    everyday = "rain sun wind today maybe later near under with from river stone table green".split()
+    some = 0
+    for seed in range(2):
+        rng = random.Random(seed)
+        codes = [f"kx{i}q" for i in range(12)]
+        cues = [["contact"], ["badge", "no"], ["signed", "as"]]
+        texts = []
+        for i in range(120):
+            words = rng.choices(everyday, k=rng.randint(0, 5))
+            kind = rng.random()
+            if kind < 0.3:
+                words += [*cues[0], f"u{rng.randint(0, 30)}@mail.org"]
+            elif kind < 0.45:
+                words += [*cues[0], rng.choice([*codes, "today"])]
+            elif kind < 0.7:
+                words += [*rng.choice(cues[1:]), rng.choice(codes)]
+            texts.append(" ".join(words + rng.choices(everyday, k=rng.randint(0, 4))))
+        want = plain_bootstrap(texts)
+        some += len(want)
+        got = set()
+        for row, r in run(spark, texts).items():
+            got |= {(row, int(a), texts[row][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s) if k == "id"}
+        assert got == want, seed
+    assert some > 20
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de or 10.0.0.1, 🎉 end"
     df = spark.createDataFrame([(1, text, "s"), (2, None, None), (3, "none", "t")], "doc_id long, text string, spans string")
