@@ -805,7 +805,8 @@ def upload_batch_files(spark, sf):
 @query
 def manifest_file(spark, sf):
     path = joins.staging_path(spark)
-    exported = _exported(spark, sf, PLAIN)
+    # two files are written from it
+    exported = joins.staged(_exported(spark, sf, PLAIN))
     writers.write_manifest(exported, f"{path}/manifest", PLAIN)
     writers.write_rejects(exported, f"{path}/rejects", PLAIN)
     kept = tables.read_manifest(spark, f"{path}/manifest")

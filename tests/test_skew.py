@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from hazardlens.operators import axes, physical, transition
+from hazardlens.operators import axes, physical, runs, transition
+from hazardlens.plans import driver_views
 from hazardlens.plans.oracle import ORACLE
 from hazardlens.plans.queries import QUERIES
 from hazardlens.operators.joins import left_join_many, lookup_join, staged
@@ -124,3 +125,41 @@ def test_null_keys_are_spread_without_a_count(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert joined.count() == 200 and used > 1
+
+
+@pytest.mark.parametrize("name", ["manifest_file", "run_messages"])
+def test_an_export_is_computed_once(spark, name):
+    """The files of a run read rows that are computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(price):
+        seen.add(1)
+        return price
+
+    plain = driver_views.table
+
+    def tapped(session, folder, table):
+        df = plain(session, folder, table)
+        return df.withColumn("o_totalprice", counted("o_totalprice")) if table == "orders" else df
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(driver_views, "table", tapped)
+        QUERIES[name](spark, SF).collect()
+    # the price is read by the sidecar rows alone
+    assert seen.value == plain(spark, SF, "orders").count()
+
+
+def test_batches_compute_their_rows_once(spark):
+    """The pass that samples the order reads written rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(name):
+        seen.add(1)
+        return name
+
+    rows = spark.range(50).select(counted(F.format_string("n%02d", "id")).alias("name"))
+    got = runs.batch_uploads(rows, [F.col("name")], 20)
+    assert values(got, "name", "row_number", "batch_id") == [(f"n{i:02d}", i + 1, i // 20) for i in range(50)]
+    assert seen.value == 50
