@@ -41,12 +41,20 @@ def run_totals(exported: DataFrame) -> DataFrame:
 
 
 def message_counts(exported: DataFrame) -> DataFrame:
-    """Errors and warnings of a run with their counts, as ``kind, message, n``; of any number."""
-    kinds = [
-        count_messages(exported, col).select(F.lit(kind).alias("kind"), "message", "n")
-        for kind, col in (("error", "errors"), ("warning", "warnings"))
-    ]
-    return kinds[0].unionByName(kinds[1])
+    """Errors and warnings of a run with their counts, as ``kind, message, n``; of any number.
+
+    Both are counted in one pass over the rows.
+    """
+
+    def listed(col, kind):
+        return F.transform(col, lambda message: F.struct(F.lit(kind).alias("kind"), message.alias("message")))
+
+    return (
+        exported.select(F.inline(F.concat(listed("errors", "error"), listed("warnings", "warning"))))
+        .groupBy("kind", "message")
+        .agg(F.count("*").alias("n"))
+        .orderBy("kind", "message")
+    )
 
 
 def job_status(totals: DataFrame) -> DataFrame:

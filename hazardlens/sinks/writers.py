@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.operators import export, registry, runs
 from hazardlens.operators.export import ExportOptions
+from hazardlens.operators.joins import staged_and_measured
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
 from hazardlens.sinks import clustered
@@ -66,12 +67,14 @@ def write_run_summary(
 ) -> dict:
     """Options and counts of a run as one JSON object, message counts as a table beside it.
 
-    ``totals`` are counted here unless the pass that wrote the rows has them already.
+    ``totals`` come from the pass that wrote the rows; without them the messages of the
+    rows are written here and counted on the way, so that the rows are computed once.
 
     Messages quote free text, so their number has no bound; they go to ``<path>_messages``.
     """
     spark = exported.sparkSession
-    totals = totals or runs.run_totals(exported).first().asDict()
+    if totals is None:
+        exported, totals = staged_and_measured(exported.select("errors", "warnings"), **runs.total_measures())
     options = asdict(opts)
     summary = {"scr_run_id": options.pop("run_id"), **options, **scope, **totals}
     spark.createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.text(path)
