@@ -126,6 +126,9 @@ def numbered(df: DataFrame, order: Sequence[Column], partitions: int | None = No
 
 
 def batch_uploads(accepted: DataFrame, order: Sequence[Column], cap: int = UPLOAD_CAPACITY) -> DataFrame:
-    """Adds ``batch_id``: consecutive runs of at most ``cap`` rows in export order."""
-    rows = numbered(accepted, order)
+    """Adds ``batch_id``: consecutive runs of at most ``cap`` rows in export order.
+
+    The rows are written first, as the bounds of the ranges are sampled by a pass of its own.
+    """
+    rows = numbered(staged(accepted), order)
     return rows.withColumn("batch_id", F.floor((F.col("row_number") - 1) / cap).cast("int"))
