@@ -163,3 +163,11 @@ def test_batches_compute_their_rows_once(spark):
     got = runs.batch_uploads(rows, [F.col("name")], 20)
     assert values(got, "name", "row_number", "batch_id") == [(f"n{i:02d}", i + 1, i // 20) for i in range(50)]
     assert seen.value == 50
+
+
+def test_workbooks_are_dealt_over_all_partitions(spark):
+    """Blocks small in bytes are not merged into few tasks, as each costs much work."""
+    packed = driver_views.pack_workbooks(driver_views.physical(spark, SF), rows_per_file=10)
+    used = packed.select(F.spark_partition_id().alias("part"), "path").collect()
+    assert len({r["path"] for r in used}) == len(used) == 100
+    assert len({r["part"] for r in used}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
