@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +72,23 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, jobs: Sequence[Callable]) -> list:
+    """The results of jobs that do not wait for each other, run at the same time.
+
+    A job has as many tasks as its input has parts, often fewer than there are cores; one
+    after another they would leave the rest idle. If one fails, all have ended before its
+    error is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
+def staged_together(*tables: DataFrame) -> list[DataFrame]:
+    """``staged`` for several tables, written at the same time."""
+    return at_once(tables[0].sparkSession, [partial(staged, table) for table in tables])
+
+
 def staged_and_measured(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     """``staged``, with aggregates over the rows taken by the pass that writes them."""
     seen = Observation(uuid.uuid4().hex)

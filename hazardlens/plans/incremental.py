@@ -10,6 +10,9 @@ all rows at once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +21,9 @@ from hazardlens.functions.ratings import LETTERS, rating_letter, rating_score, w
 from hazardlens.functions.text import blank_to_null, first_non_blank, is_blank
 from hazardlens.operators import assets, axes, physical, transition
 from hazardlens.operators.axes import KEYS, asset_context, valid_axes
-from hazardlens.operators.joins import staged
+from hazardlens.operators.joins import at_once, staged_together
 from hazardlens.plans.reports import Results
-from hazardlens.sinks.history import History
+from hazardlens.sinks.history import History, Pending
 
 # a row's place over all imports; imports of one moment are told apart by their id
 PLACE = ("imported_at", "import_id", "source_file", "seq")
@@ -145,10 +148,28 @@ def add_import(
     come in any order: what is first or last is told by ``imported_at`` and the id. The
     same import again adds nothing, and with other rows it is refused.
     """
+    return add_imports(history, [(import_id, imported_at, physical_rows, transition_rows)])[0]
+
+
+def add_imports(history: History, imports: Sequence[tuple[str, str, DataFrame, DataFrame]]) -> list[int | None]:
+    """``add_import`` for several imports: all are written at the same time, and committed in the order given."""
+    pending = [history.begin() for _ in imports]
+    try:
+        at_once(history.spark, [partial(_write_import, p, *i) for p, i in zip(pending, imports, strict=True)])
+        return [p.publish() for p in pending]
+    except BaseException:
+        for p in pending:
+            p.abandon()
+        raise
+
+
+def _write_import(
+    pending: Pending, import_id: str, imported_at: str, physical_rows: DataFrame, transition_rows: DataFrame
+) -> None:
     stamp = {"imported_at": F.lit(imported_at), "import_id": F.lit(import_id)}
-    phys, trans = (staged(rows.withColumns(stamp)) for rows in (physical_rows, transition_rows))
+    phys, trans = staged_together(*(rows.withColumns(stamp) for rows in (physical_rows, transition_rows)))
     tables = {**physical_states(phys), **transition_states(trans), "state_assets": asset_states(phys, trans)}
-    return history.append(import_id, **tables)
+    pending.write_all(tables, import_id)
 
 
 def results(history: History, manifest: DataFrame | None = None, version: int | None = None) -> Results:

@@ -970,13 +970,14 @@ def _grown(spark, sf) -> reports.Results:
     """The result set after three imports, thirds of the rows, the last one first."""
     history = History(spark, joins.staging_path(spark))
     phys, trans = (rows.withColumn("source_file", F.lit("all")) for rows in (v.physical(spark, sf), v.transition(spark, sf)))
-    # thirds of the range of places, so that the place in an import goes on with the place in the table
+    # thirds of the range of places, so that the place in an import goes on with the place in the table;
+    # as plain ranges, so that a third reads its own stretch of the file
     parts = []
     for rows in (phys, trans):
         last = rows.agg(F.max("seq")).first()[0]
-        parts.append([rows.where(F.floor(F.col("seq") * 3 / (last + 1)) == n) for n in range(3)])
-    for n in (2, 0, 1):
-        incremental.add_import(history, f"import_{n}", f"2026-07-0{n + 1}", parts[0][n], parts[1][n])
+        ends = [-(-n * (last + 1) // 3) for n in range(4)]
+        parts.append([rows.where(F.col("seq").between(ends[n], ends[n + 1] - 1)) for n in range(3)])
+    incremental.add_imports(history, [(f"import_{n}", f"2026-07-0{n + 1}", parts[0][n], parts[1][n]) for n in (2, 0, 1)])
     return incremental.results(history, _manifest(spark, sf))
 
 

@@ -12,14 +12,16 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import UTC, datetime
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hazardlens.operators.joins import at_once
 from hazardlens.operators.quality import ImportFailure
 
 _ENTRY = """version long, committed_at string, table string, import_id string, n_rows long, digest string,
@@ -85,8 +87,7 @@ class History:
         """Adds the tables of one import in one commit; gives its number, or None if all was there."""
         pending = self.begin()
         try:
-            for name, rows in tables.items():
-                pending.write(name, rows, import_id)
+            pending.write_all(tables, import_id)
             return pending.publish()
         except BaseException:
             pending.abandon()
@@ -144,6 +145,13 @@ class Pending:
         back = spark.read.schema(stamped.schema).option("basePath", place).parquet(place)
         return back.select(*stamped.columns), found
 
+    def write_all(self, tables: Mapping[str, DataFrame], import_id: str) -> None:
+        """Writes several tables of one import at the same time; the commit lists them in the order given."""
+        jobs = [partial(self.write, name, rows, import_id) for name, rows in tables.items()]
+        at_once(self.history.spark, jobs)
+        order = list(tables)
+        self._entries.sort(key=lambda e: order.index(e["table"]) if e["table"] in tables else -1)
+
     def _written(self, place: str) -> list[str]:
         files = _files(self.history.spark, place)
         root = files.makeQualified(_path(self.history.spark, place)).toString()
