@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardlens.functions.ordering import ROW_ORDER, file_order
 from hazardlens.operators import assets, physical, quality, response, transition
-from hazardlens.operators.joins import staged, staged_and_measured
+from hazardlens.operators.joins import staged_and_measured, staged_together
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import PHYSICAL_REQUIRED, TRANSITION_REQUIRED
 
@@ -36,7 +36,7 @@ def build_results(
         }
     )
     if stage:
-        physical_rows, transition_rows = staged(physical_rows), staged(transition_rows)
+        physical_rows, transition_rows = staged_together(physical_rows, transition_rows)
     found = assets.assets(physical_rows, transition_rows, order)
     if manifest is not None:
         found = assets.join_back(found, manifest)

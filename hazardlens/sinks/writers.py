@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import asdict
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlens.operators import export, registry, runs
 from hazardlens.operators.export import ExportOptions
-from hazardlens.operators.joins import staged_and_measured
+from hazardlens.operators.joins import at_once, staged_and_measured
 from hazardlens.plans.reports import Results
 from hazardlens.schemas import UPLOAD_LAYOUT
 from hazardlens.sinks import clustered
@@ -99,13 +100,17 @@ def write_results(results: Results, folder: str, meta: DataFrame | None = None,
     Rows are dealt by scenario and range of asset, so that a scenario has few files, each
     sorted by asset, and a view of one asset skips most row groups.
     """
-    for field, name in RESULT_TABLES.items():
+
+    def write(field, name):
         table = getattr(results, field)
         keys = [c for c in ("scenario", "asset_name") if c in table.columns]
         writer = table.repartitionByRange(*keys).sortWithinPartitions(*keys).write.format(fmt)
         if "scenario" in table.columns:
             writer = writer.partitionBy("scenario")
         writer.save(f"{folder}/{name}")
+
+    # no table waits for another
+    at_once(results.trends.sparkSession, [partial(write, *item) for item in RESULT_TABLES.items()])
     if meta is not None:
         meta.write.format(fmt).save(f"{folder}/meta")
 

@@ -64,3 +64,19 @@ def test_thirds_are_plain_ranges_of_the_key_that_cover_the_table(spark, monkeypa
             want = whole.where(F.floor(F.col(key) * 3 / (last + 1)) == n)
             assert sorted(r[0] for r in third.select("seq").collect()) == sorted(r[0] for r in want.select(key).collect())
             assert f"GreaterThanOrEqual({key}" in third._jdf.queryExecution().executedPlan().toString()
+
+
+def small_results(spark):
+    return result_build.build_results(phys(spark, {}), trans(spark, {}))
+
+
+def test_result_tables_are_written_at_the_same_time(spark, tmp_path, monkeypatch):
+    res = small_results(spark)
+    writer = type(res.trends.write)
+    monkeypatch.setattr(writer, "save", meeting(writer.save, 7))
+    writers.write_results(res, str(tmp_path))
+
+
+def test_both_inputs_of_a_build_are_staged_at_the_same_time(spark, monkeypatch):
+    monkeypatch.setattr(joins, "staged", meeting(joins.staged, 2))
+    small_results(spark)
