@@ -57,7 +57,10 @@ def query(fn: Query) -> Query:
 
 
 def _results(spark, sf) -> reports.Results:
-    phys, trans = v.physical(spark, sf), v.transition(spark, sf)
+    return _results_of(v.physical(spark, sf), v.transition(spark, sf))
+
+
+def _results_of(phys, trans) -> reports.Results:
     return reports.Results(
         assets.assets(phys, trans),
         physical.physical_trends(phys),
@@ -248,7 +251,9 @@ def slice_view(spark, sf):
 def slice_from_files(spark, sf):
     """One scenario and horizon of a result set laid along a curve, with few files opened."""
     path = joins.staging_path(spark)
-    writers.write_clustered_results(_results(spark, sf), path, file_rows=4096)
+    # seven tables are written from them
+    phys, trans = joins.staged_together(v.physical(spark, sf), v.transition(spark, sf))
+    writers.write_clustered_results(_results_of(phys, trans), path, file_rows=4096)
     return tables.read_results_slice(spark, path, "ssp5-8.5", 2100).trends
 
 

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardlens.operators.joins import lookup_join, staged, staged_and_measured
+from hazardlens.operators.joins import at_once, lookup_join, staged_and_measured
 from hazardlens.operators.runs import numbered
 
 FILE_ROWS = 1_000_000
@@ -32,8 +32,9 @@ def _codes(rows: DataFrame, column: str, bits: int) -> DataFrame:
     Ranks and not values are stretched, so a column of two scenarios splits the table
     in halves as one of a million assets does.
     """
-    values = staged(rows.select(column).where(F.col(column).isNotNull()).distinct())
-    share = (1 << bits) / max(values.count(), 1)
+    distinct = rows.select(column).where(F.col(column).isNotNull()).distinct()
+    values, seen = staged_and_measured(distinct, n=F.count(F.lit(1)))
+    share = (1 << bits) / max(seen["n"], 1)
     rank = F.col("row_number") - 1
     return numbered(values, [F.col(column)]).select(column, F.floor(rank * share).alias(f"_code_{column}"))
 
@@ -52,8 +53,9 @@ def write_clustered(table: DataFrame, path: str, columns: Sequence[str], file_ro
     bits = min(BITS, 63 // len(columns))
     rows, seen = staged_and_measured(table, n=F.count(F.lit(1)))
     placed = rows.withColumn("_number", F.monotonically_increasing_id())
-    for column in columns:
-        placed = lookup_join(placed, _codes(rows, column, bits), [column], spread="_number")
+    ranks = at_once(table.sparkSession, [partial(_codes, rows, column, bits) for column in columns])
+    for column, of_column in zip(columns, ranks, strict=True):
+        placed = lookup_join(placed, of_column, [column], spread="_number")
     codes = [F.coalesce(F.col(f"_code_{c}"), F.lit(0).cast("bigint")) for c in columns]
     placed = placed.withColumn("_place", curve_place(codes, bits))
     parts = max(1, -(-seen["n"] // file_rows))

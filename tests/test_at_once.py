@@ -80,3 +80,21 @@ def test_result_tables_are_written_at_the_same_time(spark, tmp_path, monkeypatch
 def test_both_inputs_of_a_build_are_staged_at_the_same_time(spark, monkeypatch):
     monkeypatch.setattr(joins, "staged", meeting(joins.staged, 2))
     small_results(spark)
+
+
+def test_clustered_tables_are_written_at_the_same_time(spark, tmp_path, monkeypatch):
+    res = small_results(spark)
+    monkeypatch.setattr(clustered, "write_clustered", meeting(clustered.write_clustered, 7))
+    writers.write_clustered_results(res, str(tmp_path))
+
+
+def test_slices_are_written_from_rows_that_are_computed_once(spark, monkeypatch):
+    seen = []
+
+    def write(res, path, file_rows):
+        seen.extend(file for name in res.__dataclass_fields__ for file in getattr(res, name).inputFiles())
+
+    monkeypatch.setattr(writers, "write_clustered_results", write)
+    monkeypatch.setattr(queries.tables, "read_results_slice", lambda *_: queries.reports.Results(*[None] * 7))
+    queries.slice_from_files(spark, SF)
+    assert seen and all("/staged/" in file for file in seen)
