@@ -700,17 +700,15 @@ def live_portfolios(spark, sf):
     return registry.list_portfolios(v.registry(spark, sf).portfolio, "ws_2").select("id", "name", "created_at")
 
 
-def _scope(spark, sf):
-    return registry.scope_portfolio(v.registry(spark, sf))
-
-
 def _exported(spark, sf, opts):
+    reg = v.registry(spark, sf)
     return export.export_rows(
-        _scope(spark, sf),
+        registry.scope_portfolio(reg),
         sidecar.index_sidecar(v.sidecar(spark, sf)),
         v.asset_types(spark, sf),
         v.country_codes(spark, sf),
         opts,
+        registry.plant_records(reg),
     )
 
 
