@@ -19,7 +19,9 @@ from hazardlens.llm.suffix_order import suffix_array
 LENGTH = 100
 ANCHOR = 24
 BLOCK = 1 << 20
-ARRAY_BYTES = 1 << 16
+CHUNK = 1 << 15
+ARRAY_BYTES = 1 << 12
+SPANS = 1 << 12
 LARGE_GROUP = 2048
 
 _rng = np.random.Generator(np.random.PCG64(31))
@@ -53,16 +55,20 @@ def anchor_values(data: np.ndarray, anchor: int) -> np.ndarray:
 
 
 def first_least(values: np.ndarray, width: int) -> np.ndarray:
-    """For every window of ``width`` values the place of its smallest, the first of equals."""
-    best, place = values, np.arange(len(values), dtype=np.int32)
+    """For every window of ``width`` values the place of its smallest, the first of equals.
+
+    The lowest bits of the values make room for the places, as many for all calls of one
+    width, so at most ``CHUNK + width`` values are taken. Values equal in all other bits
+    count as equal.
+    """
+    low = np.uint64((1 << (CHUNK + width).bit_length()) - 1)
+    best = (values & ~low) | np.arange(len(values), dtype=np.uint64)
     span = 1
     while span < width:
         step = min(span, width - span)
-        n = len(best) - step
-        right = best[step:] < best[:n]
-        best, place = np.where(right, best[step:], best[:n]), np.where(right, place[step:], place[:n])
+        best = np.minimum(best[step:], best[: len(best) - step])
         span += step
-    return place
+    return (best & low).astype(np.int64)
 
 
 def contexts(data: np.ndarray, first: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -75,16 +81,23 @@ def contexts(data: np.ndarray, first: np.ndarray, length: int, anchor: int) -> t
     """
     if len(data) < length:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    values = anchor_values(data, anchor)
-    place = first_least(values, length - anchor + 1)[: len(data) - length + 1]
-    starts = np.arange(len(place))
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(place)]
-    inside = starts + length <= first[text + 1]
-    starts, text, place = starts[inside], text[inside], place[inside].astype(np.int64)
-    if not len(starts):
-        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])]))
-    return text[new], starts[new], np.diff(np.append(new, len(starts))), place[new], values[place[new]]
+    n = len(data) - length + 1
+    values, place = np.empty(len(data) - anchor + 1, np.uint64), np.empty(n, np.int64)
+    for at in range(0, n, CHUNK):
+        # a chunk's arrays stay in the processor's cache
+        own = anchor_values(data[at : at + CHUNK + length - 1], anchor)
+        least = first_least(own, length - anchor + 1)
+        values[at : at + len(own)] = own
+        place[at : at + len(least)] = least + at
+    new = np.empty(n, bool)
+    new[0], new[1:] = True, place[1:] != place[:-1]
+    new[first[first < n]] = True
+    start = np.flatnonzero(new)
+    text = np.searchsorted(first, start, side="right") - 1
+    end = np.minimum(np.append(start[1:], n), first[text + 1] - length + 1)
+    inside = end > start
+    text, start, end = text[inside], start[inside], end[inside]
+    return text, start, end - start, place[start], values[place[start]]
 
 
 def _anchored(length: int, anchor: int):
@@ -113,11 +126,9 @@ def _anchored(length: int, anchor: int):
                 joined = b"".join(whole)
                 first = np.concatenate([[0], np.cumsum(sizes)])
                 text, start, windows, place, value = contexts(np.frombuffer(joined, np.uint8), first, length, anchor)
-                digest = xxhash.xxh3_64_intdigest
-                view = memoryview(joined)
-                context = np.fromiter(
-                    (digest(view[a : a + w + length - 1]) for a, w in zip(start.tolist(), windows.tolist())), np.uint64, len(start)
-                )
+                digest, ends = xxhash.xxh3_64_digest, start + windows + (length - 1)
+                whole_contexts = b"".join([digest(joined[a:b]) for a, b in zip(start.tolist(), ends.tolist())])
+                context = np.frombuffer(whole_contexts, ">u8").astype(np.uint64)
                 doc = np.array(own, np.int64)[text]
                 local = start - first[text] + np.array(offsets, np.int64)[text]
                 order = np.lexsort((local, doc, context, value))
@@ -164,31 +175,42 @@ class _Windows:
     """Contexts of whole anchor groups, gathered until they are worth a suffix array."""
 
     def __init__(self, length: int):
-        self.length, self.parts, self.docs, self.starts, self.bytes = length, [], [], [], 0
+        self.length, self.parts, self.docs, self.starts, self.copies, self.bytes = length, [], [], [], [], 0
 
     def add(self, rows: list[tuple[int, int, int, bytes]]) -> None:
         """Takes of each context what it can share with another one of its anchor.
 
         All equal windows lie alike around the anchor, so nothing beyond the longest
-        agreement to its left and to its right is ever part of one.
+        agreement to its left and to its right is ever part of one. What is left of two
+        contexts is often the same string: all but its first place are copies, and only the
+        first is compared with other strings. A single string holds each window once.
         """
         if len(rows) < 2:
             return
         left = _agreement([part[:lead][::-1] for _, _, lead, part in rows])
         right = _agreement([part[lead:] for _, _, lead, part in rows])
-        for (doc, start, lead, part), a, b in zip(rows, left, right):
-            if a + b >= self.length:
-                part = part[lead - a : lead + b]
-                self.parts.append(part)
-                self.docs.append(doc)
-                self.starts.append(start + lead - a)
-                self.bytes += len(part)
+        firsts: dict[bytes, tuple[int, int]] = {}
+        shared = [
+            (doc, start + lead - a, part[lead - a : lead + b])
+            for (doc, start, lead, part), a, b in zip(rows, left, right)
+            if a + b >= self.length
+        ]
+        for doc, start, part in sorted(shared):
+            if firsts.setdefault(part, (doc, start)) != (doc, start):
+                self.copies.append((doc, start, start + len(part)))
+        if len(firsts) < 2:
+            return
+        for part, (doc, start) in firsts.items():
+            self.parts.append(part)
+            self.docs.append(doc)
+            self.starts.append(start)
+            self.bytes += len(part)
 
     def covered(self) -> list[tuple[int, int, int]]:
         """Spans of windows that an earlier context holds too, as doc, first byte, end."""
         parts, length = self.parts, self.length
         if len(parts) < 2:
-            return []
+            return self.copies
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         first = np.concatenate([[0], np.cumsum(sizes + 1)])
         raw = np.frombuffer(b"\0".join([*parts, b""]), np.uint8)
@@ -214,10 +236,10 @@ class _Windows:
         rank = np.lexsort((p, d))
         d, p = d[rank], p[rank]
         if not len(d):
-            return []
+            return self.copies
         lead = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (p[1:] > p[:-1] + 1)]))
         last = np.append(lead[1:] - 1, len(d) - 1)
-        return list(zip(d[lead].tolist(), p[lead].tolist(), (p[last] + length).tolist()))
+        return self.copies + list(zip(d[lead].tolist(), p[lead].tolist(), (p[last] + length).tolist()))
 
 
 def _settled(length: int, large: int):
@@ -235,7 +257,7 @@ def _settled(length: int, large: int):
             yield from ((doc, start + i, xxhash.xxh3_128_digest(view[i : i + length])) for i in range(len(part) - length + 1))
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, group, now, spread = _Windows(length), [], None, False
+        open_, done, group, now, spread = _Windows(length), [], [], None, False
         for batch in stream:
             columns = (batch.column(c).to_pylist() for c in ("anchor", "doc", "start", "lead", "bytes"))
             for anchor, doc, start, lead, part in zip(*columns):
@@ -244,9 +266,12 @@ def _settled(length: int, large: int):
                         yield out([], apart(group))
                     else:
                         open_.add(group)
-                    if open_.bytes >= ARRAY_BYTES:
-                        yield out(open_.covered())
+                    if open_.bytes >= ARRAY_BYTES or len(open_.copies) >= SPANS:
+                        done += open_.covered()
                         open_ = _Windows(length)
+                    if len(done) >= SPANS:
+                        yield out(done)
+                        done = []
                     group, now, spread = [], anchor, False
                 group.append((doc, start, lead, part))
                 if len(group) >= large:
@@ -257,7 +282,7 @@ def _settled(length: int, large: int):
             yield out([], apart(group))
         else:
             open_.add(group)
-        yield out(open_.covered())
+        yield out(done + open_.covered())
 
     return run
 
@@ -320,7 +345,8 @@ def remove_repeats(
     equal anchors can be equal. Neighbouring windows of one anchor form a context.
     Contexts that are equal as a whole, found by hash next to the anchor's, need no
     comparison: all but the first go. Where an anchor has several distinct contexts,
-    one of each is compared by a suffix array over many such groups: suffixes that
+    one of each is cut to what it can share, and the different strings that are left are
+    compared by a suffix array over some such groups: suffixes that
     share ``length`` bytes stand together, and all but the first of them go. Groups of
     more than ``large`` contexts would not fit one array; their windows are counted by
     128-bit hash instead, which gives the same result spread over all tasks. Equal

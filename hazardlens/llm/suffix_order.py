@@ -18,15 +18,16 @@ def suffix_array(symbols: np.ndarray) -> list[int]:
     pointers, is the next of its group. Nothing is renamed or sorted again.
     """
     n = len(symbols)
+    if not n:
+        return []
     order = np.argsort(symbols, kind="stable")
-    heads = np.concatenate([[True], symbols[order][1:] != symbols[order][:-1]]) if n else np.zeros(0, bool)
+    heads = np.concatenate([[True], symbols[order][1:] != symbols[order][:-1]])
     starts = np.flatnonzero(heads)
-    group_at = np.empty(n, np.int64)
-    group_at[order] = np.repeat(starts, np.diff(np.concatenate([starts, [n]])))
-    size = dict(zip(starts.tolist(), np.diff(np.concatenate([starts, [n]])).tolist()))
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    order, group, place = order.tolist(), group_at.tolist(), place.tolist()
+    sizes = np.diff(np.append(starts, n))
+    group, place, size = np.empty(n, np.int64), np.empty(n, np.int64), np.zeros(n, np.int64)
+    group[order], place[order], size[starts] = np.repeat(starts, sizes), np.arange(n), sizes
+    order, group, place, size = order.tolist(), group.tolist(), place.tolist(), size.tolist()
+    group.append(-1)  # read at place -1, left of the first suffix
     before = [-1] * n
 
     end = n
@@ -34,52 +35,66 @@ def suffix_array(symbols: np.ndarray) -> list[int]:
         head = group[order[end - 1]]
         members = order[head:end]
         end = head
-        if len(members) > 1:
-            members.sort()
-        pointed: dict[int, int] = {}
-        for i in members:
+        if len(members) == 1:
+            # what the loops below do for many
+            i = members[0]
             j = i - 1
-            while j >= 0 and group[j] >= head:
+            while group[j] >= head:
                 j = before[j]
             before[i] = j
             if j >= 0:
-                pointed[j] = pointed.get(j, 0) + 1
-        if not pointed:
+                old = group[j]
+                left = size[old] - 1
+                if left:
+                    at = old + left
+                    here, other = place[j], order[at]
+                    order[at], order[here] = j, other
+                    place[j], place[other] = at, here
+                    group[j] = at
+                    size[old], size[at] = left, 1
             continue
-        if len(pointed) == 1:
-            by_count = [(1, list(pointed))]
+        members.sort()
+        pointed = []
+        for i in members:
+            j = i - 1
+            while group[j] >= head:
+                j = before[j]
+            before[i] = j
+            if j >= 0:
+                pointed.append(j)
+        if len(set(pointed)) == len(pointed):
+            by_count = [pointed] if pointed else []
         else:
+            count: dict[int, int] = {}
+            for j in pointed:
+                count[j] = count.get(j, 0) + 1
             parts: dict[int, list[int]] = {}
-            for j, k in pointed.items():
+            for j, k in count.items():
                 parts.setdefault(k, []).append(j)
-            by_count = sorted(parts.items(), reverse=True)
-        for _, moved in by_count:
-            split: dict[int, list[int]] = {}
+            by_count = [parts[k] for k in sorted(parts, reverse=True)]
+        for moved in by_count:
+            # to the end of its old group, which shrinks; then all read off where the new one begins
             for j in moved:
-                split.setdefault(group[j], []).append(j)
-            for old, js in split.items():
-                left = size[old] - len(js)
-                if not left:
-                    continue
-                new = old + left
-                at = old + size[old]
-                for j in js:
-                    at -= 1
-                    here, other = place[j], order[at]
-                    order[at], order[here] = j, other
-                    place[j], place[other] = at, here
-                    group[j] = new
-                size[old], size[new] = left, len(js)
+                old = group[j]
+                size[old] = left = size[old] - 1
+                at = old + left
+                here, other = place[j], order[at]
+                order[at], order[here] = j, other
+                place[j], place[other] = at, here
+            new = [group[j] + size[group[j]] for j in moved]
+            for j, g in zip(moved, new):
+                group[j] = g
+                size[g] += 1
 
     out = [-1] * n
-    free = {head: head for head in size}
-    placed = bytearray(n)
-    if n:
-        out[0] = n - 1
-        placed[n - 1] = 1
+    free = list(range(n))
+    placed = bytearray(n + 1)
+    placed[n] = 1
+    out[0] = n - 1
+    placed[n - 1] = 1
     for i in range(n):
         j = out[i] - 1
-        while j >= 0 and not placed[j]:
+        while not placed[j]:
             head = group[j]
             at = free[head]
             out[at] = j

@@ -118,3 +118,52 @@ def test_a_replaced_byte_stays(spark):
     assert rows
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert sorted((tuple(r) for r in suffix_dedup.remove_repeats(df).collect()), key=str) == brute(rows, 100)
+
+
+def _sorted_symbols(monkeypatch, parts, **rows):
+    """Spans of one anchor's contexts, and how many symbols were sorted to find them."""
+    import pyarrow as pa
+
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda s: sizes.append(len(s)) or suffix_array(s))
+    n = len(parts)
+    batch = pa.RecordBatch.from_pydict({"anchor": [7] * n, "doc": list(range(n)), "start": [10] * n, "lead": [60] * n, "bytes": parts})
+    spans = [r for b in suffix_dedup._settled(100, 2048)(iter([batch])) for r in b.to_pylist()]
+    return sorted((r["doc"], r["start"], r["end"]) for r in spans), sum(sizes)
+
+
+def test_equal_strings_are_sorted_once(monkeypatch):
+    rng = random.Random(8)
+    shared = bytes(rng.choices(range(97, 123), k=140))
+    parts = [bytes([65 + i]) * 5 + shared + bytes([75 + i]) * 5 for i in range(6)]
+    spans, symbols = _sorted_symbols(monkeypatch, parts)
+    assert spans == [(i, 15, 155) for i in range(1, 6)]
+    assert symbols == 0
+    # a context that shares less brings a second string, and each of the two goes in once
+    other = b"Z" * 25 + shared[20:] + b"Z" * 5
+    spans, symbols = _sorted_symbols(monkeypatch, [*parts, other])
+    assert spans == [(i, 15, 155) for i in range(1, 6)] + [(6, 35, 155)]
+    assert symbols == 140 + 1 + 120 + 1 + 1
+
+
+def test_anchors_do_not_depend_on_chunks(monkeypatch):
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"ab", k=rng.choice((0, 5, 99, 100, 101, 700)))) for _ in range(30)] + [b"x" * 500]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    values = suffix_dedup.anchor_values(data, 24)
+    whole = suffix_dedup.contexts(data, first, 100, 24)
+    windows = {}
+    for text, start, n, place, value in zip(*(x.tolist() for x in whole)):
+        for at in range(start, start + n):
+            assert value == values[place] and place == at + int(np.argmin(values[at : at + 77]))
+            windows[at] = text
+    assert windows == {int(first[i]) + at: i for i, t in enumerate(texts) for at in range(len(t) - 99)}
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 64)
+    for a, b in zip(whole, suffix_dedup.contexts(data, first, 100, 24)):
+        assert a.tolist() == b.tolist()
+
+
+def test_no_text_holds_a_window():
+    (batch,) = suffix_dedup._anchored(100, 24)(iter([_batch([(1, "a" * 60), (2, "b" * 60)])]))
+    assert batch.num_rows == 0
